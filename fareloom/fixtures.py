@@ -7,6 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fareloom.sinks import write_raw
+from fareloom.sources import read_raw
+from fareloom.sources.storage import scratch_path
+
 SECONDS = "((l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 611953) % 32000000)"
 LENGTH = "(CAST(l_quantity AS BIGINT) * ((l_orderkey % 23) - 1) * 37)"
 
@@ -71,11 +75,29 @@ def trips_text(moment, lines: str) -> str:
     )
 
 
-def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+LANDED: dict[tuple[str, str], str] = {}
+
+
+def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips as an expression over lineitem."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return spark.sql(trips_text(spark_moment, SPARK_LINES), lineitem=lineitem)
 
 
+def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips as a stored raw table, which is what cleaning and the dimensions read.
+
+    Landed by the library's own writer on first use in an application and read back from there, so that filters
+    meet stored columns and not the long expressions of the view.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in LANDED:
+        base = scratch_path(spark, "trips")
+        write_raw(trips_view(spark, sf_dir), base)
+        LANDED[key] = base
+    return read_raw(spark, LANDED[key], month_key=True)
+
+
 def people_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return spark.sql(PEOPLE_RAW.replace("@ORDERS@", "{orders}"), orders=orders)

@@ -69,10 +69,11 @@ def rules(policy: str | CleaningPolicy) -> list[tuple[str, Column]]:
     if p.dropoff_before is not None:
         found.append(("dropoff_too_late", dropoff < midnight(p.dropoff_before)))
     found.append(("dropoff_before_pickup", pickup <= dropoff))
+    # The order of pickup and dropoff already holds here, which leaves the zero and the upper end to check.
     if p.strict_duration:
-        found.append(("duration_out_of_range", (elapsed > 0) & (elapsed < longest)))
+        found.append(("duration_out_of_range", (pickup < dropoff) & (elapsed < longest)))
     else:
-        found.append(("duration_out_of_range", elapsed.between(0, longest)))
+        found.append(("duration_out_of_range", elapsed <= longest))
     return found + [
         ("distance_negative", non_negative_or_null("trip_distance")),
         ("distance_too_long", miles.isNull() | (miles.cast("double") < MAX_MILES)),
