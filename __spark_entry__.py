@@ -40,23 +40,24 @@ def over_people(f: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def dimension(name: str) -> Query:
-    return over_trips(lambda raw: plans.build_dims(raw)[name])
+    return over_trips(lambda raw: plans.build_dim(raw, name))
 
 
 def fact(raw: DataFrame, policy: str = "code", keyed: bool = False) -> DataFrame:
-    return plans.build_fact(raw, plans.build_dims(raw)["dim_datetime"], policy, keyed)
+    return plans.build_fact(raw, plans.build_dim(raw, "dim_datetime"), policy, keyed)
 
 
 def star(raw: DataFrame, keyed: bool = False) -> dict[str, DataFrame]:
-    return {**plans.build_dims(raw), "fact_trips": fact(raw, keyed=keyed)}
+    dims = plans.build_dims(raw)
+    return {**dims, "fact_trips": plans.build_fact(raw, dims["dim_datetime"], keyed=keyed)}
 
 
 def payment_report(raw: DataFrame, policy: str = "code") -> DataFrame:
-    return plans.average_by_payment(plans.trip_measures(raw, policy), plans.build_dims(raw)["dim_payment_type"])
+    return plans.average_by_payment(plans.trip_measures(raw, policy), plans.build_dim(raw, "dim_payment_type"))
 
 
 def detail_report(raw: DataFrame) -> DataFrame:
-    dims = plans.build_dims(raw)
+    dims = {name: plans.build_dim(raw, name) for name in ("dim_vendor", "dim_payment_type", "dim_datetime")}
     return plans.trip_detail(plans.earliest_trips(raw, dims["dim_datetime"], 20), dims)
 
 

@@ -75,7 +75,7 @@ def trips_text(moment, lines: str) -> str:
     )
 
 
-LANDED: dict[tuple[str, str], str] = {}
+LANDED: dict[tuple[str, str], DataFrame] = {}
 
 
 def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +94,8 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in LANDED:
         base = scratch_path(spark, "trips")
         write_raw(trips_view(spark, sf_dir), base)
-        LANDED[key] = base
-    return read_raw(spark, LANDED[key], month_key=True)
+        LANDED[key] = read_raw(spark, base, month_key=True)
+    return LANDED[key]
 
 
 def people_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

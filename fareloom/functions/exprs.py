@@ -1,39 +1,38 @@
-"""Column expressions shared by the jobs. All are built-in functions, so they stay inside generated code."""
+"""SQL expressions shared by the jobs. All are built-in functions, so they stay inside generated code.
+
+They are text rather than Column objects: a projection then crosses to the JVM once, not once per operator.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType
 
 
-def rounded_int(column: Column, data_type: DataType) -> Column:
+def rounded_int(column: str, data_type: DataType) -> str:
     """Cast to int as PostgreSQL does: fractions round half to even. Whole types skip the detour through double."""
-    if isinstance(data_type, IntegralType):
-        return column.cast("int")
-    return F.rint(column).cast("int")
+    return f"CAST({column} AS INT)" if isinstance(data_type, IntegralType) else f"CAST(rint({column}) AS INT)"
 
 
-def truncated_int(column: Column) -> Column:
+def truncated_int(column: str) -> str:
     """Cast to int towards zero."""
-    return column.cast("int")
+    return f"CAST({column} AS INT)"
 
 
-def hour_floor(ts: Column) -> Column:
+def hour_floor(ts: str) -> str:
     """Start of the hour of a zone-less timestamp.
 
     date_trunc passes zone-less values through the session zone and moves hours that a clock change skips;
     a date plus whole hours does not.
     """
-    return ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
+    return f"(CAST(CAST({ts} AS DATE) AS TIMESTAMP_NTZ) + make_dt_interval(0, hour({ts})))"
 
 
-def elapsed_micros(start: str, end: str) -> Column:
-    """Microseconds between two zone-less timestamp columns. timestampdiff would apply the session zone."""
-    return F.expr(f"(`{end}` - `{start}`) div interval '0.000001' second")
+def elapsed_micros(start: str, end: str) -> str:
+    """Microseconds between two zone-less timestamps. timestampdiff would apply the session zone."""
+    return f"(({end} - {start}) DIV INTERVAL '0.000001' SECOND)"
 
 
-def round_cents(x: Column) -> Column:
+def round_cents(x: str) -> str:
     """A double rounded half away from zero to two decimals, judged on its decimal reading: 1.005 gives 1.01.
 
     Going through decimals is exact but several times dearer than arithmetic, and only matters near a tie.
@@ -41,13 +40,14 @@ def round_cents(x: Column) -> Column:
     amounts past 1e9 where doubles get coarse, take the decimal way. Amounts no decimal(38,10) holds have no
     cents and stay as they are.
     """
-    half_up = F.abs(x) * 100.0 + 0.5
-    cents = F.floor(half_up)
-    off_tie = (F.abs(half_up - F.rint(half_up)) > 1e-4) & (half_up < 1e11)
-    exact = F.coalesce(F.round(x.try_cast("decimal(38,10)"), 2).cast("double"), x)
-    return F.when(off_tie, F.when(x < 0, -cents).otherwise(cents) / 100.0).otherwise(exact)
+    half_up = f"(abs({x}) * 100D + 0.5D)"
+    return (
+        f"CASE WHEN abs({half_up} - rint({half_up})) > 1e-4D AND {half_up} < 1e11D"
+        f" THEN CASE WHEN {x} < 0 THEN -floor({half_up}) ELSE floor({half_up}) END / 100D"
+        f" ELSE coalesce(CAST(round(try_cast({x} AS DECIMAL(38, 10)), 2) AS DOUBLE), {x}) END"
+    )
 
 
-def non_negative_or_null(column: str) -> Column:
+def non_negative_or_null(column: str) -> str:
     """coalesce(x, 0) >= 0, spelled so that it reaches the Parquet reader."""
-    return F.col(column).isNull() | (F.col(column).cast("double") >= 0.0)
+    return f"({column} IS NULL OR CAST({column} AS DOUBLE) >= 0)"

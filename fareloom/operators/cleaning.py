@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from fareloom.functions import elapsed_micros, non_negative_or_null
 from fareloom.schemas import MONTH_KEY
 
 MAX_MINUTES = 600
-MAX_MILES = 500.0
+MAX_MILES = 500
 MICROS_PER_MINUTE = 60_000_000
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -46,51 +44,50 @@ def as_policy(policy: str | CleaningPolicy) -> CleaningPolicy:
     return POLICIES[policy] if isinstance(policy, str) else policy
 
 
-def midnight(day: dt.date) -> Column:
-    return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+def midnight(day: dt.date) -> str:
+    return f"TIMESTAMP_NTZ'{day:%Y-%m-%d} 00:00:00'"
 
 
-def rules(policy: str | CleaningPolicy) -> list[tuple[str, Column]]:
+def rules(policy: str | CleaningPolicy) -> list[tuple[str, str]]:
     """(reason, keep condition) in the order in which a reject is blamed."""
     p = as_policy(policy)
-    pickup, dropoff, miles = F.col(PICKUP), F.col(DROPOFF), F.col("trip_distance")
-    elapsed = elapsed_micros(PICKUP, DROPOFF)
-    longest = MAX_MINUTES * MICROS_PER_MINUTE
+    within = f"{elapsed_micros(PICKUP, DROPOFF)} {{}} {MAX_MINUTES * MICROS_PER_MINUTE}"
 
     found = [
-        ("pickup_missing", pickup.isNotNull()),
-        ("dropoff_missing", dropoff.isNotNull()),
-        ("pickup_location_missing", F.col("pulocationid").isNotNull()),
-        ("dropoff_location_missing", F.col("dolocationid").isNotNull()),
-        ("pickup_too_early", pickup >= midnight(p.pickup_from)),
+        ("pickup_missing", f"{PICKUP} IS NOT NULL"),
+        ("dropoff_missing", f"{DROPOFF} IS NOT NULL"),
+        ("pickup_location_missing", "pulocationid IS NOT NULL"),
+        ("dropoff_location_missing", "dolocationid IS NOT NULL"),
+        ("pickup_too_early", f"{PICKUP} >= {midnight(p.pickup_from)}"),
     ]
     if p.pickup_before is not None:
-        found.append(("pickup_too_late", pickup < midnight(p.pickup_before)))
+        found.append(("pickup_too_late", f"{PICKUP} < {midnight(p.pickup_before)}"))
     if p.dropoff_before is not None:
-        found.append(("dropoff_too_late", dropoff < midnight(p.dropoff_before)))
-    found.append(("dropoff_before_pickup", pickup <= dropoff))
+        found.append(("dropoff_too_late", f"{DROPOFF} < {midnight(p.dropoff_before)}"))
+    found.append(("dropoff_before_pickup", f"{PICKUP} <= {DROPOFF}"))
     # The order of pickup and dropoff already holds here, which leaves the zero and the upper end to check.
     if p.strict_duration:
-        found.append(("duration_out_of_range", (pickup < dropoff) & (elapsed < longest)))
+        found.append(("duration_out_of_range", f"({PICKUP} < {DROPOFF} AND {within.format('<')})"))
     else:
-        found.append(("duration_out_of_range", elapsed <= longest))
+        found.append(("duration_out_of_range", within.format("<=")))
     return found + [
         ("distance_negative", non_negative_or_null("trip_distance")),
-        ("distance_too_long", miles.isNull() | (miles.cast("double") < MAX_MILES)),
+        ("distance_too_long", f"(trip_distance IS NULL OR CAST(trip_distance AS DOUBLE) < {MAX_MILES})"),
         ("fare_negative", non_negative_or_null("fare_amount")),
         ("total_negative", non_negative_or_null("total_amount")),
         ("tip_negative", non_negative_or_null("tip_amount")),
     ]
 
 
-def keeps(policy: str | CleaningPolicy) -> Column:
+def keeps(policy: str | CleaningPolicy) -> str:
     """The row-level rules as one condition. Filters read it as separate conjuncts and push them down."""
-    return reduce(lambda a, b: a & b, [condition for _, condition in rules(policy)])
+    return " AND ".join(condition for _, condition in rules(policy))
 
 
-def reject_reason(policy: str | CleaningPolicy) -> Column:
+def reject_reason(policy: str | CleaningPolicy) -> str:
     """The first rule a row breaks, null for a row that passes."""
-    return F.coalesce(*[F.when(~F.coalesce(keep, F.lit(False)), F.lit(reason)) for reason, keep in rules(policy)])
+    cases = " ".join(f"WHEN ({keep}) IS NOT TRUE THEN '{reason}'" for reason, keep in rules(policy))
+    return f"CASE {cases} END"
 
 
 def trip_columns(raw: DataFrame) -> list[str]:
@@ -117,18 +114,16 @@ def rejected_trips(raw: DataFrame, policy: str | CleaningPolicy = "code") -> Dat
     """
     p = as_policy(policy)
     columns = trip_columns(raw)
-    broken = (
-        raw.select(*columns, reject_reason(p).alias("reject_reason"))
-        .where(F.col("reject_reason").isNotNull())
-        .withColumn("copies", F.lit(1).cast("bigint"))
+    broken = raw.selectExpr(*columns, f"{reject_reason(p)} AS reject_reason", "1L AS copies").where(
+        "reject_reason IS NOT NULL"
     )
     if not p.drop_duplicates:
         return broken
     repeated = (
         raw.where(keeps(p))
         .groupBy(*columns)
-        .agg((F.count(F.lit(1)) - 1).alias("copies"))
-        .where(F.col("copies") > 0)
-        .select(*columns, F.lit("duplicate").alias("reject_reason"), "copies")
+        .count()
+        .where("count > 1")
+        .selectExpr(*columns, "'duplicate' AS reject_reason", "count - 1 AS copies")
     )
-    return broken.unionByName(repeated)
+    return broken.union(repeated)

@@ -15,9 +15,9 @@ from fareloom.sources.storage import stage
 ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
 
 
-def natural_key(column: str, data_type: DataType) -> Column:
+def natural_key(column: str, data_type: DataType) -> str:
     """The code itself as the key, the unknown member for a null."""
-    return F.coalesce(rounded_int(F.col(column), data_type), F.lit(UNKNOWN_KEY))
+    return f"coalesce({rounded_int(column, data_type)}, {UNKNOWN_KEY})"
 
 
 def number_hours(hours: DataFrame, column: str, name: str) -> DataFrame:

@@ -1,11 +1,12 @@
 from fareloom.plans.audits import month_audit, reject_reasons
-from fareloom.plans.dimensions import build_dims
+from fareloom.plans.dimensions import build_dim, build_dims
 from fareloom.plans.fact import build_fact, earliest_trips, trip_measures
 from fareloom.plans.reports import average_by_payment, trip_detail
 from fareloom.plans.warehouse import land_raw, refresh_star
 
 __all__ = [
     "average_by_payment",
+    "build_dim",
     "build_dims",
     "build_fact",
     "earliest_trips",

@@ -26,7 +26,7 @@ def month_audit(raw: DataFrame, policy: str | CleaningPolicy = "code") -> DataFr
         audit = audit_without_duplicates(raw, p)
     else:
         audit = raw.groupBy(F.col(MONTH_KEY).alias("month_key")).agg(
-            F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.coalesce(keeps(p), F.lit(False))).alias("clean_rows")
+            F.count(F.lit(1)).alias("raw_rows"), F.expr(f"count_if({keeps(p)}) AS clean_rows")
         )
     return audit.withColumn("removed_rows", F.col("raw_rows") - F.col("clean_rows")).orderBy("month_key")
 
@@ -55,8 +55,8 @@ def reject_reasons(raw: DataFrame, policy: str | CleaningPolicy = "code") -> Dat
         rejected = rejected_trips(raw, p).groupBy("reject_reason").agg(F.sum("copies").alias("removed_rows"))
     else:
         rejected = (
-            raw.select(reject_reason(p).alias("reject_reason"))
-            .where(F.col("reject_reason").isNotNull())
+            raw.selectExpr(f"{reject_reason(p)} AS reject_reason")
+            .where("reject_reason IS NOT NULL")
             .groupBy("reject_reason")
             .agg(F.count(F.lit(1)).alias("removed_rows"))
         )

@@ -36,6 +36,7 @@ TRIP_ORDER = [
     "tolls_amount",
     "total_amount",
 ]
+MONEY = ["trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount"]
 MOST_HOURS = 200_000  # about 23 years, a few megabytes: the largest hour lookup to broadcast
 SPREAD = "_spread"
 
@@ -49,30 +50,29 @@ def trip_measures(raw: DataFrame, policy: str | CleaningPolicy = "code", spread:
     p = as_policy(policy)
     clean = clean_trips(raw, p)
     types = {f.name: f.dataType for f in clean.schema.fields}
-
-    def money(column: str):
-        return round_cents(F.coalesce(F.col(column).cast("double"), F.lit(0.0))).alias(column)
-
-    riders = F.coalesce(rounded_int(F.col("passenger_count"), types["passenger_count"]), F.lit(1))
-    columns = [
-        natural_key("vendorid", types["vendorid"]).alias("vendor_key"),
-        natural_key("payment_type", types["payment_type"]).alias("payment_type_key"),
-        natural_key("pulocationid", types["pulocationid"]).alias("pu_location_key"),
-        natural_key("dolocationid", types["dolocationid"]).alias("do_location_key"),
-        F.col(PICKUP).alias("pickup_datetime"),
-        F.col(DROPOFF).alias("dropoff_datetime"),
-        F.greatest(riders, F.lit(1)).alias("passenger_count"),
-        money("trip_distance"),
-        round_cents(elapsed_micros(PICKUP, DROPOFF) / float(MICROS_PER_MINUTE)).alias("trip_duration_min"),
-        money("fare_amount"),
-        money("tip_amount"),
-        money("tolls_amount"),
-        money("total_amount"),
-    ]
+    spread_columns = []
     if spread:
-        apart = F.xxhash64(*clean.columns) if p.drop_duplicates else F.monotonically_increasing_id()
-        columns.append(apart.alias(SPREAD))
-    return clean.select(*columns)
+        apart = f"xxhash64({', '.join(clean.columns)})" if p.drop_duplicates else "monotonically_increasing_id()"
+        spread_columns = [f"{apart} AS {SPREAD}"]
+
+    # Two steps, so that each amount is worked out once and then rounded.
+    amounts = clean.selectExpr(
+        f"{natural_key('vendorid', types['vendorid'])} AS vendor_key",
+        f"{natural_key('payment_type', types['payment_type'])} AS payment_type_key",
+        f"{natural_key('pulocationid', types['pulocationid'])} AS pu_location_key",
+        f"{natural_key('dolocationid', types['dolocationid'])} AS do_location_key",
+        f"{PICKUP} AS pickup_datetime",
+        f"{DROPOFF} AS dropoff_datetime",
+        f"greatest(coalesce({rounded_int('passenger_count', types['passenger_count'])}, 1), 1) AS passenger_count",
+        f"{elapsed_micros(PICKUP, DROPOFF)} / {MICROS_PER_MINUTE}D AS trip_duration_min",
+        *[f"coalesce(CAST({c} AS DOUBLE), 0D) AS {c}" for c in MONEY],
+        *spread_columns,
+    )
+    return amounts.selectExpr(
+        *TRIP_ORDER[:7],
+        *[f"{round_cents(c)} AS {c}" for c in TRIP_ORDER[7:]],
+        *([SPREAD] if spread else []),
+    )
 
 
 def hours_of_policy(dim_datetime: DataFrame, policy: CleaningPolicy) -> DataFrame:
@@ -81,14 +81,12 @@ def hours_of_policy(dim_datetime: DataFrame, policy: CleaningPolicy) -> DataFram
     The policy's window bounds how many there are, so the broadcast rests on the calendar and not on how
     clean the data is. An open or very long window leaves the join strategy to the optimizer.
     """
-    hours = dim_datetime.select("datetime_key", "datetime_hour").where(
-        F.col("datetime_hour") >= midnight(policy.pickup_from)
-    )
-    last = policy.last_pickup_bound
+    first, last = policy.pickup_from, policy.last_pickup_bound
+    hours = dim_datetime.select("datetime_key", "datetime_hour").where(f"datetime_hour >= {midnight(first)}")
     if last is None:
         return hours
-    hours = hours.where(F.col("datetime_hour") < midnight(last))
-    at_most = (last - policy.pickup_from) // dt.timedelta(hours=1)
+    hours = hours.where(f"datetime_hour < {midnight(last)}")
+    at_most = (last - first) // dt.timedelta(hours=1)
     return F.broadcast(hours) if at_most <= MOST_HOURS else hours
 
 
@@ -96,10 +94,9 @@ def with_hour_key(trips: DataFrame, dim_datetime: DataFrame, policy: CleaningPol
     """Add the key of the pickup hour, the unknown member's where the dimension has no such hour."""
     hours = hours_of_policy(dim_datetime, policy)
     return (
-        trips.withColumn("_hour", hour_floor(F.col("pickup_datetime")))
-        .join(hours, F.col("_hour") == hours["datetime_hour"], "left")
-        .withColumn("datetime_key", F.coalesce("datetime_key", F.lit(UNKNOWN_KEY)))
-        .drop("_hour", "datetime_hour")
+        trips.selectExpr("*", f"{hour_floor('pickup_datetime')} AS datetime_hour")
+        .join(hours, "datetime_hour", "left")
+        .selectExpr(*trips.columns, f"coalesce(datetime_key, {UNKNOWN_KEY}) AS datetime_key")
     )
 
 

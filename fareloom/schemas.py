@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -133,4 +132,4 @@ PAYMENT_LABELS = {
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the contract's columns, in order, cast to its types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
