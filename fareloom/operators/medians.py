@@ -1,7 +1,7 @@
 """Exact upper medians (element n // 2 of the sorted non-null values) and imputation with them.
 
 percentile_disc gives the same value but keeps every distinct value of a column in one aggregation buffer.
-Here each pass counts the values of a column's bracket in equal slots, and the slot that holds the wanted
+Here each pass counts the values of a column's bracket slot by slot, and the slot that holds the wanted
 rank becomes the next bracket. A pass is one scan of the columns and shuffles only slot counts. The last
 pass sorts the few values left.
 """
@@ -29,8 +29,9 @@ from pyspark.sql.types import (
     StructType,
 )
 
-SLOTS = 1_024  # slot counts per column and pass; also the most rows per column the driver reads back
+SLOTS = 512  # of each kind, per column and pass; the driver reads back at most 2 * SLOTS rows per column
 FEW = 1_000_000  # rows per column that one window task may sort in the last pass
+LOG_SHIFT = 750.0  # makes the logarithm of any double's size positive: the smallest is about -744.4
 
 
 @dataclass
@@ -76,20 +77,42 @@ def first_brackets(df: DataFrame, values: dict[str, Column]) -> dict[str, Bracke
     }
 
 
-def slot_of(value: Column, b: Bracket, slots: int) -> Column:
-    """Slot of a value within [low, high]: never falls as the value grows, first for low and last for high.
+def magnitude(x: float) -> float:
+    """Grows with x over all finite doubles and is even in their logarithm; see log_slot."""
+    return 0.0 if x == 0 else math.copysign(math.log(abs(x)) + LOG_SHIFT, x)
 
-    Infinite ends take a slot of their own. Halving first keeps the width of a very wide bracket finite.
-    """
+
+def even_slot(value: Column, b: Bracket, slots: int) -> Column:
+    """Slots of equal width. Halving first keeps the width of a very wide bracket finite."""
     if isinstance(b.low, Decimal):
         share = (value - F.lit(b.low)).cast("double") / float(b.high - b.low)
-    elif math.isinf(b.low) or math.isinf(b.high):
-        return F.when(value == float("-inf"), 0).when(value == float("inf"), 2).otherwise(1)
     elif math.isinf(b.high - b.low):
         share = (value * 0.5 - b.low * 0.5) / (b.high * 0.5 - b.low * 0.5)
     else:
         share = (value - b.low) / (b.high - b.low)
-    return F.least(F.floor(share * slots), F.lit(slots - 1)).cast("int")
+    return F.least(F.floor(share * slots), F.lit(slots - 1))
+
+
+def log_slot(value: Column, b: Bracket, slots: int) -> Column:
+    """Slots of equal ratio. Java's log never falls as its argument grows, so neither does the slot."""
+    x = value.cast("double")
+    size = F.when(x == 0, 0.0).otherwise(F.signum(x) * (F.log(F.abs(x)) + LOG_SHIFT))
+    low, high = magnitude(float(b.low)), magnitude(float(b.high))
+    if not low < high:
+        return F.lit(0)
+    return F.least(F.greatest(F.floor((size - low) / (high - low) * slots), F.lit(0)), F.lit(slots - 1))
+
+
+def slot_of(value: Column, b: Bracket, slots: int) -> Column:
+    """Slot of a value within [low, high]: never falls as the value grows, and differs between low and high.
+
+    Equal widths split most data well, but put everything in one slot where a few values are vastly larger;
+    equal ratios split that. Both grow with the value, so together they make at most 2 * slots slots.
+    Infinite ends take a slot of their own.
+    """
+    if isinstance(b.low, float) and (math.isinf(b.low) or math.isinf(b.high)):
+        return F.when(value == float("-inf"), 0).when(value == float("inf"), 2).otherwise(1)
+    return (even_slot(value, b, slots) * slots + log_slot(value, b, slots)).cast("int")
 
 
 def unpivoted(df: DataFrame, values: dict[str, Column], brackets: dict[str, Bracket], slots: int) -> DataFrame:
@@ -109,7 +132,7 @@ def narrowed(cells: DataFrame, brackets: dict[str, Bracket]) -> dict[str, Bracke
         cells.groupBy("column_name", "slot")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
         .orderBy("column_name", "slot")
-        .collect()  # at most SLOTS rows per column
+        .collect()  # at most 2 * SLOTS rows per column
     )
     found, passed = {}, {}
     for slot in counted:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.schemas import DIMENSIONS, MONTH_KEY, PRIMARY_KEYS, REQUIRED_COLUMNS
+from fareloom.schemas import DIMENSIONS, MONTH_KEY, PRIMARY_KEYS, REQUIRED_COLUMNS, UNKNOWN_KEY
 
 FOREIGN_KEYS = {PRIMARY_KEYS[dim]: dim for dim in DIMENSIONS}
 
@@ -77,30 +77,26 @@ def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 def expectations(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """(check_name, table_name, passed, observed) of the checks that follow each job step.
 
-    Emptiness takes one row, not a count; the month count reads the partition column only.
+    Emptiness takes one row, not a count, and a dimension needs a member besides the unknown one; the month
+    count reads the partition column only.
     """
     results: list[tuple[str, str, bool, int]] = []
 
-    def record(check: str, table: str, passed: bool, observed: int) -> None:
-        results.append((check, table, passed, observed))
-
-    def check_filled(table: str, df: DataFrame) -> None:
-        filled = not df.isEmpty()
-        record("has_rows", table, filled, int(filled))
+    def record(check: str, table: str, observed: int) -> None:
+        results.append((check, table, observed > 0, observed))
 
     def check_column(table: str, df: DataFrame | None, column: str) -> None:
-        has = df is not None and column in df.columns
-        record(f"has_column_{column}", table, has, int(has))
+        record(f"has_column_{column}", table, int(df is not None and column in df.columns))
 
-    check_filled("raw", raw)
+    record("has_rows", "raw", int(not raw.isEmpty()))
     check_column("raw", raw, MONTH_KEY)
     if MONTH_KEY in raw.columns:
-        months = raw.agg(F.count_distinct(MONTH_KEY).alias("n")).first()["n"]
-        record("has_months", "raw", months > 0, months)
+        record("has_months", "raw", raw.agg(F.count_distinct(MONTH_KEY).alias("n")).first()["n"])
     for table in DIMENSIONS:
-        record("is_present", table, table in dims, int(table in dims))
+        record("is_present", table, int(table in dims))
         if table in dims:
-            check_filled(table, dims[table])
+            members = dims[table].where(f"{PRIMARY_KEYS[table]} <> {UNKNOWN_KEY}")
+            record("has_members", table, int(not members.isEmpty()))
     check_column("dim_pickup_location", dims.get("dim_pickup_location"), "zone")
     check_column("dim_datetime", dims.get("dim_datetime"), "year")
     return raw.sparkSession.createDataFrame(

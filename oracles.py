@@ -224,13 +224,16 @@ def expectation_rows() -> str:
     def filled(table: str) -> str:
         return f"(SELECT CAST(CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS BIGINT) FROM {table})"
 
+    def members(dim: str) -> str:
+        return filled(f"{dim} WHERE {DIMS[dim]} <> -1")
+
     rows = [
         row("has_rows", "raw", filled("trips_raw")),
         row("has_column__month_key", "raw", one),
         row("has_months", "raw", "(SELECT count(DISTINCT _month_key) FROM trips_raw)"),
     ]
     for dim in DIMS:
-        rows += [row("is_present", dim, one), row("has_rows", dim, filled(dim))]
+        rows += [row("is_present", dim, one), row("has_members", dim, members(dim))]
     rows += [row("has_column_zone", "dim_pickup_location", one), row("has_column_year", "dim_datetime", one)]
     return " UNION ALL ".join(rows)
 
