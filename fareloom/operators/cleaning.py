@@ -91,7 +91,8 @@ def reject_reason(policy: str | CleaningPolicy) -> str:
 
 
 def trip_columns(raw: DataFrame) -> list[str]:
-    return [c for c in raw.columns if c != MONTH_KEY]
+    """The landed columns, quoted: files may bring extra columns under any name."""
+    return [f"`{c}`" for c in raw.columns if c != MONTH_KEY]
 
 
 def clean_trips(raw: DataFrame, policy: str | CleaningPolicy = "code") -> DataFrame:

@@ -16,6 +16,7 @@ from fareloom.operators.cleaning import (
     as_policy,
     clean_trips,
     midnight,
+    trip_columns,
 )
 from fareloom.operators.keys import dense_key, natural_key
 from fareloom.schemas import FACT_TRIPS, UNKNOWN_KEY, conform
@@ -52,7 +53,7 @@ def trip_measures(raw: DataFrame, policy: str | CleaningPolicy = "code", spread:
     types = {f.name: f.dataType for f in clean.schema.fields}
     spread_columns = []
     if spread:
-        apart = f"xxhash64({', '.join(clean.columns)})" if p.drop_duplicates else "monotonically_increasing_id()"
+        apart = f"xxhash64({', '.join(trip_columns(clean))})" if p.drop_duplicates else "monotonically_increasing_id()"
         spread_columns = [f"{apart} AS {SPREAD}"]
 
     # Two steps, so that each amount is worked out once and then rounded.
@@ -103,7 +104,11 @@ def with_hour_key(trips: DataFrame, dim_datetime: DataFrame, policy: CleaningPol
 def build_fact(
     raw: DataFrame, dim_datetime: DataFrame, policy: str | CleaningPolicy = "code", keyed: bool = True
 ) -> DataFrame:
-    """The fact table. `keyed` numbers the trips, which writes one staged table; without it trip_id is absent."""
+    """The fact table. `keyed` numbers the trips, which writes one staged table; without it trip_id is absent.
+
+    Numbering expects `raw` to be a stored table, as read_raw gives: equal trips are told apart by their place
+    in the scan, which a retried task finds again.
+    """
     p = as_policy(policy)
     fact = with_hour_key(trip_measures(raw, p, spread=keyed), dim_datetime, p)
     columns = [c for c in FACT_TRIPS.fieldNames() if c != "trip_id"]

@@ -107,6 +107,17 @@ def test_copies_that_differ_only_in_passed_through_columns_are_no_duplicates(spa
     assert clean_trips(raw, "documented").count() == 2
 
 
+def test_extra_columns_may_have_any_name(spark):
+    raw = trips(spark, [trip(), trip(), trip(fare_amount=-1.0)]).withColumn("cbd fee, v1.2", F.lit(0.75))
+    for policy, kept in (("code", 2), ("documented", 1)):
+        clean = clean_trips(raw, policy)
+        assert clean.columns[-1] == "cbd fee, v1.2"
+        fact = build_fact(raw, build_dims(raw)["dim_datetime"], policy)
+        assert clean.count() == fact.count() == kept
+        assert rejected_trips(raw, policy).agg(F.sum("copies")).first()[0] == 3 - kept
+        assert month_audit(raw, policy).first().clean_rows == kept
+
+
 def test_a_row_is_blamed_on_the_first_rule_it_breaks(spark):
     raw = trips(spark, [trip(tpep_pickup_datetime=None, fare_amount=-1.0), trip(fare_amount=-1.0, tip_amount=-1.0)])
     found = {r.reject_reason: r.removed_rows for r in reject_reasons(raw).collect()}
