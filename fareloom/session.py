@@ -32,6 +32,5 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="fareloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fareloom-"))
+    return spark.sparkContext.getCheckpointDir()
