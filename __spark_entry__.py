@@ -134,13 +134,12 @@ def stored_star(raw: DataFrame) -> tuple[str, DataFrame]:
 
 
 PAYMENT_SQL = """
-SELECT p.payment_type_name, count(*) AS trips,
- CAST(round(avg(CAST(f.fare_amount AS DECIMAL(18, 2))), 2) AS DOUBLE) AS avg_fare,
- CAST(round(avg(CAST(f.tip_amount AS DECIMAL(18, 2))), 2) AS DOUBLE) AS avg_tip
-FROM {fact_trips} f JOIN {dim_payment_type} p ON f.payment_type_key = p.payment_type_key
-WHERE f.payment_type_key != -1
-GROUP BY p.payment_type_name
-ORDER BY trips DESC
+SELECT payment_type_name, count(*) AS trips,
+ CAST(round(avg(CAST(fare_amount AS DECIMAL(18, 2))), 2) AS DOUBLE) AS avg_fare,
+ CAST(round(avg(CAST(tip_amount AS DECIMAL(18, 2))), 2) AS DOUBLE) AS avg_tip
+FROM {fact_trips} JOIN {dim_payment_type} USING (payment_type_key)
+WHERE payment_type_key <> -1
+GROUP BY payment_type_name ORDER BY trips DESC, payment_type_name
 """
 
 

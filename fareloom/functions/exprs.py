@@ -5,6 +5,8 @@ They are text rather than Column objects: a projection then crosses to the JVM o
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql.types import DataType, IntegralType
 
 
@@ -27,6 +29,11 @@ def hour_floor(ts: str) -> str:
     return f"(CAST(CAST({ts} AS DATE) AS TIMESTAMP_NTZ) + make_dt_interval(0, hour({ts})))"
 
 
+def moment(at: dt.datetime) -> str:
+    """A zone-less literal. A Python datetime passed as a literal would go through the session zone."""
+    return f"TIMESTAMP_NTZ'{at.isoformat(sep=' ')}'"
+
+
 def elapsed_micros(start: str, end: str) -> str:
     """Microseconds between two zone-less timestamps. timestampdiff would apply the session zone."""
     return f"(({end} - {start}) DIV INTERVAL '0.000001' SECOND)"

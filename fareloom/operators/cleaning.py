@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from fareloom.functions import elapsed_micros, non_negative_or_null
+from fareloom.functions import elapsed_micros, moment, non_negative_or_null
 from fareloom.schemas import MONTH_KEY
 
 MAX_MINUTES = 600
@@ -45,7 +45,7 @@ def as_policy(policy: str | CleaningPolicy) -> CleaningPolicy:
 
 
 def midnight(day: dt.date) -> str:
-    return f"TIMESTAMP_NTZ'{day:%Y-%m-%d} 00:00:00'"
+    return moment(dt.datetime.combine(day, dt.time()))
 
 
 def rules(policy: str | CleaningPolicy) -> list[tuple[str, str]]:

@@ -15,7 +15,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-MONTH_KEY = "_month_key"
+MONTH_KEY = "_month_key"  # month of the file a trip came in; the raw table is stored by it
+PICKUP_MONTH = "pickup_month"  # first day of the pickup month; the fact table is stored by it
 
 def table(**columns: DataType) -> StructType:
     return StructType([StructField(name, data_type) for name, data_type in columns.items()])

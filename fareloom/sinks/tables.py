@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, STAR, conform
+from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, STAR, conform
 from fareloom.sources.storage import discard, new_version, publish
 
 LOAD_REPORT = "table_name string, row_count bigint"
-PICKUP_MONTH = "pickup_month"
 JDBC_BATCH = 50_000
 
 

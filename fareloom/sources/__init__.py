@@ -1,5 +1,5 @@
 from fareloom.sources.months import month_path, nan_to_null, normalise_names, read_months, with_missing_columns
-from fareloom.sources.tables import query_tables, read_csv, read_raw, read_star
+from fareloom.sources.tables import query_tables, read_csv, read_raw, read_star, read_trips
 
 __all__ = [
     "month_path",
@@ -10,5 +10,6 @@ __all__ = [
     "read_months",
     "read_raw",
     "read_star",
+    "read_trips",
     "with_missing_columns",
 ]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from fareloom.schemas import MONTH_KEY, STAR
+from fareloom.functions import moment
+from fareloom.schemas import FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, STAR
 from fareloom.sources.storage import current_version
 
 
@@ -27,6 +30,17 @@ def read_star(spark: SparkSession, base: str, views: bool = False) -> dict[str,
     return tables
 
 
+def read_trips(spark: SparkSession, base: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
+    """Fact rows picked up in [start, end). Opens only the month folders the range touches, and in them skips
+    files and row groups by their pickup times."""
+    return (
+        spark.read.parquet(f"{current_version(spark, base)}/fact_trips")
+        .where(f"{PICKUP_MONTH} BETWEEN DATE'{start:%Y-%m}-01' AND DATE'{end:%Y-%m-%d}'")
+        .where(f"pickup_datetime >= {moment(start)} AND pickup_datetime < {moment(end)}")
+        .select(*FACT_TRIPS.fieldNames())
+    )
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """CSV with a header. With a schema there is no extra pass over the file to infer one."""
     reader = spark.read.option("header", True)

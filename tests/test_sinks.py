@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from fareloom.fixtures import trips_raw
 from fareloom.plans import average_by_payment, build_dims, build_fact, refresh_star, trip_detail
 from fareloom.schemas import FACT_TRIPS, STAR
 from fareloom.sinks import ensure_namespace, write_raw, write_star
-from fareloom.sources import read_raw, read_star
+from fareloom.sources import read_raw, read_star, read_trips
 from fareloom.sources.storage import drop_old_versions, published
 from tests.trips import at, trip, trips
 
@@ -113,6 +114,29 @@ def test_fact_layout_follows_pickup_time(spark, tmp_path):
     assert fact.where(F.col("pickup_datetime") < dt.datetime(2025, 2, 1)).count() == 3
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_fact_files_are_sorted_and_a_time_range_prunes(spark, conf, tmp_path, zone):
+    conf("spark.sql.session.timeZone", zone)
+    base = str(tmp_path / "star")
+    raw = trips_raw(spark, SF)
+    write_star(spark, base, build_dims(raw), lambda stored: build_fact(raw, stored["dim_datetime"]))
+    files = list((tmp_path / "star").rglob("pickup_month=*/*.parquet"))
+    assert files
+    for file in files:
+        times = pq.read_table(file, columns=["pickup_datetime"])["pickup_datetime"].to_pylist()
+        assert times == sorted(times)
+
+    start, end = dt.datetime(2025, 3, 15, 6), dt.datetime(2025, 5, 1)
+    found = read_trips(spark, base, start, end)
+    everything = read_star(spark, base)["fact_trips"]
+    inside = "pickup_datetime >= timestamp_ntz'2025-03-15 06:00:00' AND pickup_datetime < timestamp_ntz'2025-05-01'"
+    same(found, everything.where(inside))
+    assert {r[0] for r in found.selectExpr("month(pickup_datetime)").distinct().collect()} == {3, 4}
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pickup_month" in text
+    assert read_trips(spark, base, dt.datetime(2025, 12, 31, 12), dt.datetime(2026, 1, 1)).count() > 0
+
+
 def test_namespace(spark):
     ensure_namespace(spark, "raw")
     ensure_namespace(spark, "raw")
