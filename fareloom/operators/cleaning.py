@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 
 from fareloom.functions import elapsed_micros, moment, non_negative_or_null
 from fareloom.schemas import MONTH_KEY
+from fareloom.sources.months import with_missing_columns
 
 MAX_MINUTES = 600
 MAX_MILES = 500
 MICROS_PER_MINUTE = 60_000_000
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+MEASURES = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount"]
 
 
 @dataclass(frozen=True)
@@ -26,6 +28,7 @@ class CleaningPolicy:
     dropoff_before: dt.date | None
     strict_duration: bool
     drop_duplicates: bool
+    fill_missing_columns: bool
 
     @property
     def last_pickup_bound(self) -> dt.date | None:
@@ -35,8 +38,8 @@ class CleaningPolicy:
 
 
 POLICIES = {
-    "code": CleaningPolicy("code", dt.date(2025, 1, 1), dt.date(2026, 1, 1), None, False, False),
-    "documented": CleaningPolicy("documented", dt.date(2015, 1, 1), None, dt.date(2026, 1, 1), True, True),
+    "code": CleaningPolicy("code", dt.date(2025, 1, 1), dt.date(2026, 1, 1), None, False, False, False),
+    "documented": CleaningPolicy("documented", dt.date(2015, 1, 1), None, dt.date(2026, 1, 1), True, True, True),
 }
 
 
@@ -95,6 +98,11 @@ def trip_columns(raw: DataFrame) -> list[str]:
     return [f"`{c}`" for c in raw.columns if c != MONTH_KEY]
 
 
+def with_measures(raw: DataFrame, policy: CleaningPolicy) -> DataFrame:
+    """The landed trips with measures that no month brought filled with 0.0, where the policy says so."""
+    return with_missing_columns(raw, dict.fromkeys(MEASURES, 0.0)) if policy.fill_missing_columns else raw
+
+
 def clean_trips(raw: DataFrame, policy: str | CleaningPolicy = "code") -> DataFrame:
     """Rows that pass every rule, without the month key.
 
@@ -103,6 +111,7 @@ def clean_trips(raw: DataFrame, policy: str | CleaningPolicy = "code") -> DataFr
     as one row per task.
     """
     p = as_policy(policy)
+    raw = with_measures(raw, p)
     kept = raw.where(keeps(p)).select(*trip_columns(raw))
     return kept.distinct() if p.drop_duplicates else kept
 
@@ -114,6 +123,7 @@ def rejected_trips(raw: DataFrame, policy: str | CleaningPolicy = "code") -> Dat
     copies equals the raw rows.
     """
     p = as_policy(policy)
+    raw = with_measures(raw, p)
     columns = trip_columns(raw)
     broken = raw.selectExpr(*columns, f"{reject_reason(p)} AS reject_reason", "1L AS copies").where(
         "reject_reason IS NOT NULL"

@@ -19,7 +19,10 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of every table."""
     return union_all(
-        [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
+        [
+            df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+            for name, df in tables.items()
+        ]
     )
 
 
@@ -43,9 +46,8 @@ def null_violations(tables: dict[str, DataFrame]) -> DataFrame:
         columns = REQUIRED_COLUMNS[name]
         counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
         pairs = [x for c in columns for x in (F.lit(c), F.col(c))]
-        checks.append(
-            counts.select(F.lit(name).alias("table_name"), F.stack(F.lit(len(columns)), *pairs).alias("column_name", "null_rows"))
-        )
+        unpivoted = F.stack(F.lit(len(columns)), *pairs).alias("column_name", "null_rows")
+        checks.append(counts.select(F.lit(name).alias("table_name"), unpivoted))
     return union_all(checks)
 
 

@@ -12,6 +12,7 @@ from fareloom.operators.cleaning import (
     reject_reason,
     rejected_trips,
     trip_columns,
+    with_measures,
 )
 from fareloom.schemas import MONTH_KEY
 
@@ -22,6 +23,7 @@ def month_audit(raw: DataFrame, policy: str | CleaningPolicy = "code") -> DataFr
     A trip found in several months counts as clean in the first of them when the policy drops duplicates.
     """
     p = as_policy(policy)
+    raw = with_measures(raw, p)
     if p.drop_duplicates:
         audit = audit_without_duplicates(raw, p)
     else:
@@ -51,6 +53,7 @@ def audit_without_duplicates(raw: DataFrame, policy: CleaningPolicy) -> DataFram
 def reject_reasons(raw: DataFrame, policy: str | CleaningPolicy = "code") -> DataFrame:
     """(reject_reason, removed_rows) with the first broken rule as the reason."""
     p = as_policy(policy)
+    raw = with_measures(raw, p)
     if p.drop_duplicates:
         rejected = rejected_trips(raw, p).groupBy("reject_reason").agg(F.sum("copies").alias("removed_rows"))
     else:

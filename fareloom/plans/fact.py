@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from fareloom.functions import elapsed_micros, hour_floor, round_cents, rounded_int
 from fareloom.operators.cleaning import (
     DROPOFF,
+    MEASURES,
     MICROS_PER_MINUTE,
     PICKUP,
     CleaningPolicy,
@@ -37,7 +40,7 @@ TRIP_ORDER = [
     "tolls_amount",
     "total_amount",
 ]
-MONEY = ["trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount"]
+AMOUNTS = [c for c in MEASURES if c != "passenger_count"]
 MOST_HOURS = 200_000  # about 23 years, a few megabytes: the largest hour lookup to broadcast
 SPREAD = "_spread"
 
@@ -50,7 +53,8 @@ def trip_measures(raw: DataFrame, policy: str | CleaningPolicy = "code", spread:
     """
     p = as_policy(policy)
     clean = clean_trips(raw, p)
-    types = {f.name: f.dataType for f in clean.schema.fields}
+    # An absent column gets any type here, for Spark to report it by name.
+    types = defaultdict(DoubleType, {f.name: f.dataType for f in clean.schema.fields})
     spread_columns = []
     if spread:
         apart = f"xxhash64({', '.join(trip_columns(clean))})" if p.drop_duplicates else "monotonically_increasing_id()"
@@ -66,7 +70,7 @@ def trip_measures(raw: DataFrame, policy: str | CleaningPolicy = "code", spread:
         f"{DROPOFF} AS dropoff_datetime",
         f"greatest(coalesce({rounded_int('passenger_count', types['passenger_count'])}, 1), 1) AS passenger_count",
         f"{elapsed_micros(PICKUP, DROPOFF)} / {MICROS_PER_MINUTE}D AS trip_duration_min",
-        *[f"coalesce(CAST({c} AS DOUBLE), 0D) AS {c}" for c in MONEY],
+        *[f"coalesce(CAST({c} AS DOUBLE), 0D) AS {c}" for c in AMOUNTS],
         *spread_columns,
     )
     return amounts.selectExpr(

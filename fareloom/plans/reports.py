@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.schemas import UNKNOWN_KEY
+from fareloom.schemas import PRIMARY_KEYS, UNKNOWN_KEY
 
 
 def trip_detail(trips: DataFrame, dims: dict[str, DataFrame], n: int = 20) -> DataFrame:
     """The first n trips by id with vendor, payment type and pickup hour spelled out.
 
-    At most n rows are picked before the joins and each join broadcasts them, never a dimension, so the size
-    of the dimensions does not matter. Every key of a trip has a member (see fk_orphans), so joining later
-    loses none of the n.
+    Trip ids are dense from 1, so the filter names those trips and lets the reader skip all other files and
+    row groups. The n rows are picked before the joins and each join broadcasts them, never a dimension, so
+    the size of the dimensions does not matter. Every key of a trip has a member (see fk_orphans), so joining
+    later loses none of the n.
     """
-    detail = trips.orderBy("trip_id").limit(n)
-    for dim, key in [("dim_vendor", "vendor_key"), ("dim_payment_type", "payment_type_key"), ("dim_datetime", "datetime_key")]:
-        detail = dims[dim].join(F.broadcast(detail), key)
+    detail = trips.where(f"trip_id <= {n}").orderBy("trip_id").limit(n)
+    for dim in ("dim_vendor", "dim_payment_type", "dim_datetime"):
+        detail = dims[dim].join(F.broadcast(detail), PRIMARY_KEYS[dim])
     return detail.select(
         "trip_id",
         "vendor_name",

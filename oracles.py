@@ -182,17 +182,15 @@ def reject_counts(policy: str) -> str:
 FROM (SELECT {reason(policy)} AS reject_reason FROM trips_raw) WHERE reject_reason IS NOT NULL GROUP BY reject_reason"""
     if policy == "documented":
         text += f"""
-UNION ALL SELECT 'duplicate', (SELECT count(*) FROM trips_raw WHERE {keeps(policy)}) - (SELECT count(*) FROM ({clean(policy)}))"""
+UNION ALL SELECT 'duplicate',
+ (SELECT count(*) FROM trips_raw WHERE {keeps(policy)}) - (SELECT count(*) FROM ({clean(policy)}))"""
     return text
 
 
 def audit(policy: str) -> str:
     if policy == "documented":
-        columns = "vendorid, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, ratecodeid, \
-store_and_fwd_flag, pulocationid, dolocationid, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, \
-improvement_surcharge, total_amount, congestion_surcharge, airport_fee"
-        kept = f"SELECT month_key FROM (SELECT {columns}, min(_month_key) AS month_key FROM trips_raw \
-WHERE {keeps(policy)} GROUP BY {columns})"
+        kept = f"""SELECT month_key FROM (
+ SELECT COLUMNS(* EXCLUDE (_month_key)), min(_month_key) AS month_key FROM trips_raw WHERE {keeps(policy)} GROUP BY ALL)"""
     else:
         kept = f"SELECT _month_key AS month_key FROM trips_raw WHERE {keeps(policy)}"
     return f"""SELECT r.month_key, r.n AS raw_rows, coalesce(c.n, 0) AS clean_rows, r.n - coalesce(c.n, 0) AS removed_rows
@@ -217,7 +215,10 @@ def table_counts(fact_table: str) -> str:
 
 def expectation_rows() -> str:
     def row(check: str, table: str, observed: str) -> str:
-        return f"SELECT '{check}' AS check_name, '{table}' AS table_name, o > 0 AS passed, o AS observed FROM (SELECT {observed} AS o)"
+        return (
+            f"SELECT '{check}' AS check_name, '{table}' AS table_name, o > 0 AS passed, o AS observed "
+            f"FROM (SELECT {observed} AS o)"
+        )
 
     one = "CAST(1 AS BIGINT)"
 
@@ -242,9 +243,10 @@ def median(column: str, sql_type: str) -> str:
     return f"CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY {column} DESC) AS {sql_type})"
 
 
-def drifted(table: str) -> str:
+def drifted(table: str, filler: str = "NULL") -> str:
     """Trips of months 7 to 12 lack the tolls column."""
-    return f"SELECT * REPLACE (CASE WHEN _month_key >= 'month_07' THEN NULL ELSE tolls_amount END AS tolls_amount) FROM {table}"
+    tolls = f"CASE WHEN _month_key >= 'month_07' THEN {filler} ELSE tolls_amount END AS tolls_amount"
+    return f"SELECT * REPLACE ({tolls}) FROM {table}"
 
 
 CODE_COLUMNS = ["vendorid", "payment_type", "pulocationid", "dolocationid"]
@@ -319,13 +321,12 @@ ORACLES: dict[str, str] = {
     "rows_per_month": sql(
         "SELECT _month_key AS month_key, count(*) AS row_count FROM trips_raw GROUP BY _month_key", "trips_raw"
     ),
-    "total_rows_over_months": sql("SELECT count(*) AS row_count, count(DISTINCT _month_key) AS months FROM trips_raw", "trips_raw"),
+    "total_rows_over_months": sql(
+        "SELECT count(*) AS row_count, count(DISTINCT _month_key) AS months FROM trips_raw", "trips_raw"
+    ),
     "one_month": sql("SELECT * EXCLUDE (_month_key) FROM trips_raw WHERE _month_key = 'month_03'", "trips_raw"),
     "schema_drift_union": sql(drifted("trips_raw"), "trips_raw"),
-    "missing_columns_default": sql(
-        "SELECT * REPLACE (CASE WHEN _month_key >= 'month_07' THEN 0.0 ELSE tolls_amount END AS tolls_amount) FROM trips_raw",
-        "trips_raw",
-    ),
+    "missing_columns_default": sql(drifted("trips_raw", "0.0"), "trips_raw"),
     "monthly_landing": sql(drifted("trips_raw"), "trips_raw"),
     "streaming_landing": sql("SELECT * FROM trips_raw", "trips_raw"),
     "star_refresh": sql(table_counts("fact_code"), *DIMS, "fact_code"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fareloom.fixtures import trips_raw
@@ -118,6 +119,16 @@ def test_extra_columns_may_have_any_name(spark):
         assert month_audit(raw, policy).first().clean_rows == kept
 
 
+def test_a_measure_that_no_month_brought(spark):
+    raw = trips(spark, [trip(), trip(fare_amount=-1.0)]).drop("tolls_amount", "passenger_count")
+    with pytest.raises(AnalysisException):
+        trip_measures(raw, "code")
+    row = trip_measures(raw, "documented").first()
+    assert (row.tolls_amount, row.passenger_count, row.fare_amount) == (0.0, 1, 12.35)
+    assert [tuple(r) for r in month_audit(raw, "documented").collect()] == [("month_06", 2, 1, 1)]
+    assert reject_reasons(raw, "documented").first().reject_reason == "fare_negative"
+
+
 def test_a_row_is_blamed_on_the_first_rule_it_breaks(spark):
     raw = trips(spark, [trip(tpep_pickup_datetime=None, fare_amount=-1.0), trip(fare_amount=-1.0, tip_amount=-1.0)])
     found = {r.reject_reason: r.removed_rows for r in reject_reasons(raw).collect()}

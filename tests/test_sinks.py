@@ -69,7 +69,9 @@ def test_star_refresh(spark, tmp_path):
         assert [(f.name, f.dataType) for f in tables[name].schema] == [(f.name, f.dataType) for f in schema]
     same(tables["fact_trips"], build_fact(raw, build_dims(raw)["dim_datetime"]))
     assert spark.sql("SELECT count(*) AS n FROM fact_trips").first().n == report["fact_trips"] == 4521
-    assert trip_detail(tables["fact_trips"], tables).count() == 20
+    detail = trip_detail(tables["fact_trips"], tables)
+    assert [r.trip_id for r in detail.collect()] == list(range(1, 21))
+    assert "LessThanOrEqual(trip_id,20)" in detail._jdf.queryExecution().executedPlan().toString()
     by_payment = average_by_payment(tables["fact_trips"], tables["dim_payment_type"])
     assert by_payment.agg(F.sum("trips")).first()[0] == tables["fact_trips"].where("payment_type_key <> -1").count()
 
