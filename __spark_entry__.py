@@ -130,7 +130,7 @@ def stored_star(raw: DataFrame) -> tuple[str, DataFrame]:
     spark = raw.sparkSession
     raw_base, star_base = scratch_path(spark, "raw"), scratch_path(spark, "star")
     write_raw(raw, raw_base)
-    return star_base, plans.refresh_star(spark, raw_base, star_base)
+    return star_base, plans.refresh_star(read_raw(spark, raw_base), star_base)
 
 
 PAYMENT_SQL = """

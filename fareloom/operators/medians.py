@@ -115,16 +115,19 @@ def slot_of(value: Column, b: Bracket, slots: int) -> Column:
     return (even_slot(value, b, slots) * slots + log_slot(value, b, slots)).cast("int")
 
 
-def unpivoted(df: DataFrame, values: dict[str, Column], brackets: dict[str, Bracket], slots: int) -> DataFrame:
-    """(column_name, value, slot) of the values inside the brackets, all of one type."""
+def unpivoted(
+    df: DataFrame, values: dict[str, Column], brackets: dict[str, Bracket], slots: int | None = None
+) -> DataFrame:
+    """(column_name, value) of the values inside the brackets, all of one type, and their slot if `slots` is given."""
     cells = []
     for name, b in brackets.items():
         value = values[name]
         inside = value.between(F.lit(b.low), F.lit(b.high))
-        cells += [F.lit(name), F.when(inside, value), F.when(inside, slot_of(value, b, slots))]
-    return df.select(F.stack(F.lit(len(brackets)), *cells).alias("column_name", "value", "slot")).where(
-        F.col("value").isNotNull()
-    )
+        cells += [F.lit(name), F.when(inside, value)]
+        if slots:
+            cells.append(F.when(inside, slot_of(value, b, slots)))
+    names = ["column_name", "value", "slot"] if slots else ["column_name", "value"]
+    return df.select(F.stack(F.lit(len(brackets)), *cells).alias(*names)).where("value IS NOT NULL")
 
 
 def narrowed(cells: DataFrame, brackets: dict[str, Bracket]) -> dict[str, Bracket]:
@@ -177,7 +180,7 @@ def median_values(df: DataFrame, cols: Sequence[str], slots: int = SLOTS, few: i
             if large:
                 open_brackets.update(narrowed(unpivoted(df, values, large, slots), large))
             if small:
-                medians.update(picked(unpivoted(df, values, small, slots), small))
+                medians.update(picked(unpivoted(df, values, small), small))
                 for name in small:
                     del open_brackets[name]
 

@@ -10,7 +10,7 @@ from fareloom.operators.cleaning import CleaningPolicy
 from fareloom.plans.dimensions import build_dims
 from fareloom.plans.fact import build_fact
 from fareloom.sinks import write_raw, write_star
-from fareloom.sources import read_months, read_raw
+from fareloom.sources import read_months
 
 
 def land_raw(
@@ -21,14 +21,12 @@ def land_raw(
     return write_raw(trips, base), report
 
 
-def refresh_star(
-    spark: SparkSession, raw_base: str, star_base: str, policy: str | CleaningPolicy = "code"
-) -> DataFrame:
-    """Rebuild and publish the star schema from the raw table; returns the rows of each table."""
-    raw = read_raw(spark, raw_base)
+def refresh_star(raw: DataFrame, base: str, policy: str | CleaningPolicy = "code") -> DataFrame:
+    """Rebuild and publish the star schema from a stored raw table, landed at once (read_raw) or file by file
+    (the output of land_incremental); returns the rows of each table."""
     return write_star(
-        spark,
-        star_base,
+        raw.sparkSession,
+        base,
         build_dims(raw),
         lambda stored: build_fact(raw, stored["dim_datetime"], policy),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fareloom.fixtures import trips_raw
 from fareloom.plans import average_by_payment, build_dims, build_fact, refresh_star, trip_detail
 from fareloom.schemas import FACT_TRIPS, STAR
-from fareloom.sinks import ensure_namespace, write_raw, write_star
+from fareloom.sinks import ensure_namespace, write_jdbc, write_raw, write_star
 from fareloom.sources import read_raw, read_star, read_trips
 from fareloom.sources.storage import drop_old_versions, published
 from tests.trips import at, trip, trips
@@ -61,7 +61,7 @@ def test_star_refresh(spark, tmp_path):
     raw_base, base = str(tmp_path / "raw"), str(tmp_path / "star")
     raw = trips_raw(spark, SF)
     write_raw(raw, raw_base)
-    report = {r.table_name: r.row_count for r in refresh_star(spark, raw_base, base).collect()}
+    report = {r.table_name: r.row_count for r in refresh_star(read_raw(spark, raw_base), base).collect()}
     tables = read_star(spark, base, views=True)
     assert list(report) == list(STAR)
     assert report == {name: df.count() for name, df in tables.items()}
@@ -144,3 +144,9 @@ def test_namespace(spark):
     ensure_namespace(spark, "raw")
     assert spark.catalog.databaseExists("raw")
     spark.sql("DROP DATABASE raw")
+
+
+def test_jdbc_needs_its_driver(spark):
+    """No database here: this only shows that the writer gets as far as looking for one."""
+    with pytest.raises(Exception, match="No suitable driver"):
+        write_jdbc(spark.range(1), "jdbc:nosuch:db", "raw.trips", {"user": "u", "password": "p"})

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from fareloom.fixtures import trips_raw
-from fareloom.plans import land_raw
+from fareloom.plans import land_raw, refresh_star
 from fareloom.schemas import RAW
 from fareloom.sources import read_raw
 from fareloom.streaming import land_incremental
@@ -36,6 +36,10 @@ def test_lands_what_the_batch_job_lands_and_each_file_once(spark, tmp_path):
 
     assert land(spark, tmp_path).count() == batch.count()  # nothing new
 
+    from_stream = {tuple(r) for r in refresh_star(landed, str(tmp_path / "a")).collect()}
+    assert from_stream == {tuple(r) for r in refresh_star(batch, str(tmp_path / "b")).collect()}
+    assert ("dim_vendor", 8) in from_stream
+
 
 def test_single_files_and_odd_spelling(spark, tmp_path):
     df = trips(spark, [trip(airport_fee=float("nan"))]).drop("_month_key").withColumnRenamed("airport_fee", "Airport_fee")
