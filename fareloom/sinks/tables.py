@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, STAR, conform
+from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, conform
 from fareloom.sources.storage import discard, new_version, publish
 
 LOAD_REPORT = "table_name string, row_count bigint"
@@ -25,6 +26,13 @@ def counted_write(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
     return seen.get["rows"]
 
 
+def load(table: str, job: Callable[[], int]) -> int:
+    try:
+        return job()
+    except Exception as exc:
+        raise RuntimeError(f"{table} load failed: {exc}") from exc
+
+
 def sized(writer: DataFrameWriter, max_records_per_file: int | None) -> DataFrameWriter:
     return writer.option("maxRecordsPerFile", max_records_per_file) if max_records_per_file else writer
 
@@ -39,14 +47,15 @@ def write_raw(df: DataFrame, base: str, max_records_per_file: int | None = None)
     if df.isEmpty():
         return spark.createDataFrame([("taxi_trips", 0)], LOAD_REPORT)
     version, path = new_version(base)
+
+    def save(out: DataFrame) -> None:
+        sized(out.write, max_records_per_file).partitionBy(MONTH_KEY).parquet(f"{path}/taxi_trips")
+
     try:
-        rows = counted_write(
-            df,
-            lambda out: sized(out.write, max_records_per_file).partitionBy(MONTH_KEY).parquet(f"{path}/taxi_trips"),
-        )
-    except Exception as exc:
+        rows = load("taxi_trips", lambda: counted_write(df, save))
+    except RuntimeError:
         discard(spark, path)
-        raise RuntimeError(f"raw load failed: {exc}") from exc
+        raise
     publish(spark, base, version)
     return spark.createDataFrame([("taxi_trips", rows)], LOAD_REPORT)
 
@@ -73,26 +82,29 @@ def write_star(
 ) -> DataFrame:
     """Rebuild the star schema and report the rows of each table.
 
-    Dimensions are stored first and read back for `make_fact`, so facts carry stored keys. The new version is
-    published after the last table; if any fails it is dropped and readers keep the previous one.
+    Dimensions are stored first, as jobs side by side, and read back for `make_fact`, so facts carry stored
+    keys. The new version is published after the last table; if any fails it is dropped and readers keep the
+    previous one.
     """
     version, path = new_version(base)
-    report, stored = [], {}
-    current = "star"
+
+    def store(name: str) -> int:
+        members = conform(dims[name], DIMENSIONS[name])
+        return load(name, lambda: counted_write(members, lambda out: out.write.parquet(f"{path}/{name}")))
+
+    def store_fact() -> int:
+        stored = {name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in DIMENSIONS.items()}
+        return write_fact(make_fact(stored), f"{path}/fact_trips", max_records_per_file)
+
     try:
-        for current, schema in DIMENSIONS.items():
-            target = f"{path}/{current}"
-            rows = counted_write(conform(dims[current], schema), lambda out: out.write.parquet(target))
-            report.append((current, rows))
-            stored[current] = spark.read.schema(schema).parquet(target)
-        current = "fact_trips"
-        report.append((current, write_fact(make_fact(stored), f"{path}/{current}", max_records_per_file)))
-    except Exception as exc:
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            rows = dict(zip(DIMENSIONS, pool.map(store, DIMENSIONS), strict=True))
+        rows["fact_trips"] = load("fact_trips", store_fact)
+    except Exception:
         discard(spark, path)
-        raise RuntimeError(f"{current} load failed: {exc}") from exc
+        raise
     publish(spark, base, version)
-    assert [name for name, _ in report] == list(STAR)
-    return spark.createDataFrame(report, LOAD_REPORT)
+    return spark.createDataFrame(list(rows.items()), LOAD_REPORT)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -87,6 +87,9 @@ def test_a_failed_load_keeps_the_published_star(spark, tmp_path):
 
     with pytest.raises(RuntimeError, match="fact_trips load failed"):
         write_star(spark, base, build_dims(raw), broken)
+    with pytest.raises(RuntimeError, match="dim_vendor load failed"):
+        lost = build_dims(raw)["dim_vendor"].withColumn("vendor_name", F.raise_error(F.lit("lost")).cast("string"))
+        write_star(spark, base, {**build_dims(raw), "dim_vendor": lost}, lambda stored: None)
     assert published(spark, base) == before
     assert [p.name for p in (tmp_path / "star" / "versions").iterdir()] == before
     assert read_star(spark, base)["fact_trips"].count() == 1
