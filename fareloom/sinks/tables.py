@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, conform
-from fareloom.sources.storage import discard, new_version, publish
+from fareloom.sources.storage import discard, dropping_scratch, new_version, publish
 
 LOAD_REPORT = "table_name string, row_count bigint"
 JDBC_BATCH = 50_000
@@ -83,8 +83,8 @@ def write_star(
     """Rebuild the star schema and report the rows of each table.
 
     Dimensions are stored first, as jobs side by side, and read back for `make_fact`, so facts carry stored
-    keys. The new version is published after the last table; if any fails it is dropped and readers keep the
-    previous one.
+    keys. Tables staged for the fact table go once it is stored. The new version is published after the last
+    table; if any fails it is dropped and readers keep the previous one.
     """
     version, path = new_version(base)
 
@@ -99,7 +99,8 @@ def write_star(
     try:
         with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
             rows = dict(zip(DIMENSIONS, pool.map(store, DIMENSIONS), strict=True))
-        rows["fact_trips"] = load("fact_trips", store_fact)
+        with dropping_scratch(spark):
+            rows["fact_trips"] = load("fact_trips", store_fact)
     except Exception:
         discard(spark, path)
         raise

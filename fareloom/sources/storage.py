@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fareloom.session import shared_dir
 
 
+MADE: ContextVar[list[str] | None] = ContextVar("MADE", default=None)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) as the executors see them."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -17,14 +23,30 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder in the shared folder, removed when the session ends."""
+    """A fresh folder in the shared folder, removed when the session ends or the dropping_scratch block does."""
     path = f"{shared_dir(spark)}/fareloom-{label}-{uuid.uuid4().hex}"
     fs, found = hadoop_path(spark, path)
     fs.mkdirs(found)
     fs.deleteOnExit(found)
+    made = MADE.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
+@contextmanager
+def dropping_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside the block at its end, when their rows have been written elsewhere."""
+    made: list[str] = []
+    token = MADE.set(made)
+    try:
+        yield
+    finally:
+        MADE.reset(token)
+        for path in made:
+            discard(spark, path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back, cutting the lineage."""
     spark = df.sparkSession
@@ -48,7 +70,7 @@ def publish(spark: SparkSession, base: str, version: str) -> None:
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    """Drop a version that was never published."""
+    """Remove a folder this library made."""
     fs, found = hadoop_path(spark, path)
     fs.delete(found, True)
 

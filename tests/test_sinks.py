@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fareloom.fixtures import trips_raw
 from fareloom.plans import average_by_payment, build_dims, build_fact, refresh_star, trip_detail
 from fareloom.schemas import FACT_TRIPS, STAR
+from fareloom.session import shared_dir
 from fareloom.sinks import ensure_namespace, write_jdbc, write_raw, write_star
 from fareloom.sources import read_raw, read_star, read_trips
 from fareloom.sources.storage import drop_old_versions, published
@@ -57,12 +58,18 @@ def test_files_can_be_kept_small(spark, tmp_path):
     assert len(parts) >= 5
 
 
+def staged_tables(spark):
+    return {p.name for p in Path(shared_dir(spark)).glob("fareloom-dense-key-*")}
+
+
 def test_star_refresh(spark, tmp_path):
+    staged = staged_tables(spark)
     raw_base, base = str(tmp_path / "raw"), str(tmp_path / "star")
     raw = trips_raw(spark, SF)
     write_raw(raw, raw_base)
     report = {r.table_name: r.row_count for r in refresh_star(read_raw(spark, raw_base), base).collect()}
     tables = read_star(spark, base, views=True)
+    assert staged_tables(spark) == staged
     assert list(report) == list(STAR)
     assert report == {name: df.count() for name, df in tables.items()}
     for name, schema in STAR.items():
@@ -80,7 +87,7 @@ def test_a_failed_load_keeps_the_published_star(spark, tmp_path):
     base = str(tmp_path / "star")
     raw = trips(spark, [trip()])
     write_star(spark, base, build_dims(raw), lambda stored: build_fact(raw, stored["dim_datetime"]))
-    before = published(spark, base)
+    before, staged = published(spark, base), staged_tables(spark)
 
     def broken(stored):
         return build_fact(raw, stored["dim_datetime"]).withColumn("vendor_key", F.raise_error(F.lit("lost")).cast("int"))
@@ -90,6 +97,7 @@ def test_a_failed_load_keeps_the_published_star(spark, tmp_path):
     with pytest.raises(RuntimeError, match="dim_vendor load failed"):
         lost = build_dims(raw)["dim_vendor"].withColumn("vendor_name", F.raise_error(F.lit("lost")).cast("string"))
         write_star(spark, base, {**build_dims(raw), "dim_vendor": lost}, lambda stored: None)
+    assert staged_tables(spark) == staged
     assert published(spark, base) == before
     assert [p.name for p in (tmp_path / "star" / "versions").iterdir()] == before
     assert read_star(spark, base)["fact_trips"].count() == 1
