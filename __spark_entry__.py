@@ -213,14 +213,27 @@ REGISTRY: dict[str, Query] = {
 }
 
 
+# The operators on documents are a subpackage that may be absent; the rest of the library does without it.
+try:
+    import corpus_pipeline
+    from fareloom.llm import registry as document_queries
+except ImportError:
+    document_queries = None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship query: trips, mean fare and mean tip per payment type."""
     return REGISTRY["avg_fare_by_payment"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return dict(REGISTRY)
+    if document_queries is None:
+        return dict(REGISTRY)
+    return REGISTRY | document_queries.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    if document_queries is None:
+        return dict(ORACLES)
+    found = ORACLES | document_queries.ORACLES
+    return found if corpus_pipeline.ORACLE_SQL is None else found | {"pipeline": corpus_pipeline.ORACLE_SQL}

@@ -28,10 +28,12 @@ def in_order(rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    """Those on documents have one where SQL can express them; tests/llm compares the others with plain Python."""
+    assert set(entry_point.REGISTRY) == set(entry_point.ORACLES)
+    assert set(entry_point.REGISTRY) <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, duck, name):
     found = QUERIES[name](spark, SF_DIR)
     wanted = duck.execute(ORACLES[name])
