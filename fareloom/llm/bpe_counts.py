@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import quoted, read_table, text_or_empty
+from fareloom.llm.common import quoted, read_table, slices, text_or_empty
 
 REMEMBERED = 600_000  # words per Python worker
 LIMIT = 2048
@@ -129,7 +129,7 @@ def counter(path: str) -> TokenCounter:
 def count_batches(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path).count
-        for batch in batches:
+        for batch in slices(batches):
             tokens = pa.array([count(t.as_py()) for t in batch["body"]], pa.int64())
             yield pa.record_batch([batch["id"], batch["n_bytes"], tokens], names=["id", "n_bytes", "n_tokens"])
 

@@ -60,6 +60,13 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(quoted(column)).cast("string"), F.lit(""))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what a Python helper builds from one stays small. An empty task gives nothing."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def byte_words(text: str | bytes | None) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. bytes.split and bytes.lower know ASCII only, which is
     just this rule on UTF-8."""

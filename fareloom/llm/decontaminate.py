@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from fareloom.llm.common import quoted, read_table, text_bytes, text_or_empty, whole_row
+from fareloom.llm.common import quoted, read_table, slices, text_bytes, text_or_empty, whole_row
 
 MIN_WORDS, COVERAGE = 10, 1.0
 BLOCK_BYTES = 16 << 20
@@ -154,7 +154,7 @@ def mark_batches(automaton, last: bool) -> Callable[[Iterator[pa.RecordBatch]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = automaton.value.hits
-        for batch in batches:
+        for batch in slices(batches):
             bodies, sizes, spans, found = [], [], [], []
             for raw, old_spans, old_items in zip(
                 text_bytes(batch["body"]), batch["spans"].to_pylist(), batch["items"].to_pylist(), strict=True

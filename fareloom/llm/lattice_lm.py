@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import byte_words, quoted, read_table, text_bytes, text_or_empty
+from fareloom.llm.common import byte_words, quoted, read_table, slices, text_bytes, text_or_empty
 from fareloom.sources.storage import stage
 
 FREQUENT = 200_000
@@ -187,7 +187,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     counts: Counter = Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for held_out, raw in zip(batch["held_out"].to_pylist(), text_bytes(batch["body"]), strict=True):
             words = byte_words(raw)
             if held_out:
@@ -234,7 +234,7 @@ def score_frequent(table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         words, counts, scores = table.value
         place = dict(zip(words, range(len(words)), strict=True)).get
         base = np.log10(counts + 1.0)
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             origin: list[int] = []
             for i, raw in enumerate(text_bytes(batch["body"])):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from fareloom.llm.common import byte_words, quoted, read_table, text_bytes, text_or_empty, whole_row
+from fareloom.llm.common import byte_words, quoted, read_table, slices, text_bytes, text_or_empty, whole_row
 from fareloom.sources.storage import stage
 
 FUNCTIONS = 80
@@ -100,7 +100,7 @@ def sign(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
     """(id, rk, body) -> (id, rk, node, n_shingles, bands)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             nodes, sets = [], []
             for raw in text_bytes(batch["body"]):
                 words = byte_words(raw)
@@ -123,7 +123,7 @@ def full_sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     """(node, body) -> (node, shingles): the full set of each candidate, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             packed = [shingle_set(byte_words(raw), k).tobytes() for raw in text_bytes(batch["body"])]
             yield pa.record_batch([batch["node"], pa.array(packed, pa.binary())], names=["node", "shingles"])
 
@@ -272,7 +272,7 @@ def near_duplicates(
 
 def name_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, body, place) -> (row, node): without words, the row's place, which is shorter than a node."""
-    for batch in batches:
+    for batch in slices(batches):
         nodes = [
             node_of(byte_words(raw)) or place.as_py().to_bytes(8, "big")
             for raw, place in zip(text_bytes(batch["body"]), batch["place"], strict=True)
