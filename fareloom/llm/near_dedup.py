@@ -5,10 +5,10 @@ the set, so 80 functions fill 160 places. The places are cut into 32 bands of fi
 are candidates, and a candidate counts only after an exact comparison of the full shingle sets. At a similarity of
 0.85 a pair misses all bands with a probability of 7e-9, at 0.8 of 3e-6.
 
-Documents with the same words are one node from the start. A bucket of n nodes never emits its n * n pairs: a round
-compares at most HUBS nodes of it with the rest, and only those not yet known to be of one class. Rounds end when, in
-every bucket, each node has either been compared so or belongs to the bucket's largest class, at which point no link
-between candidates is left unseen.
+Documents with the same words are one node from the start. A bucket of n nodes does not emit its n * n pairs: a first
+round compares one node with the rest, and each later one as many nodes as make at most PAIRS pairs (but at least
+one), and only with nodes not yet known to be of their class. Rounds end when, in every bucket, each node has either
+been compared so or belongs to the bucket's largest class, at which point no link between candidates is left unseen.
 
 Nulls, empty texts and texts of white space: no words, no shingles, linked with nothing. Fewer words than a shingle:
 the whole sequence is one shingle. Rows that repeat, also under one id, are copies. A null id can belong to a class, whose
@@ -32,7 +32,7 @@ from fareloom.sources.storage import stage
 
 FUNCTIONS = 80
 BANDS, BAND_ROWS = 32, 5  # BANDS * BAND_ROWS == 2 * FUNCTIONS
-HUBS = 8
+PAIRS = 1 << 18  # compared for a bucket in one round
 CHUNK = 1 << 16  # shingles hashed at once, so that the working arrays stay in the processor's cache
 
 _seeds = np.random.Generator(np.random.PCG64(20_240_601))
@@ -208,12 +208,16 @@ def linked_nodes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         now = stage(labelled(members, labels), "members")
         per_class = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"))
         largest = per_class.groupBy("key").agg(
-            F.max(F.struct("held", "label")).alias("top"), F.count(F.lit(1)).alias("kinds")
+            F.max(F.struct("held", "label")).alias("top"),
+            F.count(F.lit(1)).alias("kinds"),
+            F.sum("held").alias("held"),
+        )
+        open_buckets = largest.where("kinds > 1").selectExpr(
+            "key", "top.label AS top", f"greatest(1, {PAIRS} DIV held) AS lots"
         )
-        open_buckets = largest.where("kinds > 1").select("key", F.col("top.label").alias("top"))
         waiting = now.join(open_buckets, "key").where("label <> top").join(used, ["key", "node"], "left_anti")
         hubs = (
-            waiting.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("lot"))
+            waiting.groupBy("key", F.pmod(F.xxhash64("node"), F.col("lots")).alias("lot"))
             .agg(F.min(F.struct("node", "n", "label")).alias("h"))
             .select("key", "h.*")
         )
