@@ -5,10 +5,12 @@ the set, so 80 functions fill 160 places. The places are cut into 32 bands of fi
 are candidates, and a candidate counts only after an exact comparison of the full shingle sets. At a similarity of
 0.85 a pair misses all bands with a probability of 7e-9, at 0.8 of 3e-6.
 
-Documents with the same words are one node from the start. A bucket of n nodes does not emit its n * n pairs: a first
-round compares one node with the rest, and each later one as many nodes as make at most PAIRS pairs (but at least
-one), and only with nodes not yet known to be of their class. Rounds end when, in every bucket, each node has either
-been compared so or belongs to the bucket's largest class, at which point no link between candidates is left unseen.
+Documents with the same words are one node from the start. A bucket of n nodes does not emit its n * n pairs. First, one node
+of each bucket is compared with the rest; then, in a few rounds, a node of the bucket's largest class with those outside it;
+a sketch of two bits per signature place rules out what is far off (a true link with a probability of 1e-7). Last, the
+nodes that are still outside their bucket's largest class are compared with all others there: blocks of them are held in
+memory while the others stream past, and only links that join two classes are passed on. Every pair of a bucket whose
+classes differ is then compared, as one of the two is outside the largest class.
 
 Nulls, empty texts and texts of white space: no words, no shingles, linked with nothing. Fewer words than a shingle:
 the whole sequence is one shingle. Rows that repeat, also under one id, are copies. A null id can belong to a class, whose
@@ -18,6 +20,7 @@ id is the smallest that is not null (null if there is none).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,7 +35,10 @@ from fareloom.sources.storage import stage
 
 FUNCTIONS = 80
 BANDS, BAND_ROWS = 32, 5  # BANDS * BAND_ROWS == 2 * FUNCTIONS
-PAIRS = 1 << 18  # compared for a bucket in one round
+ROUNDS = 2  # with nodes of the largest class
+HELD, STREAMED = 256, 4096  # nodes that a block holds, and that stream past it in one task
+WIDER = 16  # how many more comparisons may be made over a group of buckets to send its sets once, not once a bucket
+FILTER_BITS = 1 << 27  # most bits of the filter on texts; beyond, it lets more pass, which the join after it removes
 CHUNK = 1 << 16  # shingles hashed at once, so that the working arrays stay in the processor's cache
 
 _seeds = np.random.Generator(np.random.PCG64(20_240_601))
@@ -80,6 +86,18 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return (keys * SPREAD).view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Two bits of each signature place, 32 places to a number."""
+    cut = (signatures & np.uint64(3)).reshape(len(signatures), -1, 32)
+    return (cut << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def most_differences(percent: int) -> int:
+    """Places in which the sketches of two sets at the threshold differ, and six deviations more."""
+    p = 0.75 * (1 - percent / 100)
+    return math.ceil(2 * FUNCTIONS * p + 6 * math.sqrt(2 * FUNCTIONS * p * (1 - p)))
+
+
 def node_of(words: list[bytes]) -> bytes | None:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
 
@@ -97,7 +115,7 @@ def chunks_of(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
 
 
 def sign(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(id, rk, body) -> (id, rk, node, n_shingles, bands)."""
+    """(id, rk, body) -> (id, rk, node, n_shingles, bands, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -107,29 +125,73 @@ def sign(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
                 nodes.append(node_of(words))
                 sets.append(shingle_set(words, k))
             filled = [s for s in sets if len(s)]
-            keys = [band_keys(min_max_signatures(filled[a:b])) for a, b in chunks_of(filled)]
-            values = pa.array(np.concatenate(keys).ravel() if keys else np.empty(0, np.int64))
-            sizes = [BANDS if len(s) else 0 for s in sets]
-            bands = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), values)
-            yield pa.record_batch(
-                [batch["id"], batch["rk"], pa.array(nodes, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), bands],
-                names=["id", "rk", "node", "n_shingles", "bands"],
-            )
+            signatures = [min_max_signatures(filled[a:b]) for a, b in chunks_of(filled)]
+            keys = [band_keys(x) for x in signatures]
+            codes = [sketches(x) for x in signatures]
+
+            def lists(parts: list[np.ndarray], width: int, sets: list[np.ndarray] = sets) -> pa.ListArray:
+                ends = np.cumsum([0, *[width if len(s) else 0 for s in sets]])
+                flat = np.concatenate(parts).ravel() if parts else np.empty(0, np.int64)
+                return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+            columns = {
+                "id": batch["id"],
+                "rk": batch["rk"],
+                "node": pa.array(nodes, pa.binary()),
+                "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                "bands": lists(keys, BANDS),
+                "sketch": lists(codes, FUNCTIONS // 16),
+            }
+            yield pa.record_batch(list(columns.values()), names=list(columns))
 
     return run
 
 
-def full_sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(node, body) -> (node, shingles): the full set of each candidate, packed."""
+def filter_places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Three places of each 64-bit hash in a filter of so many bits, a power of two up to 2 ** 27."""
+    return np.stack([(hashes >> np.uint64(shift)) & np.uint64(bits - 1) for shift in (0, 18, 36)])
+
+
+def full_sets(k: int, keep) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(rk, body) -> (rk, shingles): the full set, packed, of each text that passes the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = keep.value
         for batch in slices(batches):
+            hashes = np.fromiter((xxhash.xxh64_intdigest(x) for x in text_bytes(batch["rk"])), np.uint64, batch.num_rows)
+            places = filter_places(hashes, 64 * len(bits))
+            passed = ((bits[places >> np.uint64(6)] >> (places & np.uint64(63))) & np.uint64(1)).all(axis=0)
+            batch = batch.filter(pa.array(passed))
             packed = [shingle_set(byte_words(raw), k).tobytes() for raw in text_bytes(batch["body"])]
-            yield pa.record_batch([batch["node"], pa.array(packed, pa.binary())], names=["node", "shingles"])
+            yield pa.record_batch([batch["rk"], pa.array(packed, pa.binary())], names=["rk", "shingles"])
 
     return run
 
 
+def mark_places(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(rk) -> (word, mask): the bits of a filter that a task's keys set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = np.fromiter((xxhash.xxh64_intdigest(x) for x in text_bytes(batch["rk"])), np.uint64, batch.num_rows)
+            places = filter_places(hashes, bits).ravel()
+            masks = (np.uint64(1) << (places & np.uint64(63))).view(np.int64)
+            yield pa.record_batch([pa.array((places >> np.uint64(6)).view(np.int64)), pa.array(masks)], names=["word", "mask"])
+
+    return run
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A filter of bounded size that every key of the column `rk` passes."""
+    n = keys.count()
+    bits = 1 << max(12, min(FILTER_BITS.bit_length() - 1, (16 * n).bit_length()))
+    words = keys.mapInArrow(mark_places(bits), "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    out = np.zeros(bits // 64, np.uint64)
+    for row in words.toLocalIterator():  # at most FILTER_BITS / 64 rows
+        out[row["word"]] = np.array(row["mask"], np.int64).view(np.uint64)
+    return out
+
+
 def confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(a, b, sa, sb) -> the pairs (a, b) whose full sets are similar enough."""
 
@@ -175,60 +237,163 @@ def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").select(*members.columns, F.coalesce("label", "node").alias("label"))
 
 
-def linked_nodes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(node, label) over all confirmed links. `members`: (key, node, n) of the buckets that hold several nodes."""
+class Block:
+    """Sets held in memory, to be met by sets that stream past."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.nodes: list[bytes] = []
+        self.labels: list[bytes] = []
+        self.sets: list[np.ndarray] = []
+        self.values: np.ndarray | None = None
+        self.parent: dict[bytes, bytes] = {}
+
+    def hold(self, node: bytes, label: bytes, shingles: np.ndarray) -> None:
+        self.nodes.append(node)
+        self.labels.append(label)
+        self.sets.append(shingles)
+
+    def root(self, label: bytes) -> bytes:
+        while (up := self.parent.get(label, label)) != label:
+            label = up
+        return label
+
+    def meet(self, node: bytes, label: bytes, shingles: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+        """The links of a passing node that join two classes not yet joined here."""
+        if not self.sets:
+            return
+        if self.values is None:
+            joined = np.concatenate(self.sets)
+            order = np.argsort(joined, kind="stable")
+            self.sizes = np.array([len(x) for x in self.sets])
+            self.values, self.owners = joined[order], np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        start, end = (np.searchsorted(self.values, shingles, side) for side in ("left", "right"))
+        width = end - start
+        at = np.repeat(end - np.cumsum(width), width) + np.arange(width.sum())
+        common = np.bincount(self.owners[at], minlength=len(self.sets))
+        near = 100 * common >= self.percent * (self.sizes + len(shingles) - common)
+        for i in np.flatnonzero(near).tolist():
+            a, b = self.root(self.labels[i]), self.root(label)
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+                yield self.nodes[i], node
+
+
+def close_blocks(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(block, passes, node, label, shingles), sorted by block with the held nodes first -> links (a, b)."""
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        near = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
-        return (
-            near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-            .mapInArrow(confirm(percent), "a binary, b binary")
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, block = None, Block(percent)
+        for batch in slices(batches, 512):
+            links: list[tuple[bytes, bytes]] = []
+            for now, passes, node, label, packed in zip(*batch.columns, strict=True):
+                if now.as_py() != name:
+                    name, block = now.as_py(), Block(percent)
+                row = (node.as_py(), label.as_py(), np.frombuffer(packed.as_buffer(), np.uint64))
+                if passes.as_py():
+                    links += block.meet(*row)
+                else:
+                    block.hold(*row[:2], row[2].copy())
+            ends = [pa.array([min(x) for x in links], pa.binary()), pa.array([max(x) for x in links], pa.binary())]
+            yield pa.record_batch(ends, names=["a", "b"])
+
+    return run
+
+
+def close_buckets(now: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """The links left in buckets that hold several classes. `now`: (key, node, n, label, top), buckets of several only."""
+    star = now.groupBy("key").agg(F.min("node").alias("a"))
+    edges = stage(now.join(star, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "links")
+    if edges.isEmpty():
+        return None
+    near = classes(edges).withColumnRenamed("label", "area")
+    placed = now.join(near, "node").withColumn("held", F.expr("label <> top"))
+    per_bucket = placed.groupBy("area", "key").agg(F.count_if("held").alias("p"), F.count(F.lit(1)).alias("m"))
+    dear = per_bucket.groupBy("area").agg(F.sum(F.expr("CAST(p * m AS DOUBLE)")).alias("apart"))
+    once = placed.groupBy("area", "node").agg(F.bool_or("held").alias("held"))
+    whole = once.groupBy("area").agg(F.count_if("held").alias("p"), F.count(F.lit(1)).alias("m"))
+    # Sets of an area go out once where that does not make many more comparisons, else once for each of its buckets.
+    choice = whole.join(dear, "area").select("area", F.expr(f"CAST(p * m AS DOUBLE) <= {WIDER} * apart AS together"))
+    grouped = stage(
+        placed.join(choice, "area")
+        .groupBy("area", F.expr("IF(together, 0L, key) AS bucket"), "node")
+        .agg(F.bool_or("held").alias("held"), F.min("label").alias("label")),
+        "areas",
+    )
+    sizes = grouped.groupBy("area", "bucket").agg(
+        F.expr(f"greatest(1, ceil(count_if(held) / {HELD})) AS blocks"), F.expr(f"ceil(count(*) / {STREAMED}) AS streams")
+    )
+    sized = grouped.join(sizes, ["area", "bucket"]).join(sets, "node")
+    lot = "pmod(xxhash64(node), {})"
+    to_last = "explode(sequence(0L, {} - 1))"
+    held = sized.where("held").selectExpr(
+        "area", "bucket", f"{lot.format('blocks')} AS x", f"{to_last.format('streams')} AS y", "false AS passes", "node", "label", "shingles"
+    )
+    passing = sized.selectExpr(
+        "area", "bucket", f"{to_last.format('blocks')} AS x", f"{lot.format('streams')} AS y", "true AS passes", "node", "label", "shingles"
+    )
+    block = F.concat_ws(":", F.hex("area"), "bucket", "x", "y").alias("block")
+    rows = held.union(passing).select(block, "passes", "node", "label", "shingles")
+    ordered = rows.repartition("block").sortWithinPartitions("block", "passes")
+    return stage(ordered.mapInArrow(close_blocks(percent), "a binary, b binary"), "links")
+
+
+def linked_nodes(members: DataFrame, codes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, label) over all confirmed links. `members`: (key, node, n) of the buckets that hold several nodes; `codes`:
+    (node, sketch)."""
+    differ = " + ".join(
+        f"bit_count((ca[{i}] ^ cb[{i}] | shiftrightunsigned(ca[{i}] ^ cb[{i}], 1)) & 6148914691236517205L)"
+        for i in range(FUNCTIONS // 16)
+    )
 
-    def against(hubs: DataFrame, rest: DataFrame) -> DataFrame:
-        """Each hub with every other node of its bucket; both sides carry (key, node, n, label)."""
-        h = hubs.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-        r = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        found = h.join(r, "key").where("la <> lb")
-        flip = "a > b"
-        return found.select(
-            F.expr(f"IF({flip}, b, a) AS a"), F.expr(f"IF({flip}, a, b) AS b"), "na", "nb"
+    def side(table: DataFrame, column: str, name: str, alias: str) -> DataFrame:
+        return table.select(F.col("node").alias(name), F.col(column).alias(alias))
+
+    def compared(hubs: DataFrame, rest: DataFrame) -> DataFrame:
+        """The links of hubs (key, a, na) with nodes (key, b, nb) of their bucket."""
+        pairs = (
+            hubs.join(rest, "key")
+            .where(f"a <> b AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .distinct()
+        )
+        likely = (
+            pairs.join(side(codes, "sketch", "a", "ca"), "a")
+            .join(side(codes, "sketch", "b", "cb"), "b")
+            .where(f"{differ} <= {most_differences(percent)}")
+            .select("a", "b")
         )
+        confirmed = likely.join(side(sets, "shingles", "a", "sa"), "a").join(side(sets, "shingles", "b", "sb"), "b")
+        return stage(confirmed.mapInArrow(confirm(percent), "a binary, b binary"), "links")
 
-    first = members.withColumn("label", F.col("node"))
-    hubs = first.groupBy("key").agg(F.min(F.struct("node", "n", "label")).alias("h")).select("key", "h.*")
-    used = stage(hubs.select("key", "node"), "hubs")
-    links = stage(verified(against(hubs, first)), "links")
-    while True:
-        if links.isEmpty():
-            labels = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        else:
-            labels = classes(links)
+    def joined(links: DataFrame) -> DataFrame:
+        return members.sparkSession.createDataFrame([], "node binary, label binary") if links.isEmpty() else classes(links)
+
+    def several(labels: DataFrame) -> DataFrame:
+        """The members of buckets that hold several classes, with their label and the bucket's largest class."""
         now = stage(labelled(members, labels), "members")
         per_class = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"))
-        largest = per_class.groupBy("key").agg(
-            F.max(F.struct("held", "label")).alias("top"),
-            F.count(F.lit(1)).alias("kinds"),
-            F.sum("held").alias("held"),
-        )
-        open_buckets = largest.where("kinds > 1").selectExpr(
-            "key", "top.label AS top", f"greatest(1, {PAIRS} DIV held) AS lots"
-        )
-        waiting = now.join(open_buckets, "key").where("label <> top").join(used, ["key", "node"], "left_anti")
-        hubs = (
-            waiting.groupBy("key", F.pmod(F.xxhash64("node"), F.col("lots")).alias("lot"))
-            .agg(F.min(F.struct("node", "n", "label")).alias("h"))
-            .select("key", "h.*")
-        )
-        hubs = stage(hubs, "hubs")
-        if hubs.isEmpty():
-            return labels
-        used = used.union(hubs.select("key", "node"))
-        fresh = stage(verified(against(hubs, now)), "links")
-        # Classes so far go on as stars, so the table of links does not grow with the rounds.
-        stars = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-        links = stars.union(fresh)
+        top = per_class.groupBy("key").agg(F.max(F.struct("held", "label")).alias("t"), F.count(F.lit(1)).alias("kinds"))
+        return now.join(top.where("kinds > 1").select("key", F.col("t.label").alias("top")), "key")
+
+    first = F.min(F.struct("node", "n")).alias("h")
+    rest = members.select("key", F.col("node").alias("b"), F.col("n").alias("nb"))
+    links = compared(members.groupBy("key").agg(first).selectExpr("key", "h.node AS a", "h.n AS na"), rest)
+    labels = joined(links)
+    for turn in range(ROUNDS):
+        now = several(labels)
+        one = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n")).alias("h")
+        hubs = now.where("label = top").groupBy("key").agg(one).selectExpr("key", "h.node AS a", "h.n AS na")
+        outside = now.where("label <> top").select("key", F.col("node").alias("b"), F.col("n").alias("nb"))
+        links = stars(labels).union(compared(hubs, outside))
+        labels = joined(links)
+    last = close_buckets(several(labels), sets, percent)
+    return labels if last is None or last.isEmpty() else classes(stars(labels).union(last))
+
+
+def stars(labels: DataFrame) -> DataFrame:
+    """The links that say the same as the labels."""
+    return labels.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
 
 
 def near_duplicates(
@@ -246,26 +411,33 @@ def near_duplicates(
     named = docs.select(identity.alias("id"), rk.alias("rk"), body.alias("body"))
     id_type = docs.schema[id_col].dataType.simpleString()
     signed = stage(
-        named.mapInArrow(sign(k), f"id {id_type}, rk string, node binary, n_shingles bigint, bands array<bigint>"),
+        named.mapInArrow(
+            sign(k),
+            f"id {id_type}, rk string, node binary, n_shingles bigint, bands array<bigint>, sketch array<bigint>",
+        ),
         "signatures",
     )
 
     nodes = (
         signed.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min(F.struct("rk", "n_shingles", "bands")).alias("one"))
+        .agg(F.min(F.struct("rk", "n_shingles", "bands", "sketch")).alias("one"))
         .select("node", "one.*")
     )
     spread = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     crowded = spread.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("key")
     members = stage(spread.join(crowded, "key"), "members")
-    wanted = members.select("node").distinct().join(nodes.select("node", "rk"), "node")
-    texts = named.select("rk", "body").dropDuplicates(["rk"])
+    wanted = stage(
+        members.select("node").distinct().join(nodes.select("node", "rk", "sketch"), "node"), "candidates"
+    )
+    # Texts are many and candidates few, so a filter that goes with the code picks the texts whose sets are sent.
+    keep = docs.sparkSession.sparkContext.broadcast(key_filter(wanted.select("rk")))
+    picked = named.select("rk", "body").mapInArrow(full_sets(k, keep), "rk string, shingles binary")
     sets = stage(
-        texts.join(wanted, "rk").select("node", "body").mapInArrow(full_sets(k), "node binary, shingles binary"), "sets"
+        picked.join(wanted.select("rk", "node"), "rk").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets"
     )
 
-    labels = linked_nodes(members, sets, percent)
+    labels = linked_nodes(members, wanted.select("node", "sketch"), sets, percent)
     placed = labelled(signed.where("node IS NOT NULL").select("id", "node", "n_shingles"), labels)
     least = placed.groupBy("label").agg(F.min("id").alias("component_id"))
     alone = signed.where("node IS NULL").select(
