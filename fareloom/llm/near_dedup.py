@@ -35,7 +35,7 @@ from fareloom.sources.storage import stage
 
 FUNCTIONS = 80
 BANDS, BAND_ROWS = 32, 5  # BANDS * BAND_ROWS == 2 * FUNCTIONS
-ROUNDS = 2  # with nodes of the largest class
+ROUNDS = 1  # with nodes of the largest class
 HELD, STREAMED = 256, 4096  # nodes that a block holds, and that stream past it in one task
 WIDER = 16  # how many more comparisons may be made over a group of buckets to send its sets once, not once a bucket
 FILTER_BITS = 1 << 27  # most bits of the filter on texts; beyond, it lets more pass, which the join after it removes
