@@ -298,13 +298,9 @@ def score_documents(
     end_score = math.log10((train_docs + 1) / total)
 
     weighed = stage(words.mapInArrow(weigh(trained), "word binary, c bigint, score double"), "weighed")
-    top = weighed.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    top = weighed.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
     table = spark.sparkContext.broadcast(
-        (
-            [bytes(r["word"]) for r in top],
-            np.array([r["c"] for r in top], np.float64),
-            np.array([r["score"] for r in top], np.float64),
-        )
+        (top["word"].to_pylist(), top["c"].to_numpy().astype(float), top["score"].to_numpy())
     )
     id_type = docs.schema[id_col].dataType.simpleString()
     parts = named.mapInArrow(
