@@ -32,6 +32,7 @@ from fareloom.sources.storage import scratch_path, stage
 MIN_REVISIT = 1_000
 ROLL = 16 << 20
 DICTIONARY = 32 << 10
+ARCHIVES, MOST_TASKS = 2, 100_000  # archives that a task reads, as long as that makes no more tasks than these
 LEVEL = 3
 DATE = "2024-06-01T00:00:00Z"  # of every record unless given, so that reruns agree
 
@@ -196,7 +197,9 @@ def write_archives(
 def read_archives(index: DataFrame, id_type: str = "bigint") -> DataFrame:
     """(id, payload_bytes, payload_digest, record_type, refers_to, intact), one row per record of the archives named."""
     named = index.select("archive").distinct()
-    read = named.mapInArrow(
+    # Names are a few bytes each; left to size alone, one task would read all archives.
+    tasks = max(1, min(MOST_TASKS, -(-named.count() // ARCHIVES)))
+    read = named.repartition(tasks, "archive").mapInArrow(
         read_batches,
         "id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, intact boolean",
     )
