@@ -9,6 +9,7 @@ columns of documents. Nulls, empty texts, repeated rows and extra columns: see t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,28 +19,60 @@ from fareloom.llm.decontaminate import decontaminate
 from fareloom.llm.mixing import emit_mix
 from fareloom.llm.near_dedup import deduplicate
 from fareloom.llm.quality import keep_quality
-from fareloom.sources.storage import stage
+from fareloom.sources.storage import MADE, discard, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+HELD: dict[str, list[str]] = {}  # by application: tables that the last stage's result was read from
 
+
+def step(work: Stage) -> Stage:
+    """A stage that first removes the intermediate tables of the one before: its result has been stored by then. Tables that
+    `docs` itself still reads stay."""
+
+    @wraps(work)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        held, made = HELD.pop(app, []), []
+        needed = docs.inputFiles() if held else []
+        for path in held:
+            folder = path.rsplit("/", 1)[1]
+            if any(f"/{folder}/" in file for file in needed):
+                made.append(path)
+            else:
+                discard(spark, path)
+        token = MADE.set(made)
+        try:
+            return work(spark, docs, sf_dir)
+        finally:
+            MADE.reset(token)
+            HELD[app] = made
+
+    return run_step
+
+
+@step
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_quality(docs)
 
 
+@step
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return deduplicate(docs)
 
 
+@step
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@step
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact(docs)
 
 
+@step
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return emit_mix(docs)
 
@@ -58,6 +91,16 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    made: list[str] = []
+    for name, work in STAGES:
+        result = work(spark, docs, sf_dir)
+        token = MADE.set([])
+        try:
+            docs = stage(result, name.replace(" ", "-"))
+            made += MADE.get()
+        finally:
+            MADE.reset(token)
+        for path in made[:-1]:  # the next stage reads the last one only
+            discard(spark, path)
+        made = made[-1:]
     return docs
