@@ -32,6 +32,7 @@ def step(work: Stage) -> Stage:
 
     @wraps(work)
     def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         app = spark.sparkContext.applicationId
         held, made = HELD.pop(app, []), []
         needed = docs.inputFiles() if held else []
@@ -58,7 +59,6 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @step
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     return deduplicate(docs)
 
 

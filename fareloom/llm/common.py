@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.sources.storage import hadoop_path, scratch_path
+from fareloom.sources.storage import MADE, hadoop_path, scratch_path
 
 SHIPPED: set[str] = set()  # applications whose executors have been sent this package
 
@@ -26,7 +26,11 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for file in sorted(package.rglob("*.py")):
             z.write(file, file.relative_to(package.parent))
-    path = f"{scratch_path(spark, 'code')}/{package.name}.zip"
+    token = MADE.set(None)  # executors that start later fetch it too, so it stays as long as the application
+    try:
+        path = f"{scratch_path(spark, 'code')}/{package.name}.zip"
+    finally:
+        MADE.reset(token)
     write_bytes(spark, path, packed.getvalue())
     spark.sparkContext.addPyFile(path)
     SHIPPED.add(app)
