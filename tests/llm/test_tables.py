@@ -1,0 +1,227 @@
+"""Quality rules, secrets, URL rules, archives, mixing, dialogues and the pipeline, on given tables and odd ones."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+from fractions import Fraction
+
+import pytest
+import zstandard
+
+import corpus_pipeline
+from fareloom.llm import credentials, mixing, perspectives, quality, url_filter, warc
+from fareloom.sources.storage import scratch_path
+from tests.llm import plain
+
+SF = "/root/testdata/sf0.01"
+
+
+# quality rules (equal to their SQL in tests/test_oracle.py)
+
+
+def test_cutoffs_keep_prose_and_drop_junk(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r.doc_id for r in quality.keep_quality(docs).collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    good, bad = ([r.doc_id for r in labels if r.quality == q] for q in (1, 0))
+    assert sum(i in kept for i in good) >= 0.99 * len(good)
+    assert sum(i in kept for i in bad) <= 0.05 * len(bad)
+
+
+def test_quality_of_odd_documents(documents):
+    long = "some quite common words of prose " * 3000
+    docs = documents((1, None), (2, ""), (3, "a b c\n\na b c\n"), (None, "x", None, None), (4, long), (4, long))
+    rows = quality.judge_quality(docs).collect()
+    got = {r["row"]["doc_id"]: r for r in rows}
+    assert len(rows) == 6 and not got[1]["passes"] and not got[2]["passes"]
+    assert (got[3]["n_words"], got[3]["n_dup_lines"], got[3]["n_repeat_words"]) == (6, 1, 6)
+    assert got[4]["n_repeat_words"] == got[4]["n_words"] == 18000
+    assert quality.keep_quality(docs).columns == docs.columns
+    assert quality.keep_quality(documents()).count() == 0
+
+
+# secrets
+
+KEY = "aB3dE5gH7jK9mN1pQ3sT5vW7"
+
+
+def test_base_spans_equal_plain_patterns(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = {r.doc_id: r.base_sha256 for r in credentials.op2_credential_links(spark, SF).collect()}
+    assert found == {i: hashlib.sha256(",".join(plain.base_spans(t)).encode()).hexdigest() for i, t in docs.items()}
+
+
+def spans_of(docs):
+    rows, spans = credentials.find_secrets(docs)
+    found = defaultdict(list)
+    for r in rows.join(spans, "rid", "left").collect():
+        found[r["row"]["doc_id"]].append(None if r["kind"] is None else (r["kind"], r["start"], r["end"]))
+    return found
+
+
+def test_weak_parts_are_reported_together_only(documents):
+    together = f"\u00e9 client_id = acme77 and {KEY} at https://db.example.com/x"
+    apart = f"client_id = acme77 {'.' * 3000} {KEY}"
+    found = spans_of(documents((1, together), (2, KEY), (3, apart), (4, "see https://a.example.com/"), (5, None), (6, ""), (6, "")))
+    assert sorted(k for k, _, _ in found[1]) == ["id", "key", "url"]
+    assert all(together[s:e] in (KEY, "client_id = acme77", "https://db.example.com/x") for _, s, e in found[1])
+    assert found[2] == found[3] == found[4] == found[5] == [None] and found[6] == [None, None]
+
+
+def test_short_assignments_use_up_their_text(documents):
+    text = "token=secret: abcdefghijklmnop password=short secret='0123456789abcdef0123'"
+    got = [f"{k}:{s}:{e}" for k, s, e in spans_of(documents((1, text)))[1]]
+    assert sorted(got) == sorted(plain.base_spans(text)) and not any(x.startswith("assign:6") for x in got)
+
+
+def test_redaction(documents):
+    text = f"a password=0123456789abcdef {'z ' * 900}AKIA{'B' * 16} end"
+    docs = documents((1, text), (1, text), (2, "plain"), (3, None), (None, "AKIA" + "C" * 16))
+    out = credentials.redact(docs)
+    assert out.columns == docs.columns
+    clean = f"a [SECRET] {'z ' * 900}[SECRET] end"
+    rows = sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=repr)
+    assert rows == sorted([(1, clean, len(clean))] * 2 + [(2, "plain", 5), (3, None, None), (None, "[SECRET]", 8)], key=repr)
+    assert credentials.redact(documents()).count() == 0
+
+
+# URL rules
+
+
+def test_rules_of_any_length_and_collisions(spark, monkeypatch):
+    rules = [("b.c/", "block"), ("a.b.c/x", "allow"), ("b.c/xy", "block"), ("b.c/", "allow"), ("q/", None), (None, "block")]
+    urls = ["http://a.b.c/xyz?q", "http://B.C/", "http://zb.c/", "http://b.c", "no scheme", None, "x://y.a.b.c/x#f", "http://" + "k." * 2000 + "b.c/" + "p" * 5000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["row"]["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge_urls(pages, spark.createDataFrame(rules, "rule string, verdict string")).collect()}
+    none = (None, "allow")
+    assert got == {0: ("a.b.c/x", "allow"), 1: ("b.c/", "block"), 2: none, 3: none, 4: none, 5: none, 6: ("a.b.c/x", "allow"), 7: ("b.c/", "block")}
+    assert url_filter.judge_urls(pages.limit(0), spark.createDataFrame(rules, "rule string, verdict string")).count() == 0
+    assert url_filter.judge_urls(pages, spark.createDataFrame([], "rule string, verdict string")).where("verdict = 'allow'").count() == 8
+
+
+def test_a_collision_needs_the_string(tmp_path):
+    import numpy as np
+
+    (tmp_path / "d").write_bytes(np.array([5, 5], np.int64).tobytes())
+    (tmp_path / "p").write_bytes(np.array([0, 7, 14], np.int64).tobytes())
+    (tmp_path / "s").write_bytes(b"a/\tdenyb/\tdeny")
+    index = url_filter.DigestIndex(str(tmp_path), ("d", "p", "s"), [1], 9)
+    assert index.verdict(0, b"b/", 5) == "deny" and index.verdict(0, b"c/", 5) is None
+
+
+# archives
+
+
+def test_archives_round_trip(spark):
+    big, small = "<p>\u00e9</p>" * 200, "tiny"
+    pages = spark.createDataFrame(
+        [(1, "http://a/\r\n\u00e9", big), (2, None, big), (3, "u", small), (4, "u", small), (5, "u", None), (2, "again", big), (None, "n", big), (6, "v", "x" * 2_000_000)],
+        "page_id long, url string, html string",
+    )
+    index = warc.write_archives(pages, scratch_path(spark, "warc"))
+    got = sorted((tuple(r) for r in warc.read_archives(index).collect()), key=repr)
+    size, digest = len(big.encode()), hashlib.sha1(big.encode()).hexdigest()
+    assert all(r[5] for r in got) and len(got) == 8
+    kinds = sorted(((r[0], r[3], r[4]) for r in got if r[1] == size and r[2] == digest), key=repr)
+    assert kinds == sorted([(1, "revisit", 2), (2, "response", None), (2, "response", None), (None, "revisit", 2)], key=repr)
+    assert all(r[3] == "response" for r in got if r[1] != size)
+    assert warc.read_archives(warc.write_archives(pages.limit(0), scratch_path(spark, "warc"))).count() == 0
+
+
+def test_records_are_frames_behind_a_dictionary():
+    records = [warc.record(str(i), "u", (f"<html>page {i} " * 40).encode(), "0" * 40, None, warc.DATE) for i in range(400)]
+    archive, places = warc.pack(records)
+    dictionary = warc.dictionary_of(archive)
+    assert dictionary is not None and dictionary.dict_id() != 0
+    for (at, size), wanted in zip(places[::37], records[::37], strict=True):
+        assert zstandard.ZstdDecompressor(dict_data=dictionary).decompress(archive[at : at + size]) == wanted
+    assert len(list(warc.records_of(archive))) == 400
+
+
+# mixing
+
+
+def test_targets_share_the_excess():
+    found = mixing.targets([10, 100, 0, 1000], [5, 2, 1, 5])
+    assert sum(found) == Fraction(3, 2) * 1110 and found[0] == 20 and found[1] == 200 and found[2] == 0
+
+
+def test_mix_comes_near_its_targets_and_repeats_itself(spark):
+    runs = [sorted(map(tuple, mixing.op9_systematic_mix(spark, f"{SF}/../sf0.1").collect())) for _ in range(2)]
+    assert runs[0] == runs[1]
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{SF}/../sf0.1/documents.parquet").collect()}
+    taken, target = defaultdict(int), {}
+    for doc_id, size, _, wanted, words in runs[0]:
+        assert words <= 2 * size
+        taken[source[doc_id]] += words
+        target[source[doc_id]] = wanted
+    assert all(taken[s] == pytest.approx(target[s], rel=0.05) for s in target)
+
+
+def test_mix_of_odd_documents(documents):
+    docs = documents((1, None, "en", None), (2, "", "en", "a"), (3, "x y", "en", "a"), (3, "x y", "en", "a"), (None, "z", None, "b"))
+    rows = mixing.mix_sources(docs).collect()
+    assert len(rows) == 5 and all(0 <= r["copies"] <= 2 for r in rows)
+    out = mixing.emit_mix(docs)
+    assert out.columns == docs.columns and out.count() == sum(r["copies"] for r in rows)
+    assert mixing.emit_mix(documents()).count() == 0
+
+
+# dialogues
+
+
+def test_each_speaker_is_the_assistant_once(spark):
+    rows = [(1, 2, "bob x", "b|<|im_end|>"), (1, 0, "system", "rules"), (1, 1, "ann", "hi \u00e9"), (1, 3, None, None), (2, 0, "system", "only"), (None, 0, "ann", "")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv"], r["speaker"]): r for r in perspectives.rotate_perspectives(turns).collect()}
+    assert set(got) == {(1, "ann"), (1, "bob x"), (1, "unknown"), (None, "ann")}
+    ann = got[1, "ann"]["rendered"]
+    assert ann == (
+        "<|im_start|>system\nrules<|im_end|>\n<|im_start|>assistant\nhi \u00e9<|im_end|>\n"
+        "<|im_start|>user name=bob_x\nb|<|im_end |><|im_end|>\n<|im_start|>user name=unknown\n<|im_end|>\n"
+    )
+    start, end = map(int, got[1, "ann"]["mask"].split("-"))
+    assert ann[start:end] == "hi \u00e9<|im_end|>"
+    assert perspectives.rotate_perspectives(turns.limit(0)).count() == 0
+
+
+def test_long_dialogues_come_in_parts(spark):
+    rows = [(1, i // 2, "ann" if i % 3 else "bob", "same") for i in range(150)]
+    got = perspectives.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["speaker"], r["part"], r["n_messages"]) for r in got) == [(s, p, n) for s in ("ann", "bob") for p, n in ((0, 64), (1, 64), (2, 22))]
+    assert sum(r["n_trained"] for r in got) == 150 and all(len(re.findall(r"\d+-\d+", r["mask"])) == r["n_trained"] for r in got)
+
+
+# pipeline
+
+
+def test_stages_equal_their_operators_in_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    steps = dict(corpus_pipeline.STAGES)
+    now = corpus_pipeline.stage(steps["quality rules"](spark, docs, SF), "t")
+    classes = plain.near_classes([(r.doc_id, r.text) for r in now.collect()], 5, 80)
+    now = corpus_pipeline.stage(steps["near-dedup"](spark, now, SF), "t")
+    assert sorted(r.doc_id for r in now.collect()) == sorted(i for i, (_, c) in classes.items() if i == c)
+    before = {r.doc_id: r.text for r in now.collect()}
+    hit = plain.leaks(before.items(), items)
+    now = corpus_pipeline.stage(steps["benchmark decontamination"](spark, now, SF), "t")
+    after = {r.doc_id: r.text for r in now.collect()}
+    assert {i for i in before if after.get(i) != before[i]} == {i for i, h in hit.items() if h[4]}
+    assert not any(h[4] for h in plain.leaks(after.items(), items).values())
+    now = corpus_pipeline.stage(steps["secret scans"](spark, now, SF), "t")
+    assert now.columns == docs.columns and {r.doc_id for r in now.collect()} == set(after)
+    assert not any(plain.base_spans(r.text) for r in now.collect())
+    mixed = corpus_pipeline.stage(steps["mixing"](spark, now, SF), "t")
+    assert {r.doc_id for r in mixed.collect()} <= set(after)
+
+
+def test_pipeline_of_odd_tables(spark, documents, tmp_path):
+    odd = documents((1, None), (2, ""), (3, "some words " * 40), (3, "some words " * 40), (None, "other words of this text"))
+    for name, docs in (("odd", odd), ("none", documents())):
+        folder = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+        assert corpus_pipeline.run(spark, folder).columns == docs.columns
