@@ -14,13 +14,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from fareloom import operators as ops
 from fareloom import plans
 from fareloom.fixtures import people_raw, trips_raw
-from fareloom.schemas import DIMENSIONS, MONTH_KEY, PEOPLE, RAW
-from fareloom.session import ensure_conf
+from fareloom.schemas import DIMENSIONS, MONTH_KEY, PEOPLE
 from fareloom.sinks import write_csv, write_raw
 from fareloom.sources import query_tables, read_csv, read_raw, read_star, with_missing_columns
 from fareloom.sources.months import normalise_names, union_months
 from fareloom.sources.storage import scratch_path
-from fareloom.streaming import land_incremental
+from fareloom.streaming import land_incremental, read_landed
 from oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +31,11 @@ FIRST_WITHOUT_TOLLS = "month_07"
 
 
 def over_trips(f: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: f(trips_raw(ensure_conf(spark), sf_dir))
+    return lambda spark, sf_dir: f(trips_raw(spark, sf_dir))
 
 
 def over_people(f: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: f(people_raw(ensure_conf(spark), sf_dir))
+    return lambda spark, sf_dir: f(people_raw(spark, sf_dir))
 
 
 def dimension(name: str) -> Query:
@@ -58,7 +57,7 @@ def payment_report(raw: DataFrame, policy: str = "code") -> DataFrame:
 
 def detail_report(raw: DataFrame) -> DataFrame:
     dims = {name: plans.build_dim(raw, name) for name in ("dim_vendor", "dim_payment_type", "dim_datetime")}
-    return plans.trip_detail(plans.earliest_trips(raw, dims["dim_datetime"], 20), dims)
+    return plans.spelled_out(plans.earliest_trips(raw, dims["dim_datetime"], 20), dims, 20)
 
 
 def counts_per_table(raw: DataFrame) -> DataFrame:
@@ -120,9 +119,9 @@ def monthly_landing(raw: DataFrame) -> DataFrame:
 def streaming_landing(raw: DataFrame) -> DataFrame:
     spark = raw.sparkSession
     out = f"{scratch_path(spark, 'stream')}/raw"
-    folder = monthly_files([raw]).rsplit("/", 1)[0]
-    land_incremental(spark, folder, RAW, out, f"{out}-log").awaitTermination()
-    return spark.read.parquet(out)
+    folder = monthly_files(list(halves(raw))).rsplit("/", 1)[0]
+    land_incremental(spark, folder, out, f"{out}-log").awaitTermination()
+    return read_landed(spark, out)
 
 
 def stored_star(raw: DataFrame) -> tuple[str, DataFrame]:
@@ -133,13 +132,17 @@ def stored_star(raw: DataFrame) -> tuple[str, DataFrame]:
     return star_base, plans.refresh_star(read_raw(spark, raw_base), star_base)
 
 
+# Means of whole cents, rounded half up once; kept amounts are never negative.
 PAYMENT_SQL = """
-SELECT payment_type_name, count(*) AS trips,
- CAST(round(avg(CAST(fare_amount AS DECIMAL(18, 2))), 2) AS DOUBLE) AS avg_fare,
- CAST(round(avg(CAST(tip_amount AS DECIMAL(18, 2))), 2) AS DOUBLE) AS avg_tip
-FROM {fact_trips} JOIN {dim_payment_type} USING (payment_type_key)
-WHERE payment_type_key <> -1
-GROUP BY payment_type_name ORDER BY trips DESC, payment_type_name
+SELECT payment_type_name, trips, ((2 * fare + trips) DIV (2 * trips)) / 100D AS avg_fare,
+ ((2 * tip + trips) DIV (2 * trips)) / 100D AS avg_tip
+FROM (
+ SELECT payment_type_name, count(*) AS trips, sum(CAST(rint(fare_amount * 100D) AS BIGINT)) AS fare,
+  sum(CAST(rint(tip_amount * 100D) AS BIGINT)) AS tip
+ FROM {fact_trips} JOIN {dim_payment_type} USING (payment_type_key)
+ WHERE payment_type_key <> -1
+ GROUP BY payment_type_name
+) ORDER BY trips DESC, payment_type_name
 """
 
 

@@ -2,8 +2,8 @@
 
 percentile_disc gives the same value but keeps every distinct value of a column in one aggregation buffer.
 Here each pass counts the values of a column's bracket slot by slot, and the slot that holds the wanted
-rank becomes the next bracket. A pass is one scan of the columns and shuffles only slot counts. The last
-pass sorts the few values left.
+rank becomes the next bracket. A pass is one scan of the columns and shuffles only slot counts. Passes end when the
+bracket holds one value; the lowest and highest value of a bracket never share a slot, so each pass narrows it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType,
@@ -30,7 +30,6 @@ from pyspark.sql.types import (
 )
 
 SLOTS = 512  # of each kind, per column and pass; the driver reads back at most 2 * SLOTS rows per column
-FEW = 1_000_000  # rows per column that one window task may sort in the last pass
 LOG_SHIFT = 750.0  # makes the logarithm of any double's size positive: the smallest is about -744.4
 
 
@@ -116,18 +115,16 @@ def slot_of(value: Column, b: Bracket, slots: int) -> Column:
 
 
 def unpivoted(
-    df: DataFrame, values: dict[str, Column], brackets: dict[str, Bracket], slots: int | None = None
+    df: DataFrame, values: dict[str, Column], brackets: dict[str, Bracket], slots: int
 ) -> DataFrame:
-    """(column_name, value) of the values inside the brackets, all of one type, and their slot if `slots` is given."""
+    """(column_name, value, slot) of the values inside the brackets, all of one type."""
     cells = []
     for name, b in brackets.items():
         value = values[name]
         inside = value.between(F.lit(b.low), F.lit(b.high))
-        cells += [F.lit(name), F.when(inside, value)]
-        if slots:
-            cells.append(F.when(inside, slot_of(value, b, slots)))
-    names = ["column_name", "value", "slot"] if slots else ["column_name", "value"]
-    return df.select(F.stack(F.lit(len(brackets)), *cells).alias(*names)).where("value IS NOT NULL")
+        cells += [F.lit(name), F.when(inside, value), F.when(inside, slot_of(value, b, slots))]
+    unpivot = F.stack(F.lit(len(brackets)), *cells).alias("column_name", "value", "slot")
+    return df.select(unpivot).where("value IS NOT NULL")
 
 
 def narrowed(cells: DataFrame, brackets: dict[str, Bracket]) -> dict[str, Bracket]:
@@ -147,23 +144,7 @@ def narrowed(cells: DataFrame, brackets: dict[str, Bracket]) -> dict[str, Bracke
     return found
 
 
-def picked(cells: DataFrame, brackets: dict[str, Bracket]) -> dict[str, Any]:
-    """The value of the wanted rank in each bracket; no bracket holds more than FEW rows."""
-    up_to = Window.partitionBy("column_name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.create_map(*[F.lit(x) for c, b in brackets.items() for x in (c, b.rank - b.below)])
-    rows = (
-        cells.groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("reached", F.sum("rows").over(up_to))
-        .where(F.col("reached") > F.try_element_at(wanted, F.col("column_name")))
-        .groupBy("column_name")
-        .agg(F.min("value").alias("value"))
-        .collect()
-    )
-    return {row["column_name"]: row["value"] for row in rows}
-
-
-def median_values(df: DataFrame, cols: Sequence[str], slots: int = SLOTS, few: int = FEW) -> dict[str, Any]:
+def median_values(df: DataFrame, cols: Sequence[str], slots: int = SLOTS) -> dict[str, Any]:
     """The upper median of every column, in the column's own type. A column without values is an error."""
     types = {c: df.schema[c].dataType for c in cols}
     values = {c: present(c, types[c]) for c in cols}
@@ -175,14 +156,7 @@ def median_values(df: DataFrame, cols: Sequence[str], slots: int = SLOTS, few: i
             medians[name] = open_brackets.pop(name).low
         for exact in {exact_type(types[c]) for c in open_brackets}:
             mine = {c: b for c, b in open_brackets.items() if exact_type(types[c]) == exact}
-            small = {c: b for c, b in mine.items() if b.rows <= few}
-            large = {c: b for c, b in mine.items() if b.rows > few}
-            if large:
-                open_brackets.update(narrowed(unpivoted(df, values, large, slots), large))
-            if small:
-                medians.update(picked(unpivoted(df, values, small), small))
-                for name in small:
-                    del open_brackets[name]
+            open_brackets.update(narrowed(unpivoted(df, values, mine, slots), mine))
 
     return {c: as_python(medians[c], types[c]) for c in cols}
 

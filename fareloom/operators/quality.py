@@ -55,7 +55,8 @@ def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """(key_column, table_name, orphan_rows): fact rows whose key has no member.
 
     One pass over the fact table counts rows per key value, on the map side first, so what meets the
-    dimensions is one row per distinct key, however unevenly the trips spread over keys.
+    dimensions is one row per distinct key, however unevenly the trips spread over keys. A fact table without rows
+    has no orphans, which is five rows of 0.
     """
     columns = list(FOREIGN_KEYS)
     pairs = [x for c in columns for x in (F.lit(c), F.col(c))]
@@ -67,12 +68,14 @@ def fk_orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     members = union_all(
         [dims[dim].select(F.lit(c).alias("key_column"), F.col(c).alias("key_value")) for c, dim in FOREIGN_KEYS.items()]
     ).withColumn("found", F.lit(True))
-    table = F.create_map(*[F.lit(x) for pair in FOREIGN_KEYS.items() for x in pair])
-    return (
+    counted = (
         used.join(members, ["key_column", "key_value"], "left")
         .groupBy("key_column")
         .agg(F.sum(F.when(F.col("found").isNull(), F.col("fact_rows")).otherwise(0)).alias("orphan_rows"))
-        .select("key_column", F.try_element_at(table, F.col("key_column")).alias("table_name"), "orphan_rows")
+    )
+    checks = fact.sparkSession.createDataFrame(list(FOREIGN_KEYS.items()), "key_column string, table_name string")
+    return checks.join(counted, "key_column", "left").select(
+        "key_column", "table_name", F.coalesce("orphan_rows", F.lit(0).cast("bigint")).alias("orphan_rows")
     )
 
 

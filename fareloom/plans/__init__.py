@@ -1,7 +1,7 @@
 from fareloom.plans.audits import month_audit, reject_reasons
 from fareloom.plans.dimensions import build_dim, build_dims
 from fareloom.plans.fact import build_fact, earliest_trips, trip_measures
-from fareloom.plans.reports import average_by_payment, trip_detail
+from fareloom.plans.reports import average_by_payment, spelled_out, trip_detail
 from fareloom.plans.warehouse import land_raw, refresh_star
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "month_audit",
     "refresh_star",
     "reject_reasons",
+    "spelled_out",
     "trip_detail",
     "trip_measures",
 ]

@@ -8,18 +8,27 @@ from pyspark.sql import functions as F
 from fareloom.schemas import PRIMARY_KEYS, UNKNOWN_KEY
 
 
-def trip_detail(trips: DataFrame, dims: dict[str, DataFrame], n: int = 20) -> DataFrame:
-    """The first n trips by id with vendor, payment type and pickup hour spelled out.
+NAMED = ("dim_vendor", "dim_payment_type", "dim_datetime")
+LAST_ID = 2**63 - 1
+
+
+def with_members(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """The trips that have a member in every dimension the detail names."""
+    for dim in NAMED:
+        trips = trips.join(dims[dim].select(PRIMARY_KEYS[dim]), PRIMARY_KEYS[dim], "left_semi")
+    return trips
+
+
+def spelled_out(trips: DataFrame, dims: dict[str, DataFrame], n: int) -> DataFrame:
+    """The first n rows by trip id with vendor, payment type and pickup hour spelled out.
 
-    Trip ids are dense from 1, so the filter names those trips and lets the reader skip all other files and
-    row groups. The n rows are picked before the joins and each join broadcasts them, never a dimension, so
-    the size of the dimensions does not matter. Every key of a trip has a member (see fk_orphans), so joining
-    later loses none of the n.
+    Trips without a member are left out before the n are picked, and n rows are taken again after the joins, where a
+    repeated member would make more. Keys are matched first, which carries no labels through the top-k.
     """
-    detail = trips.where(f"trip_id <= {n}").orderBy("trip_id").limit(n)
-    for dim in ("dim_vendor", "dim_payment_type", "dim_datetime"):
-        detail = dims[dim].join(F.broadcast(detail), PRIMARY_KEYS[dim])
-    return detail.select(
+    detail = with_members(trips, dims).orderBy("trip_id").limit(n)
+    for dim in NAMED:
+        detail = detail.join(dims[dim], PRIMARY_KEYS[dim])
+    wanted = [
         "trip_id",
         "vendor_name",
         "payment_type_name",
@@ -30,7 +39,18 @@ def trip_detail(trips: DataFrame, dims: dict[str, DataFrame], n: int = 20) -> Da
         "fare_amount",
         "tip_amount",
         "total_amount",
-    ).orderBy("trip_id")
+    ]
+    return detail.select(*wanted).orderBy("trip_id").limit(n)
+
+
+def trip_detail(trips: DataFrame, dims: dict[str, DataFrame], n: int = 20) -> DataFrame:
+    """spelled_out for a stored fact table. Ids are dense from 1, so ids up to n are enough if all those trips have
+    members, which a subquery finds out from the few files that hold them; the bound then reaches the reader."""
+    found = with_members(trips.where(f"trip_id <= {n}").select("trip_id", *[PRIMARY_KEYS[d] for d in NAMED]), dims)
+    enough = found.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.when(F.col("rows") >= n, F.lit(n).cast("bigint")).otherwise(F.lit(LAST_ID)).alias("bound")
+    )
+    return spelled_out(trips.where(F.col("trip_id") <= enough.scalar()), dims, n)
 
 
 def mean_cents(cents: str, trips: str) -> Column:

@@ -9,15 +9,39 @@ from pyspark.sql import DataFrame, SparkSession
 from fareloom.operators.cleaning import CleaningPolicy
 from fareloom.plans.dimensions import build_dims
 from fareloom.plans.fact import build_fact
+from fareloom.schemas import MONTH_KEY
 from fareloom.sinks import write_raw, write_star
 from fareloom.sources import read_months
+from fareloom.sources.months import month_label
+from fareloom.sources.storage import current_version, hadoop_path, published
+
+
+def stored_months(spark: SparkSession, base: str) -> set[str]:
+    """Month keys of the current raw table; none before the first load."""
+    if not published(spark, base):
+        return set()
+    fs, folder = hadoop_path(spark, f"{current_version(spark, base)}/taxi_trips")
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return {n.removeprefix(f"{MONTH_KEY}=") for n in names if n.startswith(f"{MONTH_KEY}=")}
 
 
 def land_raw(
-    spark: SparkSession, template: str, year: int, base: str, months: Iterable[int] = range(1, 13)
+    spark: SparkSession,
+    template: str,
+    year: int,
+    base: str,
+    months: Iterable[int] = range(1, 13),
+    drop_months: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(load report, month report) of replacing the raw table with the months that can be read."""
+    """(load report, month report) of replacing the raw table with the months that can be read.
+
+    A month that the table holds and this load could not read stops the load, unless `drop_months` says that it may go.
+    """
     trips, report = read_months(spark, template, year, months)
+    loaded = {month_label(r["month"]) for r in report.where("status = 'loaded'").collect()}
+    lost = sorted(stored_months(spark, base) - loaded)
+    if lost and not drop_months:
+        raise ValueError(f"the load lacks months that the table holds: {', '.join(lost)}")
     return write_raw(trips, base), report
 
 

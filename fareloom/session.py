@@ -1,4 +1,4 @@
-"""Session settings the jobs rely on, and the shared folder for intermediate tables."""
+"""The shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,21 +6,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-RUNTIME_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
-}
-
-
-def ensure_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime options on a session somebody else made."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir.
 

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, conform
+from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, PRIMARY_KEYS, UNKNOWN_KEY, conform
 from fareloom.sources.storage import discard, dropping_scratch, new_version, publish
 
 LOAD_REPORT = "table_name string, row_count bigint"
@@ -53,10 +53,10 @@ def write_raw(df: DataFrame, base: str, max_records_per_file: int | None = None)
 
     try:
         rows = load("taxi_trips", lambda: counted_write(df, save))
+        publish(spark, base, version)
     except RuntimeError:
         discard(spark, path)
         raise
-    publish(spark, base, version)
     return spark.createDataFrame([("taxi_trips", rows)], LOAD_REPORT)
 
 
@@ -73,6 +73,27 @@ def write_fact(fact: DataFrame, path: str, max_records_per_file: int | None = No
     )
 
 
+def check_dimensions(tables: dict[str, DataFrame]) -> None:
+    """Refuse dimensions without a member besides the unknown one, and keys that are null or repeated. Reads the stored
+    dimensions once each; fact keys are numbered without gaps and need no such check."""
+    for name, df in tables.items():
+        key = PRIMARY_KEYS[name]
+        counts = (
+            df.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(
+                F.count_if(F.col(key) != UNKNOWN_KEY).alias("members"),
+                F.count_if(F.col(key).isNull()).alias("missing"),
+                F.count_if(F.col("n") > 1).alias("repeated"),
+            )
+            .first()
+        )
+        if not counts["members"]:
+            raise ValueError(f"{name} has no members")
+        if counts["missing"] or counts["repeated"]:
+            raise ValueError(f"{name} has null keys or {counts['repeated']} repeated ones")
+
+
 def write_star(
     spark: SparkSession,
     base: str,
@@ -84,7 +105,7 @@ def write_star(
 
     Dimensions are stored first, as jobs side by side, and read back for `make_fact`, so facts carry stored
     keys. Tables staged for the fact table go once it is stored. The new version is published after the last
-    table; if any fails it is dropped and readers keep the previous one.
+    table; if any fails, or a dimension fails its checks, it is dropped and readers keep the previous one.
     """
     version, path = new_version(base)
 
@@ -99,12 +120,13 @@ def write_star(
     try:
         with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
             rows = dict(zip(DIMENSIONS, pool.map(store, DIMENSIONS), strict=True))
+        check_dimensions({n: spark.read.schema(d).parquet(f"{path}/{n}") for n, d in DIMENSIONS.items()})
         with dropping_scratch(spark):
             rows["fact_trips"] = load("fact_trips", store_fact)
+        publish(spark, base, version)
     except Exception:
         discard(spark, path)
         raise
-    publish(spark, base, version)
     return spark.createDataFrame(list(rows.items()), LOAD_REPORT)
 
 

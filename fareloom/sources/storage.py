@@ -65,6 +65,11 @@ def new_version(base: str) -> tuple[str, str]:
 
 
 def publish(spark: SparkSession, base: str, version: str) -> None:
+    """Make a version the current one. A load that began before one already published is refused: readers take the
+    version that began last, so they would never see it."""
+    later = [v for v in published(spark, base) if v > version]
+    if later:
+        raise RuntimeError(f"{base}: version {later[-1]} was published while this load ran")
     fs, marker = hadoop_path(spark, f"{base.rstrip('/')}/published/{version}")
     fs.create(marker, False).close()
 

@@ -1,3 +1,3 @@
-from fareloom.streaming.landing import land_incremental
+from fareloom.streaming.landing import land_incremental, read_landed
 
-__all__ = ["land_incremental"]
+__all__ = ["land_incremental", "read_landed"]

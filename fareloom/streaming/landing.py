@@ -2,47 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+from collections import defaultdict
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fareloom.schemas import MONTH_KEY
-from fareloom.sources.months import nan_to_null, normalise_names
+from fareloom.sources.months import month_label, nan_to_null, normalise_names, union_months
+from fareloom.sources.storage import hadoop_path
 
-MONTH_IN_PATH = r"\d{4}-(\d{2})\.parquet(?:/|$)"  # a month is one file, or a folder of part files
+MONTH_IN_PATH = re.compile(r"\d{4}-(\d{2})\.parquet(?:/|$)")  # a month is one file, or a folder of part files
+SKIPPED = "path string, reason string"
 
 
 def land_incremental(
-    spark: SparkSession,
-    src_dir: str,
-    schema: StructType,
-    out: str,
-    checkpoint: str,
-    files_per_batch: int = 1_000,
+    spark: SparkSession, src_dir: str, out: str, checkpoint: str, files_per_batch: int = 1_000
 ) -> StreamingQuery:
-    """Append every file that is new since the last run to the raw layout, then stop.
+    """Land every file that is new since the last run in `out`, then stop. Read the result with read_landed.
 
-    The file source and sink keep their logs in `checkpoint` and `out`, so a file lands exactly once however
-    often a run fails or repeats. A file re-issued under its old name is not read again: replace the table with
-    write_raw for that. The month comes from the path, and the schema is fixed, so a file that cannot be
-    read in it fails the batch.
+    The stream carries file names; a batch reads its files as the batch job does, each in its own schema, so extra columns,
+    odd spellings and other types land as they do there. A batch is a folder named by its number and replaced if the
+    batch is run again, so each file lands exactly once. Files whose path names no month are listed in `out`/skipped and
+    do not land. A file re-issued under its old name is not read again: replace the table with land_raw for that.
     """
     arriving = (
-        spark.readStream.schema(schema)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", True)
-        .parquet(src_dir)
+        .load(src_dir)
+        .select("path")  # the contents are not read here
     )
-    month = F.concat(F.lit("month_"), F.regexp_extract("_metadata.file_path", MONTH_IN_PATH, 1))
-    landed = arriving.select("*", month.alias(MONTH_KEY))
+
+    def land(batch: DataFrame, number: int) -> None:
+        land_files(batch.sparkSession, [r["path"] for r in batch.collect()], out, number)  # files_per_batch rows at most
+
     return (
-        nan_to_null(normalise_names(landed))
-        .writeStream.format("parquet")
-        .partitionBy(MONTH_KEY)
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        arriving.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def land_files(spark: SparkSession, paths: list[str], out: str, number: int) -> None:
+    """Write one batch: files of one month and schema are one scan."""
+    scans: dict[tuple[str, str], list[str]] = defaultdict(list)
+    schemas: dict[str, StructType] = {}
+    skipped = []
+    for path in paths:
+        month = MONTH_IN_PATH.search(path)
+        if month is None:
+            skipped.append((path, "its path names no month"))
+            continue
+        schema = spark.read.parquet(path).schema
+        schemas[schema.json()] = schema
+        scans[month_label(int(month[1])), schema.json()].append(path)
+    if skipped:
+        spark.createDataFrame(skipped, SKIPPED).write.mode("overwrite").json(f"{out}/skipped/{number}")
+    frames = [
+        nan_to_null(normalise_names(spark.read.schema(schemas[schema]).parquet(*files))).withColumn(MONTH_KEY, F.lit(month))
+        for (month, schema), files in scans.items()
+    ]
+    if frames:
+        union_months(frames).write.mode("overwrite").partitionBy(MONTH_KEY).parquet(f"{out}/batches/{number}")
+
+
+def read_landed(spark: SparkSession, out: str) -> DataFrame:
+    """All batches as one table, by column name; columns a batch lacks are null, whole numbers widen where batches differ."""
+    fs, folder = hadoop_path(spark, f"{out}/batches")
+    if not fs.exists(folder):
+        raise FileNotFoundError(f"nothing landed under {out}")
+    batches = sorted(s.getPath().toString() for s in fs.listStatus(folder))
+    return union_months([spark.read.parquet(batch) for batch in batches])

@@ -328,7 +328,7 @@ ORACLES: dict[str, str] = {
     "schema_drift_union": sql(drifted("trips_raw"), "trips_raw"),
     "missing_columns_default": sql(drifted("trips_raw", "0.0"), "trips_raw"),
     "monthly_landing": sql(drifted("trips_raw"), "trips_raw"),
-    "streaming_landing": sql("SELECT * FROM trips_raw", "trips_raw"),
+    "streaming_landing": sql(drifted("trips_raw"), "trips_raw"),
     "star_refresh": sql(table_counts("fact_code"), *DIMS, "fact_code"),
     "stored_star_sql": sql(mean_by_payment("code"), "fact_code", "dim_payment_type"),
     "stored_trip_detail": sql(DETAIL, *STAR),

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from fareloom.operators import impute_upper_median, upper_medians
 from fareloom.operators.medians import median_values
 
-TINY = {"slots": 4, "few": 3}
+TINY = {"slots": 4}
 
 
 def sorted_pick(values):
@@ -55,14 +55,14 @@ def test_narrowing_over_unlike_columns(spark):
     ]
     schema = "a double, b double, c double, d int, e bigint, f bigint, g decimal(30,4), h float, i double"
     df = spark.createDataFrame(rows, schema).repartition(5)
-    found = median_values(df, list("abcdefghi"), slots=16, few=20)
+    found = median_values(df, list("abcdefghi"), slots=16)
     assert found == {c: sorted_pick([row[i] for row in rows]) for i, c in enumerate("abcdefghi")}
 
 
 def test_a_hot_value_needs_no_sorting(spark):
     rows = [(7.0 if i % 3 else float(i),) for i in range(3000)]
     df = spark.createDataFrame(rows, "x double")
-    assert median_values(df, ["x"], slots=8, few=2)["x"] == 7.0
+    assert median_values(df, ["x"], slots=8)["x"] == 7.0
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

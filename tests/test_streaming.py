@@ -2,9 +2,8 @@ from __future__ import annotations
 
 from fareloom.fixtures import trips_raw
 from fareloom.plans import land_raw, refresh_star
-from fareloom.schemas import RAW
 from fareloom.sources import read_raw
-from fareloom.streaming import land_incremental
+from fareloom.streaming import land_incremental, read_landed
 from tests.trips import trip, trips
 
 
@@ -13,9 +12,9 @@ def save(df, folder, month):
 
 
 def land(spark, tmp_path):
-    query = land_incremental(spark, str(tmp_path / "in"), RAW, str(tmp_path / "out"), str(tmp_path / "log"), files_per_batch=3)
+    query = land_incremental(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log"), files_per_batch=3)
     query.awaitTermination()
-    return spark.read.parquet(str(tmp_path / "out"))
+    return read_landed(spark, str(tmp_path / "out"))
 
 
 def test_lands_what_the_batch_job_lands_and_each_file_once(spark, tmp_path):
@@ -49,3 +48,22 @@ def test_single_files_and_odd_spelling(spark, tmp_path):
     (tmp_path / "in" / "yellow_2025-07.parquet").write_bytes(part.read_bytes())
     row = land(spark, tmp_path).first()
     assert (row._month_key, row.airport_fee, row.fare_amount) == ("month_07", None, 12.345)
+
+
+def test_drifted_files_land_as_in_the_batch_job(spark, tmp_path):
+    raw = trips_raw(spark, "/root/testdata/sf0.001")
+    month = lambda m: raw.where(f"_month_key = 'month_{m:02d}'")
+    save(month(1).withColumn("cbd_congestion_fee", raw.fare_amount), tmp_path / "in", 1)
+    save(month(2).withColumnRenamed("airport_fee", "Airport_fee "), tmp_path / "in", 2)
+    save(month(3).withColumn("passenger_count", raw.passenger_count.cast("bigint")), tmp_path / "in", 3)
+    land(spark, tmp_path)
+    save(month(4).withColumn("vendorid", raw.vendorid.cast("int")).drop("tolls_amount"), tmp_path / "in", 4)
+    month(5).drop("_month_key").write.parquet(str(tmp_path / "in" / "may.parquet"))
+    landed = land(spark, tmp_path)
+    land_raw(spark, str(tmp_path / "in") + "/trips_{year}-{month:02d}.parquet", 2025, str(tmp_path / "raw"), months=range(1, 5))
+    batch = read_raw(spark, str(tmp_path / "raw"), month_key=True)
+    assert sorted(landed.dtypes) == sorted(batch.dtypes) and "cbd_congestion_fee" in landed.columns
+    assert landed.exceptAll(batch.select(*landed.columns)).isEmpty() and landed.count() == batch.count()
+    skipped = spark.read.json(str(tmp_path / "out" / "skipped" / "*"))
+    assert {r.path.split("/")[-2] for r in skipped.collect()} == {"may.parquet"}
+    assert land(spark, tmp_path).count() == batch.count()
