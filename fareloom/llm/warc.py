@@ -199,7 +199,7 @@ def read_archives(index: DataFrame, id_type: str = "bigint") -> DataFrame:
     named = index.select("archive").distinct()
     # Names are a few bytes each; left to size alone, one task would read all archives.
     tasks = max(1, min(MOST_TASKS, -(-named.count() // ARCHIVES)))
-    read = named.repartition(tasks, "archive").mapInArrow(
+    read = named.repartition(tasks).mapInArrow(
         read_batches,
         "id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, intact boolean",
     )
