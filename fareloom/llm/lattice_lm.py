@@ -1,9 +1,15 @@
 """Document probability under a unigram model of subwords, summed over all segmentations.
 
-The pieces and their first scores come from an existing vocabulary; rounds of expectation over all training words
-(each weighed by its count) turns them into unigram probabilities. A word is a path through the lattice of its pieces;
-its probability is the sum over all paths, found by a forward recursion in logarithms. Every byte is a piece, so every
-word has a path. Pieces never cross white space, hence a document's score is the sum over its words plus the end.
+The pieces and their first scores come from an existing vocabulary; rounds of expectation over the different training
+words turn them into unigram probabilities. A word is a path through the lattice of its pieces; the sum over all paths is
+found by a forward recursion in logarithms. Every byte is a piece, so every word has a path. Pieces never cross white
+space, hence a document's score is the sum over its words plus the end.
+
+Pieces alone know nothing of which words occur together with which frequency, so the lattice of a training word has one more
+edge, from its start to its end: the word itself, by its count less a discount. What the discounts leave goes to the paths
+through pieces. Their weights sum to one over all words, met or not:
+P(word) = (max(c - d, 0) + (1 + d * V) * paths(word)) / (W + 1), with W training words, V different ones, and
+d = n1 / (n1 + 2 * n2), estimated from the words met once and twice. A token is the end in (ends + 1) of (N + 2) cases.
 
 Word statistics grow with the corpus and stay distributed. Only the FREQUENT most frequent words go to the executors as
 a table of fixed size; occurrences of all other words meet their statistics in a join. As such a word holds less
@@ -34,7 +40,7 @@ HELD = 400_000  # different words that a task counts before it passes them on
 LONG = 256  # longer words go through the recursion one by one
 CELLS = 1 << 20  # lattice cells worked on at once
 FOLDS, HELD_OUT = 7, 2
-ROUNDS = 2  # of expectation; on the test tables a third one gains 1 % of the logarithm
+ROUNDS = 2  # of expectation
 
 _draw = np.random.Generator(np.random.PCG64(7_001))
 BYTE_CODES = _draw.integers(1, 2**64, 256, dtype=np.uint64)
@@ -203,24 +209,45 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def expect(pieces: Pieces) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(word, c) -> (piece, uses): expected uses of each piece in the words of a task."""
+    """(word) -> (piece, uses): expected uses of each piece in the words of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(pieces.keys))
         for batch in batches:
-            total += word_lattices(batch["word"].to_pylist(), pieces, batch["c"].to_numpy().astype(float))[1]
+            total += word_lattices(batch["word"].to_pylist(), pieces, np.ones(batch.num_rows))[1]
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["piece", "uses"])
 
     return run
 
 
-def weigh(pieces: Pieces) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+@dataclass
+class WholeWords:
+    """What the edges of whole words need to know: training words, different ones, and the discount."""
+
+    total: int
+    different: int
+    discount: float
+
+    @classmethod
+    def of(cls, total: int, different: int, once: int, twice: int) -> WholeWords:
+        return cls(total, different, once / (once + 2 * twice) if once else 0.0)
+
+    def join(self, counts: np.ndarray, paths: np.ndarray) -> np.ndarray:
+        """Log probability of words by their counts and the log sums over their paths through pieces."""
+        edge = np.maximum(counts - self.discount, 0.0)
+        with np.errstate(divide="ignore"):
+            both = np.logaddexp(np.log(edge), paths + math.log(1.0 + self.discount * self.different))
+        return both - math.log(self.total + 1.0)
+
+
+def weigh(pieces: Pieces, whole: WholeWords) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(word, c) -> (word, c, score): log10 of the word's probability."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             logs, _ = word_lattices(batch["word"].to_pylist(), pieces)
+            logs = whole.join(batch["c"].to_numpy().astype(float), logs)
             yield pa.record_batch([batch["word"], batch["c"], pa.array(logs / math.log(10))], names=["word", "c", "score"])
 
     return run
@@ -282,22 +309,25 @@ def score_documents(
         "words",
     )
     train_docs = docs.where(~held_out(id_col)).count()
-    seen = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    seen = words.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
+        *[F.count_if(F.expr(test)).alias(name) for name, test in (("v", "c > 0"), ("once", "c = 1"), ("twice", "c = 2"))],
+    ).first()
     n, v = seen["n"] + train_docs, seen["v"] + (train_docs > 0)
 
     first = read_vocabulary(vocabulary)
     surfaces, weights = list(first), np.array(list(first.values()))
     trained = Pieces.of(surfaces, weights / weights.sum())
     for _ in range(rounds):
-        expected = words.where("c > 0").mapInArrow(expect(trained), "piece bigint, uses double")
+        expected = words.where("c > 0").select("word").mapInArrow(expect(trained), "piece bigint, uses double")
         uses = np.ones(len(surfaces))  # add one; the driver reads back one row per piece of the vocabulary at most
         for row in expected.groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
             uses[row["piece"]] += row["uses"]
-        total = uses.sum() + train_docs + 1
-        trained = Pieces(trained.keys, np.log(uses / total), trained.lengths)
-    end_score = math.log10((train_docs + 1) / total)
+        trained = Pieces(trained.keys, np.log(uses / uses.sum()), trained.lengths)
+    whole = WholeWords.of(seen["n"], seen["v"], seen["once"], seen["twice"])
+    end_score, word_score = (math.log10((c + 1) / (n + 2)) for c in (train_docs, seen["n"]))
 
-    weighed = stage(words.mapInArrow(weigh(trained), "word binary, c bigint, score double"), "weighed")
+    weighed = stage(words.mapInArrow(weigh(trained, whole), "word binary, c bigint, score double"), "weighed")
     top = weighed.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
     table = spark.sparkContext.broadcast(
         (top["word"].to_pylist(), top["c"].to_numpy().astype(float), top["score"].to_numpy())
@@ -326,7 +356,7 @@ def score_documents(
             (F.col("known") + int(train_docs > 0)).alias("n_known"),
             F.lit(n).cast("bigint").alias("train_tokens"),
             (F.col("base") + math.log10(train_docs + 1) - (F.col("n_words") + 1) * math.log10(n + v + 1)).alias("base_score"),
-            (F.col("score") + end_score).alias("score"),
+            (F.col("score") + F.col("n_words") * word_score + end_score).alias("score"),
         )
     )
 

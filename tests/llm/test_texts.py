@@ -70,14 +70,29 @@ def test_long_words_and_empty_tables(documents):
     assert lattice_lm.score_documents(documents(), PIECES).collect() == []
 
 
-def test_training_lowers_the_held_out_surprise(spark):
+def test_whole_words_and_paths_share_the_probability():
+    """Over all words the sum is one: the counted ones by their edges and paths, the rest by paths alone."""
+    paths = {b"a": 0.25, b"b": 0.25, b"ab": 0.125, b"unmet": 0.375}
+    counts = {b"a": 1.0, b"b": 2.0, b"ab": 5.0, b"unmet": 0.0}
+    whole = lattice_lm.WholeWords.of(8, 3, 1, 1)
+    found = np.exp(whole.join(np.array(list(counts.values())), np.log(list(paths.values()))))
+    assert whole.discount == pytest.approx(1 / 3) and found.sum() == pytest.approx(1)
+    wanted = [(max(c - 1 / 3, 0) + 2 * p) / 9 for c, p in zip(counts.values(), paths.values(), strict=True)]
+    assert found == pytest.approx(wanted)
+    nothing = lattice_lm.WholeWords.of(0, 0, 0, 0)
+    assert nothing.join(np.zeros(1), np.array([-3.0])) == pytest.approx(-3.0)
+
+
+def test_training_lowers_the_held_out_surprise(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
 
     def held_out(rounds):
         rows = lattice_lm.score_documents(docs, PIECES, rounds=rounds).where("held_out").collect()
         return sum(r["score"] for r in rows)
 
-    assert held_out(1) < held_out(2) < 0
+    once, twice = held_out(1), held_out(2)
+    monkeypatch.setattr(lattice_lm.WholeWords, "join", lambda self, counts, paths: paths)
+    assert 1.1 * held_out(2) < once < twice < 0
 
 
 # token counts
