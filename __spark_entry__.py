@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -13,10 +14,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from fareloom import operators as ops
 from fareloom import plans
-from fareloom.fixtures import people_raw, trips_raw
+from fareloom.fixtures import people_raw, star_folder, stored_star, trips_raw
 from fareloom.schemas import DIMENSIONS, MONTH_KEY, PEOPLE
 from fareloom.sinks import write_csv, write_raw
-from fareloom.sources import query_tables, read_csv, read_raw, read_star, with_missing_columns
+from fareloom.sources import query_tables, read_csv, read_raw, read_star, read_trips, with_missing_columns
 from fareloom.sources.months import normalise_names, union_months
 from fareloom.sources.storage import scratch_path
 from fareloom.streaming import land_incremental, read_landed
@@ -28,6 +29,8 @@ YEAR = 2025
 PEOPLE_COLUMNS = PEOPLE.fieldNames()
 CODE_COLUMNS = ["vendorid", "payment_type", "pulocationid", "dolocationid"]
 FIRST_WITHOUT_TOLLS = "month_07"
+RANGE = dt.datetime(2025, 3, 15, 6), dt.datetime(2025, 5, 1)
+ROWS_PER_FILE = 1_000
 
 
 def over_trips(f: Callable[[DataFrame], DataFrame]) -> Query:
@@ -38,6 +41,11 @@ def over_people(f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: f(people_raw(spark, sf_dir))
 
 
+def over_star(f: Callable[[dict[str, DataFrame]], DataFrame], policy: str = "code") -> Query:
+    """A query over the stored star schema, which one refresh per application publishes."""
+    return lambda spark, sf_dir: f(stored_star(spark, sf_dir, policy))
+
+
 def dimension(name: str) -> Query:
     return over_trips(lambda raw: plans.build_dim(raw, name))
 
@@ -46,11 +54,6 @@ def fact(raw: DataFrame, policy: str = "code", keyed: bool = False) -> DataFrame
     return plans.build_fact(raw, plans.build_dim(raw, "dim_datetime"), policy, keyed)
 
 
-def star(raw: DataFrame, keyed: bool = False) -> dict[str, DataFrame]:
-    dims = plans.build_dims(raw)
-    return {**dims, "fact_trips": plans.build_fact(raw, dims["dim_datetime"], keyed=keyed)}
-
-
 def payment_report(raw: DataFrame, policy: str = "code") -> DataFrame:
     return plans.average_by_payment(plans.trip_measures(raw, policy), plans.build_dim(raw, "dim_payment_type"))
 
@@ -116,6 +119,46 @@ def monthly_landing(raw: DataFrame) -> DataFrame:
     return read_raw(spark, base, month_key=True)
 
 
+def landing_report(raw: DataFrame) -> DataFrame:
+    """What happened to each month of a landing; month 0 is not there."""
+    spark = raw.sparkSession
+    files = monthly_files(list(halves(raw)))
+    report = plans.land_raw(spark, files, YEAR, scratch_path(spark, "raw"), months=range(0, 13))[1]
+    return report.select("month", "status", "row_count")
+
+
+def sized_files(raw: DataFrame) -> DataFrame:
+    """Rows per month of a raw table in files of limited size, and whether every file keeps the limit."""
+    spark = raw.sparkSession
+    base = scratch_path(spark, "raw")
+    write_raw(raw, base, max_records_per_file=ROWS_PER_FILE)
+    per_file = (
+        read_raw(spark, base, month_key=True)
+        .groupBy(F.col(MONTH_KEY).alias("month_key"), F.input_file_name().alias("file"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return per_file.groupBy("month_key").agg(
+        F.sum("rows").alias("row_count"), (F.max("rows") <= ROWS_PER_FILE).alias("within_limit")
+    )
+
+
+def kept_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the star's tables after a refresh that was refused: those of the version before."""
+    base = star_folder(spark, sf_dir)
+    try:
+        plans.refresh_star(trips_raw(spark, sf_dir).where("false"), base)
+    except ValueError:
+        return ops.table_counts(read_star(spark, base))
+    raise AssertionError("a refresh without trips was published")
+
+
+def refreshed(policy: str) -> Query:
+    def run(raw: DataFrame) -> DataFrame:
+        return plans.refresh_star(raw.drop(MONTH_KEY), scratch_path(raw.sparkSession, "star"), policy)
+
+    return over_trips(run)
+
+
 def streaming_landing(raw: DataFrame) -> DataFrame:
     spark = raw.sparkSession
     out = f"{scratch_path(spark, 'stream')}/raw"
@@ -124,14 +167,6 @@ def streaming_landing(raw: DataFrame) -> DataFrame:
     return read_landed(spark, out)
 
 
-def stored_star(raw: DataFrame) -> tuple[str, DataFrame]:
-    """Land the trips, build the star schema from the landed table, publish it; (folder, load report)."""
-    spark = raw.sparkSession
-    raw_base, star_base = scratch_path(spark, "raw"), scratch_path(spark, "star")
-    write_raw(raw, raw_base)
-    return star_base, plans.refresh_star(read_raw(spark, raw_base), star_base)
-
-
 # Means of whole cents, rounded half up once; kept amounts are never negative.
 PAYMENT_SQL = """
 SELECT payment_type_name, trips, ((2 * fare + trips) DIV (2 * trips)) / 100D AS avg_fare,
@@ -146,17 +181,17 @@ FROM (
 """
 
 
-def stored_star_sql(raw: DataFrame) -> DataFrame:
-    spark = raw.sparkSession
-    tables = read_star(spark, stored_star(raw)[0])
-    return query_tables(
-        spark, PAYMENT_SQL, fact_trips=tables["fact_trips"], dim_payment_type=tables["dim_payment_type"]
-    )
+def payment_sql(star: dict[str, DataFrame]) -> DataFrame:
+    tables = {name: star[name] for name in ("fact_trips", "dim_payment_type")}
+    return query_tables(star["fact_trips"].sparkSession, PAYMENT_SQL, **tables)
+
+
+def stored_detail(star: dict[str, DataFrame]) -> DataFrame:
+    return plans.trip_detail(star["fact_trips"], star)
 
 
-def stored_trip_detail(raw: DataFrame) -> DataFrame:
-    tables = read_star(raw.sparkSession, stored_star(raw)[0])
-    return plans.trip_detail(tables["fact_trips"], tables)
+def orphans(star: dict[str, DataFrame]) -> DataFrame:
+    return ops.fk_orphans(star["fact_trips"], star)
 
 
 def csv_round_trip(people: DataFrame) -> DataFrame:
@@ -189,10 +224,13 @@ REGISTRY: dict[str, Query] = {
     # counts and checks
     "raw_count": over_trips(lambda raw: raw.agg(F.count(F.lit(1)).alias("row_count"))),
     "table_counts": over_trips(counts_per_table),
-    "key_violations": over_trips(lambda raw: ops.key_violations(star(raw, keyed=True))),
-    "null_violations": over_trips(lambda raw: ops.null_violations(star(raw, keyed=True))),
-    "fk_orphans": over_trips(lambda raw: ops.fk_orphans(fact(raw), plans.build_dims(raw))),
-    "expectations": over_trips(lambda raw: ops.expectations(raw, plans.build_dims(raw))),
+    "key_violations": over_star(ops.key_violations),
+    "null_violations": over_star(ops.null_violations),
+    "fk_orphans": over_star(orphans),
+    "fk_orphans_documented": over_star(orphans, "documented"),
+    "star_checks": over_star(ops.star_checks),
+    "star_checks_documented": over_star(ops.star_checks, "documented"),
+    "expectations": lambda spark, sf_dir: ops.expectations(trips_raw(spark, sf_dir), stored_star(spark, sf_dir)),
     # candidates and months
     "distinct_codes": over_trips(all_codes),
     "distinct_hours": over_trips(lambda raw: ops.distinct_hours(raw, "tpep_pickup_datetime", "pickup_datetime")),
@@ -206,9 +244,16 @@ REGISTRY: dict[str, Query] = {
     "missing_columns_default": over_trips(defaulted),
     "monthly_landing": over_trips(monthly_landing),
     "streaming_landing": over_trips(streaming_landing),
-    "star_refresh": over_trips(lambda raw: stored_star(raw)[1]),
-    "stored_star_sql": over_trips(stored_star_sql),
-    "stored_trip_detail": over_trips(stored_trip_detail),
+    "landing_report": over_trips(landing_report),
+    "sized_files": over_trips(sized_files),
+    "star_refresh": refreshed("code"),
+    "star_refresh_documented": refreshed("documented"),
+    "kept_version": kept_version,
+    "stored_star_sql": over_star(payment_sql),
+    "stored_trip_detail": over_star(stored_detail),
+    "stored_trip_detail_documented": over_star(stored_detail, "documented"),
+    "stored_table_counts_documented": over_star(ops.table_counts, "documented"),
+    "stored_trips_range": lambda spark, sf_dir: read_trips(spark, star_folder(spark, sf_dir), *RANGE),
     # imputation
     "upper_medians": over_people(lambda people: ops.upper_medians(people, PEOPLE_COLUMNS)),
     "impute_upper_median": over_people(lambda people: ops.impute_upper_median(people, PEOPLE_COLUMNS)),

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fareloom.plans import refresh_star
+from fareloom.schemas import MONTH_KEY
 from fareloom.sinks import write_raw
-from fareloom.sources import read_raw
+from fareloom.sources import read_raw, read_star
 from fareloom.sources.storage import scratch_path
 
 SECONDS = "((l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 611953) % 32000000)"
@@ -93,11 +95,28 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in LANDED:
         base = scratch_path(spark, "trips")
-        write_raw(trips_view(spark, sf_dir), base)
+        write_raw(trips_view(spark, sf_dir), base, mixed=True)
         LANDED[key] = read_raw(spark, base, month_key=True)
     return LANDED[key]
 
 
+STARS: dict[tuple[str, str, str], str] = {}
+
+
+def stored_star(spark: SparkSession, sf_dir: str, policy: str = "code") -> dict[str, DataFrame]:
+    """The star schema of the trips as published by a refresh, which runs on first use in an application."""
+    return read_star(spark, star_folder(spark, sf_dir, policy))
+
+
+def star_folder(spark: SparkSession, sf_dir: str, policy: str = "code") -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, policy)
+    if key not in STARS:
+        base = scratch_path(spark, "star")
+        refresh_star(trips_raw(spark, sf_dir).drop(MONTH_KEY), base, policy)
+        STARS[key] = base
+    return STARS[key]
+
+
 def people_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return spark.sql(PEOPLE_RAW.replace("@ORDERS@", "{orders}"), orders=orders)

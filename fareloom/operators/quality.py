@@ -39,6 +39,33 @@ def key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def member_checks(dims: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, members, null_keys, repeated_keys) of each dimension: members besides the unknown one, whether a key
+    is null (0 or 1), and how many key values occur more than once."""
+    parts = []
+    for name, df in dims.items():
+        key = F.col(PRIMARY_KEYS[name])
+        parts.append(
+            df.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(
+                F.count_if(key != UNKNOWN_KEY).alias("members"),
+                F.count_if(key.isNull()).alias("null_keys"),
+                F.count_if(F.col("n") > 1).alias("repeated_keys"),
+            )
+            .select(F.lit(name).alias("table_name"), "members", "null_keys", "repeated_keys")
+        )
+    return union_all(parts)
+
+
+def star_checks(star: dict[str, DataFrame]) -> DataFrame:
+    """The checks a refresh makes on its dimensions, with the fact rows that have no member there. Orphans do not stop a
+    load: the schema has no foreign keys."""
+    dims = {name: star[name] for name in DIMENSIONS}
+    orphans = fk_orphans(star["fact_trips"], dims).select("table_name", "orphan_rows")
+    return member_checks(dims).join(orphans, "table_name")
+
+
 def null_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, column_name, null_rows) for every required column; one pass per table."""
     checks = []

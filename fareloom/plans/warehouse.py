@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareloom.operators.cleaning import CleaningPolicy
 from fareloom.plans.dimensions import build_dims
 from fareloom.plans.fact import build_fact
 from fareloom.schemas import MONTH_KEY
 from fareloom.sinks import write_raw, write_star
-from fareloom.sources import read_months
-from fareloom.sources.months import month_label
+from fareloom.sources import read_months, read_raw
+from fareloom.sources.months import REPORT, month_label
 from fareloom.sources.storage import current_version, hadoop_path, published
 
 
@@ -33,7 +34,8 @@ def land_raw(
     months: Iterable[int] = range(1, 13),
     drop_months: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(load report, month report) of replacing the raw table with the months that can be read.
+    """(load report, month report) of replacing the raw table with the months that can be read. The month report says what
+    happened to each month and how many rows it brought, counted by the footers of the files written.
 
     A month that the table holds and this load could not read stops the load, unless `drop_months` says that it may go.
     """
@@ -42,7 +44,20 @@ def land_raw(
     lost = sorted(stored_months(spark, base) - loaded)
     if lost and not drop_months:
         raise ValueError(f"the load lacks months that the table holds: {', '.join(lost)}")
-    return write_raw(trips, base), report
+    load = write_raw(trips, base)
+    return load, with_rows(spark, report, base, load.first()["row_count"])
+
+
+def with_rows(spark: SparkSession, report: DataFrame, base: str, written: int) -> DataFrame:
+    """The month report with rows per loaded month; null for a month that was skipped."""
+    counts = {}
+    if written:
+        per_month = read_raw(spark, base, month_key=True).groupBy(MONTH_KEY).agg(F.count(F.lit(1)).alias("n"))
+        counts = {r[MONTH_KEY]: r["n"] for r in per_month.collect()}  # one row per month
+    rows = [
+        (*r, counts.get(month_label(r["month"]), 0) if r["status"] == "loaded" else None) for r in report.collect()
+    ]
+    return spark.createDataFrame(rows, f"{REPORT}, row_count bigint")
 
 
 def refresh_star(raw: DataFrame, base: str, policy: str | CleaningPolicy = "code") -> DataFrame:

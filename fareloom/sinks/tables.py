@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, PRIMARY_KEYS, UNKNOWN_KEY, conform
+from fareloom.operators.quality import member_checks
+from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, conform
 from fareloom.sources.storage import discard, dropping_scratch, new_version, publish
 
 LOAD_REPORT = "table_name string, row_count bigint"
 JDBC_BATCH = 50_000
+OPEN_FILES = 4  # files a writing task keeps open side by side before it falls back to sorting the rest of its rows
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
@@ -37,22 +41,37 @@ def sized(writer: DataFrameWriter, max_records_per_file: int | None) -> DataFram
     return writer.option("maxRecordsPerFile", max_records_per_file) if max_records_per_file else writer
 
 
-def write_raw(df: DataFrame, base: str, max_records_per_file: int | None = None) -> DataFrame:
+@contextmanager
+def side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Within the block, tasks that write into few folders do so without sorting their rows by folder first."""
+    before = spark.conf.get(WRITERS)
+    spark.conf.set(WRITERS, str(max(OPEN_FILES, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS, before)
+
+
+def write_raw(df: DataFrame, base: str, max_records_per_file: int | None = None, mixed: bool = False) -> DataFrame:
     """Replace the raw table with these rows, stored by month key, and report the rows written.
 
-    Every scan task holds rows of one month, so no shuffle is needed to partition by it. With no rows at all
-    the table that is there stays.
+    Every task over read_months holds rows of one month, so its rows are neither shuffled nor sorted. Where tasks hold rows
+    of many months, `mixed` brings a month's rows together first (in tasks of a bounded size, so a large month is still
+    written by many), instead of a file per task and month. With no rows at all the table that is there stays.
     """
     spark = df.sparkSession
     if df.isEmpty():
         return spark.createDataFrame([("taxi_trips", 0)], LOAD_REPORT)
     version, path = new_version(base)
+    if mixed:
+        df = df.hint("rebalance", F.col(MONTH_KEY))
 
     def save(out: DataFrame) -> None:
         sized(out.write, max_records_per_file).partitionBy(MONTH_KEY).parquet(f"{path}/taxi_trips")
 
     try:
-        rows = load("taxi_trips", lambda: counted_write(df, save))
+        with side_by_side(spark):
+            rows = load("taxi_trips", lambda: counted_write(df, save))
         publish(spark, base, version)
     except RuntimeError:
         discard(spark, path)
@@ -75,23 +94,12 @@ def write_fact(fact: DataFrame, path: str, max_records_per_file: int | None = No
 
 def check_dimensions(tables: dict[str, DataFrame]) -> None:
     """Refuse dimensions without a member besides the unknown one, and keys that are null or repeated. Reads the stored
-    dimensions once each; fact keys are numbered without gaps and need no such check."""
-    for name, df in tables.items():
-        key = PRIMARY_KEYS[name]
-        counts = (
-            df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(
-                F.count_if(F.col(key) != UNKNOWN_KEY).alias("members"),
-                F.count_if(F.col(key).isNull()).alias("missing"),
-                F.count_if(F.col("n") > 1).alias("repeated"),
-            )
-            .first()
-        )
-        if not counts["members"]:
-            raise ValueError(f"{name} has no members")
-        if counts["missing"] or counts["repeated"]:
-            raise ValueError(f"{name} has null keys or {counts['repeated']} repeated ones")
+    dimensions once, in one job; fact keys are numbered without gaps and need no such check."""
+    for row in member_checks(tables).collect():
+        if not row["members"]:
+            raise ValueError(f"{row['table_name']} has no members")
+        if row["null_keys"] or row["repeated_keys"]:
+            raise ValueError(f"{row['table_name']} has null keys or {row['repeated_keys']} repeated ones")
 
 
 def write_star(
@@ -135,7 +143,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], append: bool = False) -> None:
-    """Load a relational table in batches. The driver jar must be on the class path."""
-    mode = "append" if append else "overwrite"
-    df.write.mode(mode).option("batchsize", JDBC_BATCH).jdbc(url, table, properties=properties)
+def write_jdbc(
+    df: DataFrame, url: str, table: str, properties: dict[str, str], append: bool = False, connections: int = 8
+) -> None:
+    """Load a relational table in batches, over at most so many connections. The driver jar must be on the class path."""
+    writer = df.write.mode("append" if append else "overwrite").option("batchsize", JDBC_BATCH)
+    writer.option("numPartitions", connections).jdbc(url, table, properties=properties)

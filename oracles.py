@@ -213,6 +213,24 @@ def table_counts(fact_table: str) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}" for n, t in tables)
 
 
+def orphan_rows(fact_table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{k}' AS key_column, '{t}' AS table_name, count(*) AS orphan_rows "
+        f"FROM {fact_table} WHERE {k} NOT IN (SELECT {k} FROM {t})"
+        for t, k in DIMS.items()
+    )
+
+
+def star_check_rows(fact_table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(DISTINCT {k}) FROM {t} WHERE {k} <> -1) AS members, "
+        f"(SELECT count(DISTINCT {k} IS NULL) FROM {t} WHERE {k} IS NULL) AS null_keys, "
+        f"(SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)) AS repeated_keys, "
+        f"(SELECT count(*) FROM {fact_table} f WHERE NOT EXISTS (FROM {t} d WHERE d.{k} = f.{k})) AS orphan_rows"
+        for t, k in DIMS.items()
+    )
+
+
 def expectation_rows() -> str:
     def row(check: str, table: str, observed: str) -> str:
         return (
@@ -293,15 +311,10 @@ ORACLES: dict[str, str] = {
         ),
         *STAR,
     ),
-    "fk_orphans": sql(
-        " UNION ALL ".join(
-            f"SELECT '{k}' AS key_column, '{t}' AS table_name, count(*) AS orphan_rows "
-            f"FROM fact_code WHERE {k} NOT IN (SELECT {k} FROM {t})"
-            for t, k in DIMS.items()
-        ),
-        "fact_code",
-        *DIMS,
-    ),
+    "fk_orphans": sql(orphan_rows("fact_code"), "fact_code", *DIMS),
+    "fk_orphans_documented": sql(orphan_rows("fact_documented"), "fact_documented", *DIMS),
+    "star_checks": sql(star_check_rows("fact_code"), "fact_code", *DIMS),
+    "star_checks_documented": sql(star_check_rows("fact_documented"), "fact_documented", *DIMS),
     "expectations": sql(expectation_rows(), *DIMS),
     "distinct_codes": sql(
         " UNION ALL ".join(
@@ -329,7 +342,27 @@ ORACLES: dict[str, str] = {
     "missing_columns_default": sql(drifted("trips_raw", "0.0"), "trips_raw"),
     "monthly_landing": sql(drifted("trips_raw"), "trips_raw"),
     "streaming_landing": sql(drifted("trips_raw"), "trips_raw"),
+    "landing_report": sql(
+        """SELECT CAST(0 AS INTEGER) AS month, 'skipped' AS status, CAST(NULL AS BIGINT) AS row_count
+ UNION ALL SELECT CAST(right(_month_key, 2) AS INTEGER), 'loaded', count(*) FROM trips_raw GROUP BY _month_key""",
+        "trips_raw",
+    ),
+    "sized_files": sql(
+        "SELECT _month_key AS month_key, count(*) AS row_count, TRUE AS within_limit FROM trips_raw GROUP BY _month_key",
+        "trips_raw",
+    ),
     "star_refresh": sql(table_counts("fact_code"), *DIMS, "fact_code"),
+    "star_refresh_documented": sql(table_counts("fact_documented"), *DIMS, "fact_documented"),
+    "kept_version": sql(table_counts("fact_code"), *DIMS, "fact_code"),
+    "stored_trip_detail_documented": sql(
+        DETAIL.replace("FROM fact_trips f", f"FROM ({keyed_fact('documented')}) f"), "fact_documented", *DIMS
+    ),
+    "stored_table_counts_documented": sql(table_counts("fact_documented"), *DIMS, "fact_documented"),
+    "stored_trips_range": sql(
+        "SELECT * FROM fact_trips WHERE pickup_datetime >= TIMESTAMP '2025-03-15 06:00:00' "
+        "AND pickup_datetime < TIMESTAMP '2025-05-01'",
+        "fact_trips",
+    ),
     "stored_star_sql": sql(mean_by_payment("code"), "fact_code", "dim_payment_type"),
     "stored_trip_detail": sql(DETAIL, *STAR),
     "upper_medians": sql(f"SELECT {MEDIANS} FROM people_raw", "people_raw"),

@@ -41,8 +41,11 @@ def test_a_load_that_lost_a_month_is_refused(spark, tmp_path):
     for m in (1, 2):
         raw.where(f"_month_key = 'month_{m:02d}'").drop("_month_key").write.parquet(f"{folder}{m}/trips_2025-{m:02d}.parquet")
     both = folder + "{month}/trips_{year}-{month:02d}.parquet"
-    plans.land_raw(spark, both, 2025, base)
+    _, report = plans.land_raw(spark, both, 2025, base, months=range(1, 4))
     rows = read_raw(spark, base).count()
+    counts = {r["month"]: (r["status"], r["row_count"]) for r in report.collect()}
+    per_month = {m: raw.where(f"_month_key = 'month_{m:02d}'").count() for m in (1, 2)}
+    assert counts == {1: ("loaded", per_month[1]), 2: ("loaded", per_month[2]), 3: ("skipped", None)}
     one = folder + "1/trips_{year}-{month:02d}.parquet"
     with pytest.raises(ValueError, match="month_02"):
         plans.land_raw(spark, one, 2025, base)
@@ -71,6 +74,17 @@ def test_detail_has_n_rows_whatever_the_members(spark, star):
     assert len(plans.trip_detail(star["fact_trips"], star, 7).collect()) == 7
 
 
+def test_checks_name_what_is_wrong(spark, star):
+    keys = star["dim_vendor"]
+    broken = keys.union(keys.where("vendor_key = 2")).union(spark.createDataFrame([(None, "x")], keys.schema))
+    rows = {r["table_name"]: tuple(r)[1:] for r in ops.star_checks({**star, "dim_vendor": broken}).collect()}
+    assert rows["dim_vendor"] == (7, 1, 1, 0) and len(rows) == 5
+    lacking = ops.star_checks({**star, "dim_vendor": keys.where("vendor_key <> 2")}).where("table_name = 'dim_vendor'").first()
+    assert lacking["members"] == 6 and lacking["orphan_rows"] == star["fact_trips"].where("vendor_key = 2").count() > 0
+    empty = ops.star_checks({**star, "dim_vendor": keys.where("false")}).where("table_name = 'dim_vendor'").first()
+    assert empty["members"] == 0
+
+
 def test_orphans_of_an_empty_fact_are_five_zeros(spark, star):
     empty = spark.createDataFrame([], FACT_TRIPS)
     assert sorted(r["orphan_rows"] for r in ops.fk_orphans(empty, star).collect()) == [0] * 5

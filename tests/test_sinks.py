@@ -12,6 +12,7 @@ from fareloom.plans import average_by_payment, build_dims, build_fact, refresh_s
 from fareloom.schemas import FACT_TRIPS, STAR
 from fareloom.session import shared_dir
 from fareloom.sinks import ensure_namespace, write_jdbc, write_raw, write_star
+from fareloom.sinks.tables import WRITERS
 from fareloom.sources import read_raw, read_star, read_trips
 from fareloom.sources.storage import drop_old_versions, published
 from tests.trips import at, trip, trips
@@ -161,3 +162,14 @@ def test_jdbc_needs_its_driver(spark):
     """No database here: this only shows that the writer gets as far as looking for one."""
     with pytest.raises(Exception, match="No suitable driver"):
         write_jdbc(spark.range(1), "jdbc:nosuch:db", "raw.trips", {"user": "u", "password": "p"})
+
+
+def test_mixed_rows_make_few_files_and_leave_the_settings(spark, tmp_path):
+    before = spark.conf.get(WRITERS)
+    raw = trips_raw(spark, SF).repartition(6)
+    write_raw(raw, str(tmp_path / "few"), mixed=True)
+    write_raw(raw, str(tmp_path / "many"))
+    few, many = (len(list((tmp_path / name).rglob("*.parquet"))) for name in ("few", "many"))
+    assert few == 12 < many
+    assert spark.conf.get(WRITERS) == before
+    same(read_raw(spark, str(tmp_path / "few")), read_raw(spark, str(tmp_path / "many")))
