@@ -33,7 +33,7 @@ BASE = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]{14,}", "hex": "[0-9a-f]{16,}"}
 
 TOKEN = "A-Za-z0-9+/_-"
 WEAK = {
-    "key": rf"(?<![={TOKEN}])(?=[{TOKEN}]*[0-9])(?=[{TOKEN}]*[a-z])(?=[{TOKEN}]*[A-Z])[{TOKEN}]{{24,}}={{0,2}}",
+    "key": rf"(?<![{TOKEN}])(?=[{TOKEN}]*[0-9])(?=[{TOKEN}]*[a-z])(?=[{TOKEN}]*[A-Z])[{TOKEN}]{{24,}}={{0,2}}",
     "id": r"(?i)(?<![a-z0-9])(?:client|account|access|app|user|tenant)[_-]?(?:id|key[_-]?id|name)"
     r"""["']?\x20*[:=]\x20*["']?[a-z0-9_.@-]{4,}""",
     "url": r"(?i)(?<![a-z0-9])(?:https?|wss?|ftps?|amqps?|redis|mysql|mariadb|postgres(?:ql)?|mongodb(?:\+srv)?)"
