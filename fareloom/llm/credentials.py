@@ -1,9 +1,9 @@
 """Secret scans that link the parts of a credential.
 
 Base patterns find secrets that stand for themselves. Weaker ones find parts that alone prove nothing: long mixed tokens,
-account names, and endpoints. A weak part is reported only if a complementary one starts within SCOPE code points of it in
-the same text: a token needs an account or an endpoint, an account or an endpoint needs a secret. Weak parts that overlap a base
-span are covered by it.
+account names, and endpoints. A weak part is reported only if at most SCOPE code points lie between it and a complementary one
+in the same text, on either side: a token needs an account or an endpoint, an account or an endpoint needs a secret. Weak parts
+that overlap a base span are covered by it.
 
 A pattern's matches and the text between them give the places; a running sum per text and pattern turns lengths into
 places. Parts meet in an interval join on (text, stretch of BIN code points), so a text of any length is joined in
@@ -103,8 +103,9 @@ def bins(start: Column, end: Column) -> Column:
 
 def linked_parts(spans: DataFrame) -> DataFrame:
     """The weak spans with a complementary part in their scope, by an interval join."""
-    # Both sides are cut into the same stretches: a weak part with its scope around it, any part as it stands.
-    reach = spans.where("NOT base").withColumn("bin", bins(F.col("start") - SCOPE, F.col("end") + SCOPE))
+    # Both sides are cut into the same stretches: a weak part with its scope around it and one more code point, which a part
+    # at the full distance holds, and any part as it stands.
+    reach = spans.where("NOT base").withColumn("bin", bins(F.col("start") - SCOPE - 1, F.col("end") + SCOPE + 1))
     parts = spans.select(
         "rid",
         bins(F.col("start"), F.col("end")).alias("bin"),
@@ -114,7 +115,7 @@ def linked_parts(spans: DataFrame) -> DataFrame:
         F.col("end").alias("to"),
     )
     overlap = "`from` < end AND start < to"
-    near = f"`from` >= start - {SCOPE} AND `from` <= end + {SCOPE} AND NOT ({overlap})"
+    near = f"`to` >= start - {SCOPE} AND `from` <= end + {SCOPE} AND NOT ({overlap})"
     secret = "role = 'secret' AND other <> 'secret' OR role <> 'secret' AND other = 'secret'"
     return (
         reach.join(parts, ["rid", "bin"])

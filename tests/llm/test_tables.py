@@ -87,6 +87,20 @@ def test_weak_secrets_right_after_an_equals_sign(documents):
     assert not any(secret in left[i] for i, secret in enumerate(secrets)) and KEY in left[9]
 
 
+def test_scope_is_the_gap_between_parts(documents):
+    """Partners of any length on either side, at the full distance and one more, there also where stretches meet."""
+    url = f"https://db.example.com/{'x' * 400}"
+    texts = {1: f"{url} {KEY}", 2: f"{KEY} {url}"}
+    for i, gap in ((3, 256), (4, 257)):
+        texts[i] = f"{url}{' ' * gap}{KEY}"
+        texts[i + 2] = f"{'.' * (768 - len(KEY) - 1)} {KEY}{' ' * gap}{url}"  # the key ends at 768
+        texts[i + 4] = f"{' ' * (1024 - len(url))}{url}{' ' * gap}{KEY}"  # the URL ends at 1024
+    found = spans_of(documents(*texts.items()))
+    assert all(found[i] == [None] for i in (4, 6, 8))
+    for i in (1, 2, 3, 5, 7):
+        assert sorted(texts[i][s:e] for _, s, e in found[i]) == sorted([KEY, url])
+
+
 def test_short_assignments_use_up_their_text(documents):
     text = "token=secret: abcdefghijklmnop password=short secret='0123456789abcdef0123'"
     got = [f"{k}:{s}:{e}" for k, s, e in spans_of(documents((1, text)))[1]]
