@@ -1,6 +1,7 @@
 """From raw documents to a training mix, stage by stage; each stage's rows are stored and read by the next.
 
-Quality rules drop what passes the adaptive cutoffs of its language and source; near-dedup keeps one document of each class
+Quality rules drop what passes the adaptive cutoffs of its language and source, and texts of 50 words or more that mostly repeat
+themselves; near-dedup keeps one document of each class
 (five-word shingles, similarity 0.8); decontamination cuts benchmark passages; the secret scan replaces credentials; mixing
 emits each document as often as its source's target asks. All stages take and (but for the repetitions of the last) return the
 columns of documents. Nulls, empty texts, repeated rows and extra columns: see the operators.
@@ -18,7 +19,7 @@ from fareloom.llm.credentials import redact
 from fareloom.llm.decontaminate import decontaminate
 from fareloom.llm.mixing import emit_mix
 from fareloom.llm.near_dedup import deduplicate
-from fareloom.llm.quality import keep_quality
+from fareloom.llm.quality import REPETITIVE, judge_quality
 from fareloom.sources.storage import MADE, discard, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -54,7 +55,7 @@ def step(work: Stage) -> Stage:
 
 @step
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_quality(docs)
+    return judge_quality(docs).where(f"passes AND NOT ({REPETITIVE})").select("row.*")
 
 
 @step

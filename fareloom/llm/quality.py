@@ -23,6 +23,7 @@ from fareloom.sources.storage import stage
 WORD, GAP = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 WINDOW = 3
 MIN_WORDS, MOST_REPEATED = 50, 50  # of the base rule: words, and repeated words in a hundred
+REPETITIVE = f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words > {MOST_REPEATED} * n_words"  # its part on texts that are not short
 REACH, MIN_GROUP = 6, 100
 DIGITS = 6
 NONE = "\x00"  # stands for a null language or source

@@ -249,6 +249,17 @@ def test_stages_equal_their_operators_in_plain_python(spark):
     assert {r.doc_id for r in mixed.collect()} <= set(after)
 
 
+def test_quality_stage_drops_texts_that_mostly_repeat(spark, documents):
+    """A source full of them has a wide cutoff, which they pass. Short texts stay."""
+    repeated = [" ".join([f"a{i}b{j}" for j in range(20)] * 3 + [f"c{i}d{j}" for j in range(40)]) for i in range(120)]
+    half = " ".join([f"e50f{j}" for j in range(25)] * 2 + [f"g50h{j}" for j in range(50)])
+    docs = documents(*enumerate(repeated), (200, half), (201, "first second third " * 4))
+    judged = {r["row"]["doc_id"]: (r["n_repeat_words"], r["passes"]) for r in quality.judge_quality(docs).collect()}
+    assert judged[0] == (60, True) and judged[200] == (50, True) and judged[201] == (12, True)
+    left = dict(corpus_pipeline.STAGES)["quality rules"](spark, docs, SF)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [200, 201]
+
+
 def test_pipeline_of_odd_tables(spark, documents, tmp_path):
     odd = documents((1, None), (2, ""), (3, "some words " * 40), (3, "some words " * 40), (None, "other words of this text"))
     for name, docs in (("odd", odd), ("none", documents())):
