@@ -11,9 +11,11 @@ through pieces. Their weights sum to one over all words, met or not:
 P(word) = (max(c - d, 0) + (1 + d * V) * paths(word)) / (W + 1), with W training words, V different ones, and
 d = n1 / (n1 + 2 * n2), estimated from the words met once and twice. A token is the end in (ends + 1) of (N + 2) cases.
 
-Word statistics grow with the corpus and stay distributed. Only the FREQUENT most frequent words go to the executors as
-a table of fixed size; occurrences of all other words meet their statistics in a join. As such a word holds less
-than one in FREQUENT of the training tokens, no key of that join is hot.
+Word statistics grow with the corpus and stay distributed. Only the FREQUENT most frequent words of at most SHORT bytes go to
+the executors, so that table has a bounded size in bytes too; occurrences of all other words meet their statistics in a
+join. A short word there holds less than one in FREQUENT of the training tokens. A longer one can hold any share, so its key
+is dealt by a hash of the document into parts of less than one in SHARE of the training tokens, and its statistics are
+repeated for each part: SHARE rows more over all words at most, of which only hashes and numbers pass through the driver.
 
 Null and empty texts consist of the end alone. Null ids are scored like any other and are held out or not by the crc32
 of an empty string. Repeated rows are scored each. Without training documents every count is 0.
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from fareloom.llm.common import byte_words, quoted, read_table, slices, text_bytes, text_or_empty
 from fareloom.sources.storage import stage
 
-FREQUENT = 200_000
+FREQUENT, SHORT = 200_000, 64  # words sent to the executors, and the most bytes of one
+SHARE = 4096
 HELD = 400_000  # different words that a task counts before it passes them on
 LONG = 256  # longer words go through the recursion one by one
 CELLS = 1 << 20  # lattice cells worked on at once
@@ -289,6 +292,22 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(quoted(id_col)).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
+def dealt_words(weighed: DataFrame, total: int) -> DataFrame:
+    """(digest, parts): the hashes of the long words that hold a SHARE-th of the training tokens or more, and into how many
+    parts their keys are dealt. Both sides of the join go by the hash, so words that share one are dealt alike."""
+    parts = F.least(F.expr(f"1 + c * {SHARE} DIV {max(total, 1)}"), F.col("c")).cast("int")
+    hot = weighed.where(F.octet_length("word") > SHORT).where(F.col("c") * SHARE >= max(total, 1)).where("c > 1")
+    rows = hot.groupBy(F.xxhash64("word").alias("digest")).agg(F.max(parts).alias("parts")).collect()  # SHARE rows at most
+    return weighed.sparkSession.createDataFrame([tuple(r) for r in rows], "digest bigint, parts int")
+
+
+def with_parts(rows: DataFrame, dealt: DataFrame) -> DataFrame:
+    """Adds `parts`, 1 for a word that is not dealt."""
+    digest = F.when(F.octet_length("word") > SHORT, F.xxhash64("word"))
+    joined = rows.withColumn("digest", digest).join(F.broadcast(dealt), "digest", "left")
+    return joined.withColumn("parts", F.coalesce("parts", F.lit(1))).drop("digest")
+
+
 def score_documents(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS
 ) -> DataFrame:
@@ -328,7 +347,8 @@ def score_documents(
     end_score, word_score = (math.log10((c + 1) / (n + 2)) for c in (train_docs, seen["n"]))
 
     weighed = stage(words.mapInArrow(weigh(trained, whole), "word binary, c bigint, score double"), "weighed")
-    top = weighed.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+    short = weighed.where(F.octet_length("word") <= SHORT)
+    top = short.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
     table = spark.sparkContext.broadcast(
         (top["word"].to_pylist(), top["c"].to_numpy().astype(float), top["score"].to_numpy())
     )
@@ -338,10 +358,14 @@ def score_documents(
         f"rid bigint, id {id_type}, held_out boolean, word binary, n bigint, n_words bigint, known bigint, base double,"
         " score double",
     )
-    rare = weighed.select("word", F.col("c"), F.col("score").alias("each"))
+    dealt = dealt_words(weighed, seen["n"])
+    parts = with_parts(parts, dealt).withColumn("part", F.expr("CAST(pmod(xxhash64(rid), parts) AS int)"))
+    rare = with_parts(weighed, dealt).select(
+        "word", F.col("c"), F.col("score").alias("each"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    )
     zero = F.lit(0.0)
     return (
-        parts.join(rare, "word", "left")
+        parts.join(rare, ["word", "part"], "left")
         .groupBy("rid", "id", "held_out")
         .agg(
             F.sum("n_words").alias("n_words"),

@@ -70,6 +70,25 @@ def test_long_words_and_empty_tables(documents):
     assert lattice_lm.score_documents(documents(), PIECES).collect() == []
 
 
+def test_long_words_are_joined_not_sent(documents, monkeypatch):
+    """Words of any number and size leave the driver alone, a frequent long one is dealt, and no result changes."""
+    sent, make = [], lattice_lm.score_frequent
+    monkeypatch.setattr(lattice_lm, "score_frequent", lambda table: sent.append(table.value[0]) or make(table))
+    dealt, deal = [], lattice_lm.with_parts
+    monkeypatch.setattr(lattice_lm, "with_parts", lambda rows, words: dealt.append(words) or deal(rows, words))
+    docs = documents(*[(i, f"short {'y' * 64} {'z' * 65} {'q' * 300 + str(i % 3)} {'u' * 100 + str(i)}") for i in range(60)])
+    found = sorted(tuple(r) for r in lattice_lm.score_documents(docs, PIECES).collect())
+    assert sorted(sent[0]) == [b"short", b"y" * 64]
+    parts = [r["parts"] for r in dealt[0].collect()]
+    train = sum(not r[1] for r in found)
+    assert max(parts) == train and len(parts) == 4  # the words of one document hold less than two tokens
+    monkeypatch.setattr(lattice_lm, "SHORT", 1 << 20)
+    wanted = sorted(tuple(r) for r in lattice_lm.score_documents(docs, PIECES).collect())
+    assert len(sent[1]) > 60 and len(found) == len(wanted) == 60
+    for a, b in zip(found, wanted, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
+
+
 def test_whole_words_and_paths_share_the_probability():
     """Over all words the sum is one: the counted ones by their edges and paths, the rest by paths alone."""
     paths = {b"a": 0.25, b"b": 0.25, b"ab": 0.125, b"unmet": 0.375}
