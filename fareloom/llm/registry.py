@@ -11,6 +11,7 @@ from fareloom.llm.mixing import op9_systematic_mix
 from fareloom.llm.near_dedup import op7_minmax_hash
 from fareloom.llm.packing import op11_grouping_genetic
 from fareloom.llm.perspectives import PERSPECTIVE_SQL, op10_perspective_rotation
+from fareloom.llm.prefix_trie import TRIE_SQL, op13_centroid_rollup
 from fareloom.llm.quality import QUALITY_SQL, op3_adaptive_quality
 from fareloom.llm.url_filter import URL_SQL, op4_digest_array
 from fareloom.llm.warc import op8_warc_dictionary
@@ -30,6 +31,7 @@ QUERIES = {
         op10_perspective_rotation,
         op11_grouping_genetic,
         op12_indexable_skip_list,
+        op13_centroid_rollup,
     )
 }
 
@@ -38,4 +40,5 @@ ORACLES = {
     "op4_digest_array": URL_SQL,
     "op10_perspective_rotation": PERSPECTIVE_SQL,
     "op12_indexable_skip_list": FIM_SQL,
+    "op13_centroid_rollup": TRIE_SQL,
 }
