@@ -125,16 +125,19 @@ def rejected_trips(raw: DataFrame, policy: str | CleaningPolicy = "code") -> Dat
     p = as_policy(policy)
     raw = with_measures(raw, p)
     columns = trip_columns(raw)
-    broken = raw.selectExpr(*columns, f"{reject_reason(p)} AS reject_reason", "1L AS copies").where(
-        "reject_reason IS NOT NULL"
-    )
+    tagged = raw.selectExpr(*columns, f"{reject_reason(p)} AS reject_reason")
     if not p.drop_duplicates:
-        return broken
-    repeated = (
-        raw.where(keeps(p))
-        .groupBy(*columns)
+        return tagged.where("reject_reason IS NOT NULL").selectExpr("*", "1L AS copies")
+    # One scan: broken rows go through the aggregate that finds copies, each as a group of its own by its place in the scan.
+    place = "IF(reject_reason IS NULL, 0L, 1 + monotonically_increasing_id()) AS _place"
+    return (
+        tagged.selectExpr("*", place)
+        .groupBy(*columns, "reject_reason", "_place")
         .count()
-        .where("count > 1")
-        .selectExpr(*columns, "'duplicate' AS reject_reason", "count - 1 AS copies")
+        .where("reject_reason IS NOT NULL OR count > 1")
+        .selectExpr(
+            *columns,
+            "coalesce(reject_reason, 'duplicate') AS reject_reason",
+            "IF(reject_reason IS NULL, count - 1, 1L) AS copies",
+        )
     )
-    return broken.union(repeated)

@@ -10,7 +10,6 @@ from fareloom.operators.cleaning import (
     as_policy,
     keeps,
     reject_reason,
-    rejected_trips,
     trip_columns,
     with_measures,
 )
@@ -55,7 +54,20 @@ def reject_reasons(raw: DataFrame, policy: str | CleaningPolicy = "code") -> Dat
     p = as_policy(policy)
     raw = with_measures(raw, p)
     if p.drop_duplicates:
-        rejected = rejected_trips(raw, p).groupBy("reject_reason").agg(F.sum("copies").alias("removed_rows"))
+        # One scan: broken rows merge into one row per reason on the map side, kept ones by their columns, to count copies.
+        columns = trip_columns(raw)
+        rejected = (
+            raw.selectExpr(*columns, f"{reject_reason(p)} AS reject_reason")
+            .selectExpr(*[f"IF(reject_reason IS NULL, {c}, NULL) AS {c}" for c in columns], "reject_reason")
+            .groupBy(*columns, "reject_reason")
+            .count()
+            .selectExpr(
+                "coalesce(reject_reason, 'duplicate') AS reject_reason", "IF(reject_reason IS NULL, count - 1, count) AS rows"
+            )
+            .where("rows > 0")
+            .groupBy("reject_reason")
+            .agg(F.sum("rows").alias("removed_rows"))
+        )
     else:
         rejected = (
             raw.selectExpr(f"{reject_reason(p)} AS reject_reason")
