@@ -17,10 +17,10 @@ from fareloom import plans
 from fareloom.fixtures import people_raw, star_folder, stored_star, trips_raw
 from fareloom.schemas import DIMENSIONS, MONTH_KEY, PEOPLE
 from fareloom.sinks import write_csv, write_raw
-from fareloom.sources import query_tables, read_csv, read_raw, read_star, read_trips, with_missing_columns
+from fareloom.sources import lookup_trips, query_tables, read_csv, read_raw, read_star, read_trips, with_missing_columns
 from fareloom.sources.months import normalise_names, union_months
 from fareloom.sources.storage import scratch_path
-from fareloom.streaming import land_incremental, read_landed
+from fareloom.streaming import compact_landed, drop_compacted, land_incremental, read_landed
 from oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,9 @@ CODE_COLUMNS = ["vendorid", "payment_type", "pulocationid", "dolocationid"]
 FIRST_WITHOUT_TOLLS = "month_07"
 RANGE = dt.datetime(2025, 3, 15, 6), dt.datetime(2025, 5, 1)
 ROWS_PER_FILE = 1_000
+REISSUED, REISSUED_KEEPS = 3, "payment_type IS NOT NULL"
+PICKUP_ZONE, DROPOFF_ZONE = 132, 161
+ROW_GROUP_BYTES = 1 << 18
 
 
 def over_trips(f: Callable[[DataFrame], DataFrame]) -> Query:
@@ -103,9 +106,9 @@ def defaulted(raw: DataFrame) -> DataFrame:
     return union_months([with_missing_columns(normalise_names(half), {"tolls_amount": 0.0}) for half in halves(raw)])
 
 
-def monthly_files(frames: list[DataFrame]) -> str:
+def monthly_files(frames: list[DataFrame], folder: str | None = None) -> str:
     """Write the trips as one Parquet folder per month; returns the path template."""
-    folder = scratch_path(frames[0].sparkSession, "months")
+    folder = folder or scratch_path(frames[0].sparkSession, "months")
     for frame in frames:
         name = F.format_string(f"trips_{YEAR}-%s.parquet", F.substring(MONTH_KEY, -2, 2))
         frame.withColumn("file", name).drop(MONTH_KEY).write.mode("append").partitionBy("file").parquet(folder)
@@ -127,6 +130,40 @@ def landing_report(raw: DataFrame) -> DataFrame:
     return report.select("month", "status", "row_count")
 
 
+def reissue(raw: DataFrame) -> tuple[str, DataFrame]:
+    """A raw table of twelve months, one of which has then been re-issued and refreshed alone; (its folder, the month report)."""
+    spark = raw.sparkSession
+    base = scratch_path(spark, "raw")
+    plans.land_raw(spark, monthly_files(list(halves(raw))), YEAR, base)
+    early, _ = halves(raw.where(F.col(MONTH_KEY) == f"month_{REISSUED:02d}").where(REISSUED_KEEPS))
+    again = monthly_files([early.withColumn("reissued", F.lit(True))])
+    return base, plans.land_raw(spark, again, YEAR, base, months=[REISSUED], keep_others=True)[1]
+
+
+def month_refresh(raw: DataFrame) -> DataFrame:
+    return read_raw(raw.sparkSession, reissue(raw)[0], month_key=True)
+
+
+def refresh_report(raw: DataFrame) -> DataFrame:
+    return reissue(raw)[1].select("month", "status", "row_count")
+
+
+def kept_raw(raw: DataFrame) -> DataFrame:
+    """Rows per month of the raw table after loads that found no month, or no rows, and were refused."""
+    spark = raw.sparkSession
+    base = scratch_path(spark, "raw")
+    write_raw(raw, base)
+    refused = 0
+    for template in (f"{scratch_path(spark, 'none')}/{{year}}-{{month}}.parquet", monthly_files([raw.where("false")])):
+        try:
+            plans.land_raw(spark, template, YEAR, base)
+        except ValueError:
+            refused += 1
+    if refused < 2:
+        raise AssertionError("a load without rows was published")
+    return rows_per_month(read_raw(spark, base, month_key=True))
+
+
 def sized_files(raw: DataFrame) -> DataFrame:
     """Rows per month of a raw table in files of limited size, and whether every file keeps the limit."""
     spark = raw.sparkSession
@@ -167,6 +204,38 @@ def streaming_landing(raw: DataFrame) -> DataFrame:
     return read_landed(spark, out)
 
 
+def compacted_landing(raw: DataFrame) -> DataFrame:
+    """The landed trips after one batch per half of the year, small batches stored again as one."""
+    spark = raw.sparkSession
+    out = f"{scratch_path(spark, 'stream')}/raw"
+    parts = [raw.where(F.col(MONTH_KEY).between(f"month_{m:02d}", f"month_{m + 2:02d}")) for m in (1, 4, 7, 10)]
+    folder = scratch_path(spark, "months")
+    for part, half in zip(parts, (0, 0, 1, 1), strict=True):
+        monthly_files([halves(part)[half]], folder)
+        land_incremental(spark, folder, out, f"{out}-log").awaitTermination()
+    compact_landed(spark, out)
+    drop_compacted(spark, out)
+    return read_landed(spark, out)
+
+
+CLUSTERED: dict[tuple[str, str], str] = {}
+
+
+def clustered_star(spark: SparkSession, sf_dir: str) -> str:
+    """A star whose fact table is stored for lookups by key, published on first use in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in CLUSTERED:
+        base = scratch_path(spark, "star")
+        raw = trips_raw(spark, sf_dir).drop(MONTH_KEY)
+        plans.refresh_star(raw, base, layout="keys", row_group_bytes=ROW_GROUP_BYTES)
+        CLUSTERED[key] = base
+    return CLUSTERED[key]
+
+
+def looked_up(**keys: int) -> Query:
+    return lambda spark, sf_dir: lookup_trips(spark, clustered_star(spark, sf_dir), **keys)
+
+
 # Means of whole cents, rounded half up once; kept amounts are never negative.
 PAYMENT_SQL = """
 SELECT payment_type_name, trips, ((2 * fare + trips) DIV (2 * trips)) / 100D AS avg_fare,
@@ -244,7 +313,11 @@ REGISTRY: dict[str, Query] = {
     "missing_columns_default": over_trips(defaulted),
     "monthly_landing": over_trips(monthly_landing),
     "streaming_landing": over_trips(streaming_landing),
+    "compacted_landing": over_trips(compacted_landing),
     "landing_report": over_trips(landing_report),
+    "month_refresh": over_trips(month_refresh),
+    "refresh_report": over_trips(refresh_report),
+    "kept_raw": over_trips(kept_raw),
     "sized_files": over_trips(sized_files),
     "star_refresh": refreshed("code"),
     "star_refresh_documented": refreshed("documented"),
@@ -254,6 +327,9 @@ REGISTRY: dict[str, Query] = {
     "stored_trip_detail_documented": over_star(stored_detail, "documented"),
     "stored_table_counts_documented": over_star(ops.table_counts, "documented"),
     "stored_trips_range": lambda spark, sf_dir: read_trips(spark, star_folder(spark, sf_dir), *RANGE),
+    "trips_of_pickup_zone": looked_up(pu_location_key=PICKUP_ZONE),
+    "trips_of_dropoff_zone": looked_up(do_location_key=DROPOFF_ZONE),
+    "trips_of_vendor_and_zone": looked_up(vendor_key=2, payment_type_key=1, pu_location_key=PICKUP_ZONE),
     # imputation
     "upper_medians": over_people(lambda people: ops.upper_medians(people, PEOPLE_COLUMNS)),
     "impute_upper_median": over_people(lambda people: ops.impute_upper_median(people, PEOPLE_COLUMNS)),
@@ -261,11 +337,14 @@ REGISTRY: dict[str, Query] = {
 }
 
 
-# The operators on documents are a subpackage that may be absent; the rest of the library does without it.
+# The operators on documents are a subpackage that may be absent; the rest of the library does without it. Anything else that goes wrong
+# while importing them is an error.
 try:
     import corpus_pipeline
     from fareloom.llm import registry as document_queries
-except ImportError:
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "fareloom.llm"):
+        raise
     document_queries = None
 
 

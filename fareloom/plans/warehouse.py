@@ -3,27 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fareloom.operators.cleaning import CleaningPolicy
 from fareloom.plans.dimensions import build_dims
 from fareloom.plans.fact import build_fact
-from fareloom.schemas import MONTH_KEY
-from fareloom.sinks import write_raw, write_star
-from fareloom.sources import read_months, read_raw
+from fareloom.sinks import write_star
+from fareloom.sinks.tables import LOAD_REPORT, RAW_TABLE, LostMonths, months_of, write_months
+from fareloom.sources import read_months
 from fareloom.sources.months import REPORT, month_label
-from fareloom.sources.storage import current_version, hadoop_path, published
-
-
-def stored_months(spark: SparkSession, base: str) -> set[str]:
-    """Month keys of the current raw table; none before the first load."""
-    if not published(spark, base):
-        return set()
-    fs, folder = hadoop_path(spark, f"{current_version(spark, base)}/taxi_trips")
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return {n.removeprefix(f"{MONTH_KEY}=") for n in names if n.startswith(f"{MONTH_KEY}=")}
+from fareloom.sources.storage import current
 
 
 def land_raw(
@@ -33,39 +24,36 @@ def land_raw(
     base: str,
     months: Iterable[int] = range(1, 13),
     drop_months: bool = False,
+    keep_others: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(load report, month report) of replacing the raw table with the months that can be read. The month report says what
-    happened to each month and how many rows it brought, counted by the footers of the files written.
+    """(load report, month report) of replacing the raw table with the months that can be read, or with `keep_others` of replacing
+    these months only. The month report says what happened to each month and how many rows it brought, counted as they were written.
 
-    A month that the table holds and this load could not read stops the load, unless `drop_months` says that it may go.
+    A load without any row is an error and changes nothing. So is one that would take a month out of the table, because it
+    could not be read or brought no rows, unless `drop_months` says that it may go.
     """
     trips, report = read_months(spark, template, year, months)
-    loaded = {month_label(r["month"]) for r in report.where("status = 'loaded'").collect()}
-    lost = sorted(stored_months(spark, base) - loaded)
-    if lost and not drop_months:
-        raise ValueError(f"the load lacks months that the table holds: {', '.join(lost)}")
-    load = write_raw(trips, base)
-    return load, with_rows(spark, report, base, load.first()["row_count"])
-
-
-def with_rows(spark: SparkSession, report: DataFrame, base: str, written: int) -> DataFrame:
-    """The month report with rows per loaded month; null for a month that was skipped."""
-    counts = {}
-    if written:
-        per_month = read_raw(spark, base, month_key=True).groupBy(MONTH_KEY).agg(F.count(F.lit(1)).alias("n"))
-        counts = {r[MONTH_KEY]: r["n"] for r in per_month.collect()}  # one row per month
-    rows = [
-        (*r, counts.get(month_label(r["month"]), 0) if r["status"] == "loaded" else None) for r in report.collect()
-    ]
-    return spark.createDataFrame(rows, f"{REPORT}, row_count bigint")
-
-
-def refresh_star(raw: DataFrame, base: str, policy: str | CleaningPolicy = "code") -> DataFrame:
+    found = report.collect()
+    loaded = [month_label(r["month"]) for r in found if r["status"] == "loaded"]
+    lost = sorted(set(months_of(current(spark, base)[1])) - set(loaded))
+    if lost and not drop_months and not keep_others:  # else it is known when the rows have been counted
+        raise LostMonths(f"the load lacks months that the table holds: {', '.join(lost)}")
+    written = write_months(trips, base, loaded, keep_others, drop_months)
+    if not written:
+        raise ValueError(f"no rows in {', '.join(loaded)}: the table stays as it is")
+    rows = [(*r, written.get(month_label(r["month"]), 0) if r["status"] == "loaded" else None) for r in found]
+    load = spark.createDataFrame([(RAW_TABLE, sum(written.values()))], LOAD_REPORT)
+    return load, spark.createDataFrame(rows, f"{REPORT}, row_count bigint")
+
+
+def refresh_star(raw: DataFrame, base: str, policy: str | CleaningPolicy = "code", **layout: Any) -> DataFrame:
     """Rebuild and publish the star schema from a stored raw table, landed at once (read_raw) or file by file
-    (the output of land_incremental); returns the rows of each table."""
+    (the output of land_incremental); returns the rows of each table. `layout`, `row_group_bytes` and `max_records_per_file` say how the
+    fact table is stored, see sinks.write_fact."""
     return write_star(
         raw.sparkSession,
         base,
         build_dims(raw),
         lambda stored: build_fact(raw, stored["dim_datetime"], policy),
+        **layout,
     )

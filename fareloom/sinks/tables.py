@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fareloom.operators.clustering import BITS, interleaved, rank_bounds, rank_text
 from fareloom.operators.quality import member_checks
 from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, conform
-from fareloom.sources.storage import discard, dropping_scratch, new_version, publish
+from fareloom.sources.storage import Manifest, Overtaken, current, discard, dropping_scratch, new_load, publish
 
 LOAD_REPORT = "table_name string, row_count bigint"
 JDBC_BATCH = 50_000
-OPEN_FILES = 4  # files a writing task keeps open side by side before it falls back to sorting the rest of its rows
-WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+SIDE_BY_SIDE = 8  # months written at a time
+RAW_TABLE = "taxi_trips"
+MANY_VALUED = ["trip_id", "datetime_key"]  # keys that are worth a bloom filter
+
+T = TypeVar("T")
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
@@ -30,7 +34,7 @@ def counted_write(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
     return seen.get["rows"]
 
 
-def load(table: str, job: Callable[[], int]) -> int:
+def load(table: str, job: Callable[[], T]) -> T:
     try:
         return job()
     except Exception as exc:
@@ -41,55 +45,147 @@ def sized(writer: DataFrameWriter, max_records_per_file: int | None) -> DataFram
     return writer.option("maxRecordsPerFile", max_records_per_file) if max_records_per_file else writer
 
 
-@contextmanager
-def side_by_side(spark: SparkSession) -> Iterator[None]:
-    """Within the block, tasks that write into few folders do so without sorting their rows by folder first."""
-    before = spark.conf.get(WRITERS)
-    spark.conf.set(WRITERS, str(max(OPEN_FILES, int(before))))
+class LostMonths(ValueError):
+    """A load that would take months out of the table."""
+
+
+def months_of(manifest: Manifest) -> dict[str, str]:
+    """The folder of each month of a raw table's version."""
+    return {known["month"]: folder for folder, known in manifest.items()}
+
+
+def store_months(
+    df: DataFrame, root: str, months: Sequence[str] | None, max_records_per_file: int | None = None, mixed: bool = False
+) -> Manifest:
+    """Write rows by month key below `root`; returns what is known of each folder, relative to the one that holds `root`.
+
+    With the months named, each is a job of its own, side by side: its tasks write one folder, so nothing is sorted, and its rows
+    are counted as they are written. Over read_months such a job opens the files of its month only. Without, rows are sorted by month
+    within tasks, brought together by month first if `mixed` (in tasks of a bounded size, so a large month is still written by
+    many), and counted by the footers of the files.
+    """
+    spark = df.sparkSession
+    schema = df.drop(MONTH_KEY).schema.json()
+
+    def store(month: str) -> int:
+        rows = df.where(F.col(MONTH_KEY) == month).drop(MONTH_KEY)
+        target = f"{root}/{MONTH_KEY}={month}"
+        return counted_write(rows, lambda out: sized(out.write, max_records_per_file).mode("overwrite").parquet(target))
+
+    if months is not None:
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            counts = dict(zip(months, pool.map(store, months), strict=True))
+    else:
+        rows = df.hint("rebalance", F.col(MONTH_KEY)) if mixed else df
+        sized(rows.write, max_records_per_file).mode("overwrite").partitionBy(MONTH_KEY).parquet(root)
+        stored = spark.read.schema(f"{MONTH_KEY} string").parquet(root).groupBy(MONTH_KEY).agg(F.count(F.lit(1)).alias("n"))
+        counts = {r[MONTH_KEY]: r["n"] for r in stored.collect()}  # one row per month
+    load = root.rsplit("/", 1)[1]
+    return {
+        f"{load}/{MONTH_KEY}={month}": {"month": month, "rows": n, "schema": schema} for month, n in counts.items() if n
+    }
+
+
+def write_months(
+    df: DataFrame,
+    base: str,
+    months: Sequence[str] | None = None,
+    keep_others: bool = False,
+    drop_months: bool = True,
+    **layout: Any,
+) -> dict[str, int]:
+    """Publish a version of the raw table with these rows; returns the rows of each month that was written.
+
+    `keep_others` leaves months that are not written as they are: the new version shares their folders with the one before, so a
+    re-issued month costs that month. If another load has published meanwhile and its months are others, this one is built on it;
+    else it is refused. Without `drop_months` a version that lacks a month of the one before is refused. With no rows at all the table
+    that is there stays.
+    """
+    spark, base = df.sparkSession, base.rstrip("/")
+    began = number, before = current(spark, base)
+    root = f"{base}/{RAW_TABLE}/load={new_load()}"
     try:
-        yield
-    finally:
-        spark.conf.set(WRITERS, before)
+        stored = load(RAW_TABLE, lambda: store_months(df, root, months, **layout))
+        made = {f"{RAW_TABLE}/{folder}": known for folder, known in stored.items()}
+        written = {known["month"]: known["rows"] for known in made.values()}
+        if not written:
+            discard(spark, root)
+            return {}
+        replaced = set(months or written)
+        while True:
+            others = {f: known for f, known in before.items() if keep_others and known["month"] not in replaced}
+            lost = sorted(set(months_of(before)) - set(months_of(others)) - set(written))
+            if lost and not drop_months:
+                raise LostMonths(f"the load lacks months that the table holds: {', '.join(lost)}")
+            try:
+                publish(spark, base, number, others | made)
+                return written
+            except Overtaken:
+                number, before = current(spark, base)
+                seen, now = months_of(began[1]), months_of(before)
+                if not keep_others or any(seen.get(m) != now.get(m) for m in replaced):
+                    raise
+    except Exception:
+        discard(spark, root)
+        raise
 
 
 def write_raw(df: DataFrame, base: str, max_records_per_file: int | None = None, mixed: bool = False) -> DataFrame:
-    """Replace the raw table with these rows, stored by month key, and report the rows written.
+    """Replace the raw table with these rows, stored by month key, and report the rows written. With no rows at all the table that
+    is there stays. See write_months."""
+    written = write_months(df, base, max_records_per_file=max_records_per_file, mixed=mixed)
+    return df.sparkSession.createDataFrame([(RAW_TABLE, sum(written.values()))], LOAD_REPORT)
+
 
-    Every task over read_months holds rows of one month, so its rows are neither shuffled nor sorted. Where tasks hold rows
-    of many months, `mixed` brings a month's rows together first (in tasks of a bounded size, so a large month is still
-    written by many), instead of a file per task and month. With no rows at all the table that is there stays.
+def time_layout(fact: DataFrame) -> DataFrame:
+    """Rows by pickup month and time."""
+    return fact.sortWithinPartitions(PICKUP_MONTH, "pickup_datetime")
+
+
+def key_layout(fact: DataFrame) -> DataFrame:
+    """Rows of a month along a curve through pickup location, dropoff location and pickup time, in ranges of even size.
+
+    Reads the two location columns once for their ranks and shuffles the table once. Equal places on the curve follow pickup time and
+    trip id, so a hot place is dealt over as many files as it fills.
     """
-    spark = df.sparkSession
-    if df.isEmpty():
-        return spark.createDataFrame([("taxi_trips", 0)], LOAD_REPORT)
-    version, path = new_version(base)
-    if mixed:
-        df = df.hint("rebalance", F.col(MONTH_KEY))
+    columns = ["pu_location_key", "do_location_key"]
+    bounds = rank_bounds(fact, columns)
+    hours = "((dayofmonth(pickup_datetime) - 1) * 24 + hour(pickup_datetime))"
+    ranks = [f"_rank_{k}" for k in range(3)]
+    cells = fact.selectExpr(
+        "*",
+        *[f"{rank_text(c, bounds[c])} AS {r}" for c, r in zip(columns, ranks, strict=False)],
+        f"CAST(floor({hours} * {2**BITS} / 744) AS INT) AS {ranks[2]}",
+    ).selectExpr(*fact.columns, f"{interleaved(ranks)} AS _cell")
+    order = [PICKUP_MONTH, "_cell", "pickup_datetime", "trip_id"]
+    return cells.repartitionByRange(*order).sortWithinPartitions(*order).drop("_cell")
 
-    def save(out: DataFrame) -> None:
-        sized(out.write, max_records_per_file).partitionBy(MONTH_KEY).parquet(f"{path}/taxi_trips")
 
-    try:
-        with side_by_side(spark):
-            rows = load("taxi_trips", lambda: counted_write(df, save))
-        publish(spark, base, version)
-    except RuntimeError:
-        discard(spark, path)
-        raise
-    return spark.createDataFrame([("taxi_trips", rows)], LOAD_REPORT)
+LAYOUTS = {"time": time_layout, "keys": key_layout}
+
+
+def write_fact(
+    fact: DataFrame,
+    path: str,
+    max_records_per_file: int | None = None,
+    layout: str = "time",
+    row_group_bytes: int | None = None,
+) -> int:
+    """Store the fact table by pickup month, in one of two layouts, so that file and row-group statistics let a filter skip what
+    it does not need: `time` serves ranges of pickup time, `keys` also lookups by location. Bloom filters on the keys of many
+    values tell row groups that lack one; the other keys' values are few, and row groups list them in their dictionaries.
+    """
+    months = conform(fact, FACT_TRIPS).withColumn(PICKUP_MONTH, F.trunc("pickup_datetime", "month"))
 
+    def save(out: DataFrame) -> None:
+        writer = sized(out.write, max_records_per_file).partitionBy(PICKUP_MONTH)
+        if row_group_bytes:
+            writer = writer.option("parquet.block.size", row_group_bytes)
+        for key in MANY_VALUED if layout == "keys" else []:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer.parquet(path)
 
-def write_fact(fact: DataFrame, path: str, max_records_per_file: int | None = None) -> int:
-    """Store the fact table by pickup month and sorted by pickup time, so that file and row-group statistics
-    let a time filter skip what it does not need."""
-    laid_out = (
-        conform(fact, FACT_TRIPS)
-        .withColumn(PICKUP_MONTH, F.trunc("pickup_datetime", "month"))
-        .sortWithinPartitions(PICKUP_MONTH, "pickup_datetime")
-    )
-    return counted_write(
-        laid_out, lambda out: sized(out.write, max_records_per_file).partitionBy(PICKUP_MONTH).parquet(path)
-    )
+    return counted_write(LAYOUTS[layout](months), save)
 
 
 def check_dimensions(tables: dict[str, DataFrame]) -> None:
@@ -108,14 +204,17 @@ def write_star(
     dims: dict[str, DataFrame],
     make_fact: Callable[[dict[str, DataFrame]], DataFrame],
     max_records_per_file: int | None = None,
+    layout: str = "time",
+    row_group_bytes: int | None = None,
 ) -> DataFrame:
-    """Rebuild the star schema and report the rows of each table.
+    """Rebuild the star schema and report the rows of each table. `layout` is that of the fact table, see write_fact.
 
     Dimensions are stored first, as jobs side by side, and read back for `make_fact`, so facts carry stored
     keys. Tables staged for the fact table go once it is stored. The new version is published after the last
     table; if any fails, or a dimension fails its checks, it is dropped and readers keep the previous one.
     """
-    version, path = new_version(base)
+    version = f"versions/{new_load()}"
+    began, path = current(spark, base)[0], f"{base.rstrip('/')}/{version}"
 
     def store(name: str) -> int:
         members = conform(dims[name], DIMENSIONS[name])
@@ -123,7 +222,7 @@ def write_star(
 
     def store_fact() -> int:
         stored = {name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in DIMENSIONS.items()}
-        return write_fact(make_fact(stored), f"{path}/fact_trips", max_records_per_file)
+        return write_fact(make_fact(stored), f"{path}/fact_trips", max_records_per_file, layout, row_group_bytes)
 
     try:
         with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
@@ -131,7 +230,7 @@ def write_star(
         check_dimensions({n: spark.read.schema(d).parquet(f"{path}/{n}") for n, d in DIMENSIONS.items()})
         with dropping_scratch(spark):
             rows["fact_trips"] = load("fact_trips", store_fact)
-        publish(spark, base, version)
+        publish(spark, base, began, {version: {"rows": rows}})
     except Exception:
         discard(spark, path)
         raise

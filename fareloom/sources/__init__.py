@@ -1,7 +1,8 @@
 from fareloom.sources.months import month_path, nan_to_null, normalise_names, read_months, with_missing_columns
-from fareloom.sources.tables import query_tables, read_csv, read_raw, read_star, read_trips
+from fareloom.sources.tables import lookup_trips, query_tables, read_csv, read_raw, read_star, read_trips
 
 __all__ = [
+    "lookup_trips",
     "month_path",
     "nan_to_null",
     "normalise_names",

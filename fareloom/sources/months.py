@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -12,6 +15,10 @@ from pyspark.sql.types import DoubleType, FloatType
 from fareloom.schemas import MONTH_KEY
 
 REPORT = "month int, path string, status string, error string"
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+BROKEN_FILE = ("is not a Parquet file", "corrupted file", "org.apache.parquet")
+TRIES, PAUSE = 3, 1.0  # of a read that fails; seconds before the second try
+FOOTERS = 8  # footers read side by side
 
 
 def month_path(template: str, year: int, month: int) -> str:
@@ -48,21 +55,53 @@ def union_months(frames: list[DataFrame]) -> DataFrame:
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
 
 
+def why_skipped(exc: Exception) -> str | None:
+    """Why a path holds no table, if the error says so: it is not there, or its files are no Parquet files. None for any other
+    error, such as a store that does not answer: the table may well be there."""
+    text = str(exc).strip()
+    if isinstance(exc, AnalysisException) and exc.getCondition() in NOTHING_THERE:
+        return text.splitlines()[0]
+    causes = [line.strip() for line in text.splitlines() if line.strip().startswith("Caused by:")]
+    if causes and any(sign in causes[-1] for sign in BROKEN_FILE):
+        return causes[-1].removeprefix("Caused by: ")
+    return None
+
+
+def open_parquet(spark: SparkSession, path: str, tries: int = TRIES, pause: float = PAUSE) -> tuple[DataFrame | None, str | None]:
+    """(table, None), or (None, reason) where there is none to read. Other errors are tried again, with pauses that double, and
+    then raised."""
+    for attempt in range(tries):
+        try:
+            return spark.read.parquet(path), None
+        except Exception as exc:  # a missing path and a broken file raise different types
+            reason = why_skipped(exc)
+            if reason is not None:
+                return None, reason
+            if attempt + 1 == tries:
+                raise OSError(f"{path} could not be read in {tries} tries: {str(exc).strip().splitlines()[0]}") from exc
+            time.sleep(pause * 2**attempt)
+    raise ValueError("no try at all")
+
+
+def open_all(spark: SparkSession, paths: list[str]) -> list[tuple[DataFrame | None, str | None]]:
+    """open_parquet of each path, some side by side: a footer is read by a job of one task."""
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        return list(pool.map(lambda path: open_parquet(spark, path), paths))
+
+
 def read_months(
     spark: SparkSession, template: str, year: int, months: Iterable[int] = range(1, 13)
 ) -> tuple[DataFrame, DataFrame]:
     """(trips, report): every month that can be read, marked with its month key, and what happened to each.
 
-    A month that cannot be opened is skipped and reported; none at all is an error. Only file footers are
-    read here.
+    A month that is missing or broken is skipped and reported; none at all is an error. A month that cannot be read for another reason
+    stops the load after some tries: taken for missing, it would go from the table. Only file footers are read here.
     """
     frames, report = [], []
-    for month in months:
-        path = month_path(template, year, month)
-        try:
-            found = spark.read.parquet(path)
-        except Exception as exc:  # a missing path and a broken file raise different types
-            report.append((month, path, "skipped", str(exc).strip().splitlines()[0]))
+    paths = {month: month_path(template, year, month) for month in months}
+    for (month, path), (found, reason) in zip(paths.items(), open_all(spark, list(paths.values())), strict=True):
+        if found is None:
+            report.append((month, path, "skipped", reason))
             continue
         frames.append(nan_to_null(normalise_names(found)).withColumn(MONTH_KEY, F.lit(month_label(month))))
         report.append((month, path, "loaded", None))

@@ -8,19 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from fareloom.functions import moment
-from fareloom.schemas import FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, STAR
-from fareloom.sources.storage import current_version
+from fareloom.schemas import FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, PRIMARY_KEYS, STAR
+from fareloom.sources.storage import current_manifest, read_parts
 
 
 def read_raw(spark: SparkSession, base: str, month_key: bool = False) -> DataFrame:
     """The landed trips. The month key is a partition column and not part of the table unless asked for."""
-    raw = spark.read.parquet(f"{current_version(spark, base)}/taxi_trips")
+    parts = {folder.split("/", 1)[1]: known["schema"] for folder, known in current_manifest(spark, base).items()}
+    raw = read_parts(spark, f"{base.rstrip('/')}/taxi_trips", parts).drop("load")
     return raw if month_key else raw.drop(MONTH_KEY)
 
 
+def star_version(spark: SparkSession, base: str) -> str:
+    """The folder of the published star schema: a refresh writes all its tables."""
+    (version,) = current_manifest(spark, base)
+    return f"{base.rstrip('/')}/{version}"
+
+
 def read_star(spark: SparkSession, base: str, views: bool = False) -> dict[str, DataFrame]:
     """The published star schema; `views` also registers each table as a temporary view for SQL text."""
-    version = current_version(spark, base)
+    version = star_version(spark, base)
     tables = {
         name: spark.read.parquet(f"{version}/{name}").select(*schema.fieldNames()) for name, schema in STAR.items()
     }
@@ -34,13 +41,23 @@ def read_trips(spark: SparkSession, base: str, start: dt.datetime, end: dt.datet
     """Fact rows picked up in [start, end). Opens only the month folders the range touches, and in them skips
     files and row groups by their pickup times."""
     return (
-        spark.read.parquet(f"{current_version(spark, base)}/fact_trips")
+        spark.read.parquet(f"{star_version(spark, base)}/fact_trips")
         .where(f"{PICKUP_MONTH} BETWEEN DATE'{start:%Y-%m}-01' AND DATE'{end:%Y-%m-%d}'")
         .where(f"pickup_datetime >= {moment(start)} AND pickup_datetime < {moment(end)}")
         .select(*FACT_TRIPS.fieldNames())
     )
 
 
+def lookup_trips(spark: SparkSession, base: str, **keys: int) -> DataFrame:
+    """Fact rows with these values of key columns. Where the table was stored in the `keys` layout, the reader skips the row groups
+    whose ranges, dictionaries or bloom filters leave them out."""
+    unknown = sorted(set(keys) - set(PRIMARY_KEYS.values()))
+    if unknown or not keys:
+        raise ValueError(f"not a key of the fact table: {', '.join(unknown) or 'none given'}")
+    condition = " AND ".join(f"{key} = {int(value)}" for key, value in keys.items())
+    return spark.read.parquet(f"{star_version(spark, base)}/fact_trips").where(condition).select(*FACT_TRIPS.fieldNames())
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """CSV with a header. With a schema there is no extra pass over the file to infer one."""
     reader = spark.read.option("header", True)

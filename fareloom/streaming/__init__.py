@@ -1,3 +1,3 @@
-from fareloom.streaming.landing import land_incremental, read_landed
+from fareloom.streaming.landing import compact_landed, drop_compacted, land_incremental, read_landed
 
-__all__ = ["land_incremental", "read_landed"]
+__all__ = ["compact_landed", "drop_compacted", "land_incremental", "read_landed"]

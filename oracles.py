@@ -267,6 +267,7 @@ def drifted(table: str, filler: str = "NULL") -> str:
     return f"SELECT * REPLACE ({tolls}) FROM {table}"
 
 
+REISSUED = "(_month_key <> 'month_03' OR payment_type IS NOT NULL)"
 CODE_COLUMNS = ["vendorid", "payment_type", "pulocationid", "dolocationid"]
 DETAIL = """SELECT f.trip_id, v.vendor_name, p.payment_type_name, d.year, d.month, d.weekday, f.trip_distance,
  f.fare_amount, f.tip_amount, f.total_amount
@@ -342,6 +343,19 @@ ORACLES: dict[str, str] = {
     "missing_columns_default": sql(drifted("trips_raw", "0.0"), "trips_raw"),
     "monthly_landing": sql(drifted("trips_raw"), "trips_raw"),
     "streaming_landing": sql(drifted("trips_raw"), "trips_raw"),
+    "compacted_landing": sql(drifted("trips_raw"), "trips_raw"),
+    "month_refresh": sql(
+        f"SELECT *, CASE WHEN _month_key = 'month_03' THEN TRUE END AS reissued FROM ({drifted('trips_raw')}) WHERE {REISSUED}",
+        "trips_raw",
+    ),
+    "refresh_report": sql(
+        f"SELECT CAST(3 AS INTEGER) AS month, 'loaded' AS status, count(*) AS row_count FROM trips_raw "
+        f"WHERE _month_key = 'month_03' AND {REISSUED}",
+        "trips_raw",
+    ),
+    "kept_raw": sql(
+        "SELECT _month_key AS month_key, count(*) AS row_count FROM trips_raw GROUP BY _month_key", "trips_raw"
+    ),
     "landing_report": sql(
         """SELECT CAST(0 AS INTEGER) AS month, 'skipped' AS status, CAST(NULL AS BIGINT) AS row_count
  UNION ALL SELECT CAST(right(_month_key, 2) AS INTEGER), 'loaded', count(*) FROM trips_raw GROUP BY _month_key""",
@@ -363,6 +377,11 @@ ORACLES: dict[str, str] = {
         "AND pickup_datetime < TIMESTAMP '2025-05-01'",
         "fact_trips",
     ),
+    "trips_of_pickup_zone": sql("SELECT * FROM fact_trips WHERE pu_location_key = 132", "fact_trips"),
+    "trips_of_dropoff_zone": sql("SELECT * FROM fact_trips WHERE do_location_key = 161", "fact_trips"),
+    "trips_of_vendor_and_zone": sql(
+        "SELECT * FROM fact_trips WHERE vendor_key = 2 AND payment_type_key = 1 AND pu_location_key = 132", "fact_trips"
+    ),
     "stored_star_sql": sql(mean_by_payment("code"), "fact_code", "dim_payment_type"),
     "stored_trip_detail": sql(DETAIL, *STAR),
     "upper_medians": sql(f"SELECT {MEDIANS} FROM people_raw", "people_raw"),

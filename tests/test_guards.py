@@ -12,7 +12,7 @@ from fareloom.fixtures import trips_raw
 from fareloom.schemas import FACT_TRIPS
 from fareloom.sinks import write_raw
 from fareloom.sources import query_tables, read_raw, read_star
-from fareloom.sources.storage import current_version, new_version, publish
+from fareloom.sources.storage import Overtaken, current, publish
 from tests.trips import trip, trips
 
 SF = "/root/testdata/sf0.001"
@@ -28,12 +28,12 @@ def star(spark):
 def test_empty_and_repeated_members_stop_a_refresh(spark, tmp_path):
     base = str(tmp_path / "star")
     plans.refresh_star(trips_raw(spark, SF), base)
-    before = current_version(spark, base)
+    before = current(spark, base)
     with pytest.raises(ValueError, match="no members"):
         plans.refresh_star(trips(spark, []), base)
     with pytest.raises(ValueError, match="repeated"):
         plans.refresh_star(trips_raw(spark, SF).withColumn("vendorid", F.expr("IF(vendorid = 3, -1L, vendorid)")), base)
-    assert current_version(spark, base) == before and read_star(spark, base)["fact_trips"].count() == 4521
+    assert current(spark, base) == before and read_star(spark, base)["fact_trips"].count() == 4521
 
 
 def test_a_load_that_lost_a_month_is_refused(spark, tmp_path):
@@ -56,12 +56,12 @@ def test_a_load_that_lost_a_month_is_refused(spark, tmp_path):
 
 def test_a_load_that_began_first_does_not_publish_last(spark, tmp_path):
     base = str(tmp_path / "raw")
-    early, _ = new_version(base)
+    began, manifest = current(spark, base)
     write_raw(trips(spark, [trip()]), base)
-    now = current_version(spark, base)
-    with pytest.raises(RuntimeError, match="published while"):
-        publish(spark, base, early)
-    assert current_version(spark, base) == now
+    now = current(spark, base)
+    with pytest.raises(Overtaken, match="published while"):
+        publish(spark, base, began, manifest)
+    assert current(spark, base) == now
 
 
 def test_detail_has_n_rows_whatever_the_members(spark, star):

@@ -1,9 +1,17 @@
 from __future__ import annotations
 
+import json
+import shutil
+import time
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+
+import pytest
+
 from fareloom.fixtures import trips_raw
 from fareloom.plans import land_raw, refresh_star
 from fareloom.sources import read_raw
-from fareloom.streaming import land_incremental, read_landed
+from fareloom.streaming import compact_landed, drop_compacted, land_incremental, landing, read_landed
 from tests.trips import trip, trips
 
 
@@ -67,3 +75,101 @@ def test_drifted_files_land_as_in_the_batch_job(spark, tmp_path):
     skipped = spark.read.json(str(tmp_path / "out" / "skipped" / "*"))
     assert {r.path.split("/")[-2] for r in skipped.collect()} == {"may.parquet"}
     assert land(spark, tmp_path).count() == batch.count()
+
+
+def same_rows(a, b):
+    assert sorted(a.dtypes) == sorted(b.dtypes)
+    assert a.exceptAll(b.select(*a.columns)).isEmpty() and a.count() == b.count()
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def months_one_by_one(spark, tmp_path, months):
+    raw = trips_raw(spark, "/root/testdata/sf0.001")
+    for m in months:
+        month = raw.where(f"_month_key = 'month_{m:02d}'")
+        save(month.drop("tolls_amount") if m % 3 == 0 else month, tmp_path / "in", m)
+        landed = land(spark, tmp_path)
+    return landed
+
+
+def test_a_scan_per_schema_and_not_per_batch(spark, tmp_path):
+    landed = months_one_by_one(spark, tmp_path, range(1, 8))
+    assert len(list((tmp_path / "out" / "log").glob("0*"))) == 7 and scans(landed) == 2
+    land_raw(spark, str(tmp_path / "in") + "/trips_{year}-{month:02d}.parquet", 2025, str(tmp_path / "raw"))
+    same_rows(landed, read_raw(spark, str(tmp_path / "raw"), month_key=True))
+
+
+def test_compaction_keeps_every_row_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    before = months_one_by_one(spark, tmp_path, range(1, 6))
+    report = compact_landed(spark, out)
+    assert len(report.collect()) == 4  # the last batch stays
+    after = read_landed(spark, out)
+    same_rows(after, before)
+    assert drop_compacted(spark, out) == [r.batch for r in report.collect()]
+    same_rows(read_landed(spark, out), after)
+    assert drop_compacted(spark, out) == [] and compact_landed(spark, out, small=1).isEmpty()
+
+    raw = trips_raw(spark, "/root/testdata/sf0.001")
+    save(raw.where("_month_key = 'month_09'"), tmp_path / "in", 9)
+    land(spark, tmp_path)
+    again = compact_landed(spark, out)  # takes up what the first one made
+    assert len(again.collect()) == 2
+    drop_compacted(spark, out)
+    assert read_landed(spark, out).count() == raw.where("_month_key IN ('month_09') OR _month_key < 'month_06'").count()
+    assert len(list((tmp_path / "out" / "batches").iterdir())) == 2
+
+
+def test_of_two_compactions_one_counts(spark, tmp_path):
+    out = str(tmp_path / "out")
+    before = months_one_by_one(spark, tmp_path, range(1, 5))
+
+    def attempt(_):
+        try:
+            return compact_landed(spark, out).count()
+        except RuntimeError:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(attempt, range(2)))
+    assert 3 in done
+    same_rows(read_landed(spark, out), before)
+
+
+def test_a_batch_that_stopped_half_way_is_run_again(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    save(trips(spark, [trip()] * 3), tmp_path / "in", 6)
+    log = landing.log_batch
+    monkeypatch.setattr(landing, "log_batch", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        land(spark, tmp_path)
+    with pytest.raises(FileNotFoundError):
+        read_landed(spark, out)
+    monkeypatch.setattr(landing, "log_batch", log)
+    assert land(spark, tmp_path).count() == 3
+    paths = [str(p) for p in (tmp_path / "in").iterdir()]
+    landing.land_files(spark, paths, out, 0)  # logged already: left alone
+    assert read_landed(spark, out).count() == 3
+
+
+def test_thousands_of_batches_are_planned_in_seconds(spark, tmp_path):
+    out = tmp_path / "out"
+    save(trips(spark, [trip()]).coalesce(1), tmp_path / "in", 6)
+    land(spark, tmp_path)
+    (known,) = json.loads((out / "log" / "000000000000").read_text())["folders"].values()
+    (part,) = (out / "batches").rglob("part-*.parquet")
+    for n in range(1, 2000):
+        folder = f"load={n:012d}/_month_key=month_06"
+        (out / "batches" / folder).mkdir(parents=True)
+        shutil.copy(part, out / "batches" / folder)
+        (out / "log" / f"{n:012d}").write_text(json.dumps({"folders": {folder: known}, "replaces": []}))
+    start = time.perf_counter()
+    landed = read_landed(spark, str(out))
+    text = landed._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - start < 20 and text.count("FileScan") == 1
+    assert landed.count() == 2000
+    assert compact_landed(spark, str(out)).count() == 1999 and drop_compacted(spark, str(out))
+    assert len(list(Path(out / "batches").iterdir())) == 2 and read_landed(spark, str(out)).count() == 2000
