@@ -37,11 +37,13 @@ CAPACITY = 2048
 CLOSING_ID = 0
 BLOCK = 1_024  # pieces of a problem, on average; at most 65,535
 ISLANDS, PACKINGS = 2, 4  # islands of a block, packings of an island
-EPOCHS, CHILDREN = 2, 8  # children that an island breeds in an epoch
+SEARCHES = 16  # islands that a task evolves, where that makes no more tasks than spark.sql.shuffle.partitions
+EPOCHS, CHILDREN = 2, 16  # children that an island breeds in an epoch
+STRAY = 0.1  # by which share an order strays from the pieces' sizes
 OPEN = 128  # a bin with more room than 1 in this many is open
 
 STRETCH = 1 << 20  # code points of a text that are tokenised at a time
-REMEMBERED = 64 << 20  # bytes of words and their ids per Python worker
+REMEMBERED, OVERHEAD = 192 << 20, 160  # bytes of words and their ids per Python worker; bytes of an entry besides its contents
 LONGEST = 64  # bytes of a word that is remembered
 
 Bins = list[list[int]]
@@ -94,7 +96,7 @@ class WordIds:
         long = {w: raw for w, raw in found.items() if len(w) > LONGEST // 4 and len(w.encode()) > LONGEST}
         short = found if not long else {w: raw for w, raw in found.items() if w not in long}
         self.known.update(short)
-        self.held += sum(map(len, short)) + sum(map(len, short.values()))
+        self.held += OVERHEAD * len(short) + sum(map(len, short)) + sum(map(len, short.values()))
         if long:
             return b"".join([long[w] if w in long else self.known[w] for w in words])
         return b"".join(map(self.known.__getitem__, words))
@@ -220,15 +222,15 @@ def cost(packing: Packing, capacity: int) -> tuple[int, int]:
 
 
 def child(giver: Packing, taker: Packing, lengths: list[int], capacity: int, rng: random.Random) -> Packing:
-    """A run of the giver's well-filled bins, the taker's bins that hold none of their pieces and are not among its worst, and
-    the rest by best fit."""
+    """A run of the giver's well-filled bins, the taker's bins that hold none of their pieces and that were not opened, and the rest
+    by best fit, about in order of size. Bins with room are opened by chance."""
     (given, given_room), (kept, kept_room) = giver, taker
     filled = sorted(range(len(given)), key=given_room.__getitem__)[: max(1, len(given) // 2)]
-    first, n = rng.randrange(len(filled)), max(1, len(filled) // 2)
+    first, n = rng.randrange(len(filled)), rng.randint(1, max(1, len(filled) // 2))
     injected = [filled[(first + k) % len(filled)] for k in range(n)]
     bins, room = [list(given[b]) for b in injected], [given_room[b] for b in injected]
     placed = {i for b in bins for i in b}
-    worst = sorted(range(len(kept)), key=kept_room.__getitem__, reverse=True)[: 1 + len(kept) // 16]
+    worst = sorted(range(len(kept)), key=kept_room.__getitem__, reverse=True)[: 3 + len(kept) // 16]
     opened = {b for b in worst if rng.random() < 0.5}
     displaced = []
     for b, pieces in enumerate(kept):
@@ -237,7 +239,7 @@ def child(giver: Packing, taker: Packing, lengths: list[int], capacity: int, rng
         else:
             bins.append(pieces[:])
             room.append(kept_room[b])
-    displaced.sort(key=lengths.__getitem__, reverse=True)
+    displaced.sort(key=lambda i: lengths[i] * rng.uniform(1 - STRAY, 1 + STRAY), reverse=True)
     best_fit(displaced, lengths, (bins, room), capacity)
     return bins, room
 
@@ -246,7 +248,7 @@ def first_packings(lengths: list[int], capacity: int, rng: random.Random, n: int
     """Best fit in order of size, and in orders that stray from it."""
     found = []
     for k in range(n):
-        order = sorted(range(len(lengths)), key=lambda i: lengths[i] * (1 + 0.1 * k * rng.random()), reverse=True)
+        order = sorted(range(len(lengths)), key=lambda i: lengths[i] * (1 + STRAY * k * rng.random()), reverse=True)
         packing: Packing = ([], [])
         best_fit(order, lengths, packing, capacity)
         found.append(packing)
@@ -258,7 +260,8 @@ def least_bins(lengths: list[int], capacity: int) -> int:
 
 
 def evolve(population: list[Packing], lengths: list[int], capacity: int, rng: random.Random, children: int) -> list[Packing]:
-    """The population, best first, after so many children: each takes the place of the worst if it is better."""
+    """The population, best first, after so many children: each takes the place of the worst unless it is worse, or no other than one
+    that is there."""
     ranked = sorted(((cost(p, capacity), k, p) for k, p in enumerate(population)), key=lambda x: x[:2])
     least = least_bins(lengths, capacity)
     for k in range(children):
@@ -267,7 +270,7 @@ def evolve(population: list[Packing], lengths: list[int], capacity: int, rng: ra
         giver, taker = rng.sample(range(len(ranked)), 2)
         bred = child(ranked[giver][2], ranked[taker][2], lengths, capacity, rng)
         new = (cost(bred, capacity), len(population) + k, bred)
-        if new[0] < ranked[-1][0]:
+        if new[0] <= ranked[-1][0] and all(new[0] != known[0] for known in ranked[:-1]):
             ranked = sorted([*ranked[:-1], new], key=lambda x: x[:2])
     return [p for _, _, p in ranked]
 
@@ -321,13 +324,20 @@ def evolve_batches(
 
 
 def solved_blocks(
-    problems: DataFrame, capacity: int, islands: int = ISLANDS, epochs: int = EPOCHS, packings: int = PACKINGS, children: int = CHILDREN
+    problems: DataFrame,
+    blocks: int,
+    capacity: int,
+    islands: int = ISLANDS,
+    epochs: int = EPOCHS,
+    packings: int = PACKINGS,
+    children: int = CHILDREN,
 ) -> DataFrame:
-    """(block, genes): the best packing that any island of a block found, of problems (block, lengths)."""
+    """(block, genes): the best packing that any island of a block found, of so many problems (block, lengths). Rows are small and each
+    worth a search, so they are dealt out by number and not by size."""
+    tasks = min(int(problems.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks * islands // SEARCHES))
     none = [F.lit(None).cast("array<array<int>>").alias("population"), F.lit(None).cast("array<int>").alias("migrant")]
     lands = problems.select("block", F.explode(F.array(*map(F.lit, range(islands)))).alias("island"), "lengths", *none)
-    # Many small rows, each worth a search: dealt out evenly.
-    lands = lands.repartition("block", "island").mapInArrow(evolve_batches(0, capacity, packings, children), ISLAND)
+    lands = lands.repartition(tasks, "block", "island").mapInArrow(evolve_batches(0, capacity, packings, children), ISLAND)
     for epoch in range(1, epochs):
         elite = lands.select(
             "block", ((F.col("island") + 1) % islands).alias("island"), F.col("population")[0].alias("migrant")
@@ -335,6 +345,7 @@ def solved_blocks(
         lands = (
             lands.join(elite, ["block", "island"])
             .select("block", "island", "lengths", "population", "migrant")
+            .repartition(tasks, "block", "island")
             .mapInArrow(evolve_batches(epoch, capacity, packings, children), ISLAND)
         )
     best = F.min_by(F.col("population")[0], F.struct("bins", "spread", "island"))
@@ -350,7 +361,7 @@ def packed_round(pieces: DataFrame, number: int, blocks: int, capacity: int) ->
         "blocks",
     )
     lengths = F.transform("pieces", lambda p: p["length"].cast("int")).alias("lengths")
-    genes = solved_blocks(problems.select("block", lengths), capacity)
+    genes = solved_blocks(problems.select("block", lengths), blocks, capacity)
     placed = (
         problems.join(genes, "block")
         .select("block", F.explode(F.arrays_zip("pieces", "genes")).alias("x"))
