@@ -1,15 +1,21 @@
 """Quality rules whose cutoffs follow each language and source.
 
-Five measures of a text are sketched per language and source as counts over rounded values: whole numbers keep their six
-leading binary digits, so a quantile is off by at most 1/32 of itself, and sketches merge by adding counts. A cutoff is the
-upper quartile plus REACH times the distance of the quartiles (below the lower one likewise, for word length), with a
-least distance per measure, for texts that nearly all agree. Groups of fewer than MIN_GROUP documents take the merged
-sketch of their language, or else of everything. A text that passes a cutoff is rejected, and so is one without words.
+Five measures of a text are sketched per language and source as counts over rounded values, of the documents that the base rule
+leaves: whole numbers keep their six leading binary digits, so a quantile is off by at most 1/32 of itself, and sketches merge by adding
+counts. A group's sketch is blended with its language's, scaled to the weight of BLEND documents, and with that of everything,
+scaled to BLEND_ALL: a group of few documents follows its language, one of many itself, and one more document moves a cutoff by its own
+weight. A cutoff is the median plus REACH times its distance to the HIGH quantile (for word length also below it, by the LOW one). There
+are no least distances: where nine tenths of a group's texts have no symbols, one with symbols is beyond the cutoff.
+
+A text is rejected when two of three kinds of measures are beyond their cutoffs: symbols, repetition (of words and of lines), shape (share
+of capitals or length of words). One kind alone also happens to clean texts. A text without words is rejected too.
 
 All of it is DataFrame expressions. Measures are taken once and stored, counted on the map side, and joined to cutoffs, of which
 there is a row per language and source.
 
-Null texts have no words; null languages and sources are groups of their own; repeated rows count as often as they occur.
+Null texts have no words; null languages and sources are groups of their own; repeated rows count as often as they occur. Texts of
+any length are measured whole. An empty table has no cutoffs and no rows; where the base rule leaves no document at all, there are no
+cutoffs and every text with words passes. The input row travels as one struct, so its columns cannot clash.
 """
 
 from __future__ import annotations
@@ -24,13 +30,23 @@ WORD, GAP = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 WINDOW = 3
 MIN_WORDS, MOST_REPEATED = 50, 50  # of the base rule: words, and repeated words in a hundred
 REPETITIVE = f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words > {MOST_REPEATED} * n_words"  # its part on texts that are not short
-REACH, MIN_GROUP = 6, 100
+FAILED = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words)"  # the base rule
+REACH = 2
+LOW, MIDDLE, HIGH = 15, 50, 85  # quantiles, in hundredths
+BLEND, BLEND_ALL = 200, 50  # documents that a language's sketch, and that of everything, weigh in a group's
+UNIT = 10_000  # weight of a document, so that shares of scaled sketches are whole numbers
 DIGITS = 6
 NONE = "\x00"  # stands for a null language or source
 
-# Least distance of the quartiles. All measures are whole numbers: thousandths, and hundredths of a character.
-UPPER = {"symbols": 8, "repeats": 130, "same_lines": 60, "capitals": 40, "length": 40}
-LOWER = ["length"]
+# All measures are whole numbers: thousandths, and hundredths of a character.
+MEASURES = ["symbols", "repeats", "same_lines", "capitals", "length"]
+KINDS = [
+    "symbols > hi_symbols",
+    "repeats > hi_repeats AND same_lines > hi_same_lines",
+    "capitals > hi_capitals OR length > hi_length OR length < lo_length",
+]
+VOTES = " + ".join(f"CAST(coalesce({kind}, false) AS INT)" for kind in KINDS)
+PASSES = f"n_words > 0 AND {VOTES} < 2"
 
 
 def per_thousand(part: str, whole: str, scale: int = 1000) -> Column:
@@ -101,51 +117,65 @@ def rounded(value: str) -> str:
 
 
 def sketches(measures: DataFrame) -> DataFrame:
-    """(lang, source, measure, value, docs): the counts of each group, a few hundred values at most."""
-    pairs = ", ".join(f"'{m}', {rounded(m)}" for m in UPPER)
+    """(lang, source, measure, value, docs): the counts of each group, a few hundred values at most. Documents that fail the base
+    rule count nothing, but name their group."""
+    pairs = ", ".join(f"'{m}', {rounded(m)}" for m in MEASURES)
     return (
         measures.where("n_words > 0")
-        .select("lang", "source", F.expr(f"stack({len(UPPER)}, {pairs}) AS (measure, value)"))
+        .select("lang", "source", F.expr(FAILED).alias("failed"), F.expr(f"stack({len(MEASURES)}, {pairs}) AS (measure, value)"))
         .groupBy("lang", "source", "measure", "value")
-        .agg(F.count(F.lit(1)).alias("docs"))
+        .agg(F.count_if(~F.col("failed")).alias("docs"))
     )
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, total, q1, q3) of the sketches merged by the keys."""
+def histograms(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(keys, measure, name, name_total): the sketches merged by the keys, as lists of (value, docs)."""
     merged = sketch.groupBy(*keys, "measure", "value").agg(F.sum("docs").alias("docs"))
-    histogram = F.sort_array(F.collect_list(F.struct("value", "docs")))  # as many entries as values
-    gathered = merged.groupBy(*keys, "measure").agg(histogram.alias("h"), F.sum("docs").alias("total"))
+    entries = F.collect_list(F.struct("value", "docs"))  # as many entries as values
+    return merged.groupBy(*keys, "measure").agg(entries.alias(name), F.sum("docs").alias(f"{name}_total"))
 
-    def quantile(quarters: int) -> Column:
-        """The least value that so many quarters of the documents do not exceed."""
 
-        def step(state: Column, x: Column) -> Column:
-            seen = state["seen"] + x["docs"]
-            reached = state["value"].isNull() & (4 * seen >= quarters * F.col("total"))
-            return F.struct(seen.alias("seen"), F.when(reached, x["value"]).otherwise(state["value"]).alias("value"))
+def weighted(name: str, weight: int | None) -> Column:
+    """A histogram's (value, weight): UNIT for each document, or the whole scaled to `weight` documents."""
+    total = F.greatest(F.col(f"{name}_total"), F.lit(1))
 
-        start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("value"))
-        return F.aggregate("h", start, step)["value"]
+    def entry(x: Column) -> Column:
+        share = x["docs"] * UNIT if weight is None else F.floor(x["docs"] * (weight * UNIT) / total)
+        return F.struct(x["value"].alias("value"), share.cast("bigint").alias("weight"))
 
-    return gathered.select(*keys, "measure", "total", quantile(1).alias("q1"), quantile(3).alias("q3"))
+    return F.transform(name, entry)
 
 
 def cutoffs(sketch: DataFrame) -> DataFrame:
     """(lang, source, lo_*, hi_*): the cutoffs of each language and source."""
-    own = quartiles(sketch, ["lang", "source"])
-    lang = quartiles(sketch, ["lang"])
-    every = quartiles(sketch, [])
-    value = ["total", "q1", "q3"]
-    levels = [df.withColumnsRenamed({c: f"{c}_{n}" for c in value}) for n, df in (("l", lang), ("e", every))]
-    joined = own.join(levels[0], ["lang", "measure"]).join(levels[1], "measure")
-    pick = f"CASE WHEN total >= {MIN_GROUP} THEN {{0}} WHEN total_l >= {MIN_GROUP} THEN {{0}}_l ELSE {{0}}_e END AS {{0}}"
-    chosen = joined.selectExpr("lang", "source", "measure", pick.format("q1"), pick.format("q3"))
-    floors = F.create_map(*[F.lit(x) for pair in UPPER.items() for x in pair])
-    width = REACH * F.greatest(F.col("q3") - F.col("q1"), F.try_element_at(floors, F.col("measure")))
-    fences = chosen.select("lang", "source", "measure", (F.col("q1") - width).alias("lo"), (F.col("q3") + width).alias("hi"))
-    pivoted = [F.max(F.when(F.col("measure") == m, F.col("hi"))).alias(f"hi_{m}") for m in UPPER]
-    pivoted += [F.max(F.when(F.col("measure") == m, F.col("lo"))).alias(f"lo_{m}") for m in LOWER]
+    joined = (
+        histograms(sketch, ["lang", "source"], "own")
+        .join(histograms(sketch, ["lang"], "wide"), ["lang", "measure"])
+        .join(histograms(sketch, [], "every"), "measure")
+    )
+    blended = F.concat(weighted("own", None), weighted("wide", BLEND), weighted("every", BLEND_ALL))
+    gathered = joined.select("lang", "source", "measure", F.sort_array(blended).alias("h")).withColumn(
+        "total", F.aggregate("h", F.lit(0).cast("bigint"), lambda n, x: n + x["weight"])
+    )
+
+    def quantile(hundredths: int) -> Column:
+        """The least value that so many hundredths of the weight do not exceed; null without any weight."""
+
+        def step(state: Column, x: Column) -> Column:
+            seen = state["seen"] + x["weight"]
+            reached = state["value"].isNull() & (100 * seen >= hundredths * F.col("total"))
+            return F.struct(seen.alias("seen"), F.when(reached, x["value"]).otherwise(state["value"]).alias("value"))
+
+        start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("value"))
+        return F.when(F.col("total") > 0, F.aggregate("h", start, step)["value"])
+
+    quantiles = gathered.select(
+        "lang", "source", "measure", quantile(LOW).alias("low"), quantile(MIDDLE).alias("middle"), quantile(HIGH).alias("high")
+    )
+    fences = quantiles.selectExpr(
+        "lang", "source", "measure", f"middle - {REACH} * (middle - low) AS lo", f"middle + {REACH} * (high - middle) AS hi"
+    )
+    pivoted = [F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"{end}_{m}") for m in MEASURES for end in ("lo", "hi")]
     return fences.groupBy("lang", "source").agg(*pivoted)
 
 
@@ -167,23 +197,20 @@ def judge_quality(
         text_or_empty(text_col).alias("body"),
     )
     measures = stage(measured(rows), "measures")
-    rules = [f"{m} <= hi_{m}" for m in UPPER] + [f"{m} >= lo_{m}" for m in LOWER]
-    passes = F.expr(f"n_words > 0 AND coalesce({' AND '.join(rules)}, false)")
     return measures.join(cutoffs(sketches(measures)), ["lang", "source"], "left").select(
-        *[c for c in measures.columns if c not in ("lang", "source")], passes.alias("passes")
+        *[c for c in measures.columns if c not in ("lang", "source")], F.expr(PASSES).alias("passes")
     )
 
 
 def keep_quality(docs: DataFrame, **columns: str) -> DataFrame:
-    """The documents that pass the adaptive cutoffs."""
-    return judge_quality(docs, **columns).where("passes").select("row.*")
+    """The documents that pass the adaptive cutoffs and do not mostly repeat themselves."""
+    return judge_quality(docs, **columns).where(f"passes AND NOT ({REPETITIVE})").select("row.*")
 
 
 def op3_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
-    failed = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words)"
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged.selectExpr("row.doc_id AS doc_id", *counts, f"{failed} AS base_failed", f"NOT {failed} AND passes AS kept")
+    return judged.selectExpr("row.doc_id AS doc_id", *counts, f"{FAILED} AS base_failed", f"NOT {FAILED} AND passes AS kept")
 
 
 def least_bits(value: str) -> str:
@@ -191,15 +218,12 @@ def least_bits(value: str) -> str:
     return f"((({value}) >> {shift}) << {shift})"
 
 
-def quantile_sql(keys: str, level: str) -> str:
+def merged_sql(keys: str, level: str, weight: int | None) -> str:
     on = f"{keys}, measure" if keys else "measure"
-    return f"""{level}_merged AS (SELECT {on}, value, sum(docs) AS docs FROM sketch GROUP BY {on}, value
-), {level}_run AS (
- SELECT *, sum(docs) OVER (PARTITION BY {on} ORDER BY value) AS seen, sum(docs) OVER (PARTITION BY {on}) AS total FROM {level}_merged
-), {level} AS (
- SELECT {on}, max(total) AS total, min(value) FILTER (WHERE 4 * seen >= total) AS q1,
-  min(value) FILTER (WHERE 4 * seen >= 3 * total) AS q3 FROM {level}_run GROUP BY {on}
-)"""
+    share = f"docs * {UNIT}" if weight is None else f"CAST(floor(docs * {weight * UNIT} / greatest(total, 1)) AS BIGINT)"
+    return f"""{level} AS (
+ SELECT *, {share} AS weight FROM (
+  SELECT *, sum(docs) OVER (PARTITION BY {on}) AS total FROM (SELECT {on}, value, sum(docs) AS docs FROM sketch GROUP BY {on}, value)))"""
 
 
 QUALITY_SQL = f"""
@@ -230,24 +254,26 @@ WITH texts AS (
   1000 * n_dup_lines // greatest(n_lines, 1) AS same_lines, 1000 * n_capitals // greatest(word_chars, 1) AS capitals,
   100 * word_chars // greatest(n_words, 1) AS length FROM counts
 ), long AS (
- {" UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {least_bits(m)} AS value FROM measures WHERE n_words > 0" for m in UPPER)}
-), sketch AS (SELECT lang, source, measure, value, count(*) AS docs FROM long GROUP BY ALL
-), {quantile_sql("lang, source", "own")}, {quantile_sql("lang", "wide")}, {quantile_sql("", "every")}
-, chosen AS (
- SELECT o.lang, o.source, o.measure,
-  CASE WHEN o.total >= {MIN_GROUP} THEN o.q1 WHEN w.total >= {MIN_GROUP} THEN w.q1 ELSE e.q1 END AS q1,
-  CASE WHEN o.total >= {MIN_GROUP} THEN o.q3 WHEN w.total >= {MIN_GROUP} THEN w.q3 ELSE e.q3 END AS q3
- FROM own o JOIN wide w ON w.lang = o.lang AND w.measure = o.measure JOIN every e ON e.measure = o.measure
+ {" UNION ALL ".join(f"SELECT lang, source, {FAILED} AS failed, '{m}' AS measure, {least_bits(m)} AS value FROM measures WHERE n_words > 0" for m in MEASURES)}
+), sketch AS (SELECT lang, source, measure, value, count(*) FILTER (WHERE NOT failed) AS docs FROM long GROUP BY lang, source, measure, value
+), {merged_sql("lang, source", "own", None)}, {merged_sql("lang", "wide", BLEND)}, {merged_sql("", "every", BLEND_ALL)}
+, groups AS (SELECT DISTINCT lang, source FROM long
+), blended AS (
+ SELECT lang, source, measure, value, weight FROM own
+ UNION ALL SELECT g.lang, g.source, w.measure, w.value, w.weight FROM groups g JOIN wide w ON w.lang = g.lang
+ UNION ALL SELECT g.lang, g.source, e.measure, e.value, e.weight FROM groups g CROSS JOIN every e
+), run AS (
+ SELECT lang, source, measure, value, sum(weight) OVER (PARTITION BY lang, source, measure ORDER BY value) AS seen,
+  sum(weight) OVER (PARTITION BY lang, source, measure) AS total FROM blended
+), quantiles AS (
+ SELECT lang, source, measure, {", ".join(f"min(value) FILTER (WHERE 100 * seen >= {n} * total) AS {name}" for n, name in ((LOW, "low"), (MIDDLE, "middle"), (HIGH, "high")))}
+ FROM run WHERE total > 0 GROUP BY lang, source, measure
 ), fences AS (
- SELECT lang, source, measure, q1 - width AS lo, q3 + width AS hi FROM (
-  SELECT *, {REACH} * greatest(q3 - q1, CASE measure {" ".join(f"WHEN '{m}' THEN {n}" for m, n in UPPER.items())} END) AS width FROM chosen)
-), wide_fences AS (
- SELECT lang, source, {", ".join(f"max(hi) FILTER (WHERE measure = '{m}') AS hi_{m}" for m in UPPER)},
-  {", ".join(f"max(lo) FILTER (WHERE measure = '{m}') AS lo_{m}" for m in LOWER)} FROM fences GROUP BY lang, source
+ SELECT lang, source, {", ".join(f"max(middle - {REACH} * (middle - low)) FILTER (WHERE measure = '{m}') AS lo_{m}, max(middle + {REACH} * (high - middle)) FILTER (WHERE measure = '{m}') AS hi_{m}" for m in MEASURES)}
+ FROM quantiles GROUP BY lang, source
 ), judged AS (
- SELECT m.*, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
-  n_words > 0 AND coalesce({" AND ".join([f"{m} <= hi_{m}" for m in UPPER] + [f"{m} >= lo_{m}" for m in LOWER])}, false) AS passes
- FROM measures m LEFT JOIN wide_fences f ON f.lang = m.lang AND f.source = m.source
+ SELECT m.*, {FAILED} AS base_failed, {PASSES} AS passes
+ FROM measures m LEFT JOIN fences f ON f.lang = m.lang AND f.source = m.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND passes AS kept FROM judged
 """

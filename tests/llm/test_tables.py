@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
@@ -12,7 +13,7 @@ import zstandard
 
 import corpus_pipeline
 from fareloom.llm import credentials, mixing, perspectives, quality, url_filter, warc
-from fareloom.sources.storage import scratch_path
+from fareloom.sources.storage import scratch_path, stage
 from tests.llm import plain
 
 SF = "/root/testdata/sf0.01"
@@ -42,6 +43,49 @@ def test_quality_of_odd_documents(documents):
     assert quality.keep_quality(documents()).count() == 0
 
 
+def prose(rng, n, extra=""):
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) + extra * (rng.random() < 0.5) for _ in range(n)]
+    return " ".join(words)
+
+
+def test_one_text_is_judged_by_its_source(documents):
+    """Long words and symbols are the rule in one source and the exception in the other, in the same language."""
+    rng = random.Random(2)
+    plain_rows = [(i, prose(rng, 80), "en", "a") for i in range(1000)]
+    code_rows = [(2000 + i, prose(rng, 80, "_x_y_z#"), "en", "b") for i in range(300)]
+    text = prose(random.Random(9), 80, "_x_y_z#")
+    docs = documents(*plain_rows, *code_rows, (9001, text, "en", "a"), (9002, text, "en", "b"))
+    verdicts = {(r["row"]["doc_id"], r["row"]["source"]): r["passes"] for r in quality.judge_quality(docs).collect()}
+    assert not verdicts[9001, "a"] and verdicts[9002, "b"]
+    per_source = Counter((s, v) for (_, s), v in verdicts.items())
+    assert per_source["a", True] >= 980 and per_source["b", True] >= 290
+
+
+def test_one_more_document_moves_a_cutoff_little(spark, documents):
+    """There is no size at which a group stops following its language."""
+    rng = random.Random(3)
+    wide = [(i, prose(rng, 80), "en", f"s{i % 7}") for i in range(700)]
+    mine = [(2000 + i, prose(rng, 80, "_long_#"), "en", "mine") for i in range(130)]
+    highs = []
+    for n in (90, 99, 100, 101, 130):
+        judged = quality.measured(quality_rows(documents(*wide, *mine[:n])))
+        cut = quality.cutoffs(quality.sketches(judged)).where("source = 'mine'").first()
+        highs.append(cut["hi_symbols"])
+    assert all(abs(a - b) <= 0.15 * a for a, b in zip(highs, highs[1:], strict=False))
+
+
+def quality_rows(docs):
+    return docs.selectExpr("struct(doc_id) AS row", "lang", "source", "coalesce(text, '') AS body")
+
+
+def test_sketches_decide_every_cutoff(spark):
+    """Each cutoff is what its blended quantiles give, and they differ between groups."""
+    docs = spark.read.parquet(f"{SF}/../sf0.1/documents.parquet")
+    cuts = quality.cutoffs(quality.sketches(stage(quality.measured(quality_rows(docs)), "m"))).toPandas()
+    assert len(cuts) == 80
+    assert all(cuts[f"hi_{m}"].nunique() > 1 for m in ("repeats", "capitals", "length"))
+
+
 # secrets
 
 KEY = "aB3dE5gH7jK9mN1pQ3sT5vW7"
@@ -218,11 +262,47 @@ def test_each_speaker_is_the_assistant_once(spark):
     assert perspectives.rotate_perspectives(turns.limit(0)).count() == 0
 
 
-def test_long_dialogues_come_in_parts(spark):
-    rows = [(1, i // 2, "ann" if i % 3 else "bob", "same") for i in range(150)]
-    got = perspectives.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert sorted((r["speaker"], r["part"], r["n_messages"]) for r in got) == [(s, p, n) for s in ("ann", "bob") for p, n in ((0, 64), (1, 64), (2, 22))]
-    assert sum(r["n_trained"] for r in got) == 150 and all(len(re.findall(r"\d+-\d+", r["mask"])) == r["n_trained"] for r in got)
+def rows_of(spark, messages, **how):
+    extra = "key string, run long, salt int, shown string, conv long"
+    turns = spark.createDataFrame([(*m, "k", 1, 2, "s", 3) for m in messages], f"conv_id long, turn long, role string, text string, {extra}")
+    return perspectives.rotate_perspectives(turns, **how).collect()
+
+
+def plain_rotation(messages):
+    """Every participant's rendering and its trained stretches, message by message."""
+    dialogues = defaultdict(list)
+    for conv, turn, role, text in messages:
+        text = re.sub(r"<\|im_(start|end)\|>", r"<|im_\1 |>", text or "")
+        dialogues[conv].append(((turn is None, turn or 0), role or "unknown", text))
+    for conv, said in dialogues.items():
+        said.sort()
+        for who in {role for _, role, _ in said} - {"system"}:
+            out, mask = "", []
+            for _, role, text in said:
+                header = "system" if role == "system" else "assistant" if role == who else "user name=" + re.sub("[^A-Za-z0-9._-]", "_", role)
+                out += f"<|im_start|>{header}\n"
+                if role == who:
+                    mask.append(f"{len(out)}-{len(out) + len(text) + len('<|im_end|>')}")
+                out += f"{text}<|im_end|>\n"
+            yield conv, who, len(said), len(mask), out, ",".join(mask)
+
+
+def test_long_dialogues_are_one_row_for_each_participant(spark):
+    messages = [(1, 0, "system", "rules")] + [(1, 1 + i // 2, "ann" if i % 3 else "bob", f"m{i} \u00e9") for i in range(129)]
+    messages += [(None, i, "cy", None) for i in range(70)] + [(2, None, "", "x"), (2, None, "", "x"), (3, 0, "system", "alone")]
+    rows = rows_of(spark, messages)
+    got = sorted(((r["conv"], r["speaker"], r["n_messages"], r["n_trained"], r["rendered"], r["mask"]) for r in rows), key=repr)
+    assert got == sorted(plain_rotation(messages), key=repr) and len(got) == 4
+    assert sorted(r["n_messages"] for r in rows) == [2, 70, 130, 130]
+
+
+def test_parts_on_request_begin_with_the_opening(spark):
+    messages = [(1, 0, "system", "rules"), (1, 0, "system", "more")] + [(1, 1 + i, "ann" if i % 3 else "bob", "same") for i in range(148)]
+    got = rows_of(spark, messages, part=64)
+    assert sorted((r["speaker"], r["part"], r["n_messages"]) for r in got) == [(s, p, n) for s in ("ann", "bob") for p, n in ((0, 64), (1, 66), (2, 24))]
+    assert sum(r["n_trained"] for r in got) == 148 and all(len(re.findall(r"\d+-\d+", r["mask"])) == r["n_trained"] for r in got)
+    opening = "<|im_start|>system\nmore<|im_end|>\n<|im_start|>system\nrules<|im_end|>\n"
+    assert all(r["rendered"].startswith(opening) and r["rendered"].count("rules") == 1 for r in got)
 
 
 # pipeline
@@ -250,7 +330,7 @@ def test_stages_equal_their_operators_in_plain_python(spark):
 
 
 def test_quality_stage_drops_texts_that_mostly_repeat(spark, documents):
-    """A source full of them has a wide cutoff, which they pass. Short texts stay."""
+    """A source full of them has wide cutoffs, which they pass. Short texts stay."""
     repeated = [" ".join([f"a{i}b{j}" for j in range(20)] * 3 + [f"c{i}d{j}" for j in range(40)]) for i in range(120)]
     half = " ".join([f"e50f{j}" for j in range(25)] * 2 + [f"g50h{j}" for j in range(50)])
     docs = documents(*enumerate(repeated), (200, half), (201, "first second third " * 4))

@@ -66,11 +66,12 @@ def test_packing_of_odd_documents(spark, documents):
 
 def test_texts_are_tokenised_in_stretches(monkeypatch):
     monkeypatch.setattr(packing, "STRETCH", 50)
-    monkeypatch.setattr(packing, "REMEMBERED", 200)
-    text = "Some wörds, and <|endoftext|> more of THEM'S tokens " * 40
-    ids = packing.WordIds(WORDS)
+    text = f"Some wörds,\x1cand <|endoftext|> more\u2003of\x85THEM'S {'long' * 30} ΑΣ x̌\tJ̌ tokens " * 40
     want = Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
-    for _ in range(2):
+    for remembered in (1 << 20, 2000, 1):
+        monkeypatch.setattr(packing, "REMEMBERED", remembered)
+        ids = packing.WordIds(WORDS)
+        assert np.frombuffer(b"".join(ids.stretches(text)), "<u4").tolist() == want
         assert np.frombuffer(b"".join(ids.stretches(text)), "<u4").tolist() == want
     pieces = list(packing.cut(ids.stretches(text), 0, 16))
     assert np.frombuffer(b"".join(pieces), "<u4").tolist() == [*want, 0] and {len(p) for p in pieces[:-1]} == {64}
