@@ -7,10 +7,13 @@ are candidates, and a candidate counts only after an exact comparison of the ful
 
 Documents with the same words are one node from the start. A bucket of n nodes does not emit its n * n pairs. First, one node
 of each bucket is compared with the rest; then, in a few rounds, a node of the bucket's largest class with those outside it;
-a sketch of two bits per signature place rules out what is far off (a true link with a probability of 1e-7). Last, the
-nodes that are still outside their bucket's largest class are compared with all others there: blocks of them are held in
-memory while the others stream past, and only links that join two classes are passed on. Every pair of a bucket whose
-classes differ is then compared, as one of the two is outside the largest class.
+a sketch of two bits per signature place rules out what is far off (a true link with a probability of 1e-7). Last, the nodes of
+buckets that still hold several classes are dealt into finer buckets, one for each shingle of a node's prefix: its shingles in one order
+for all, the rarest first by a count sketch of bounded size, as many as two linked sets must share one of. Pages made from one
+template agree in many bands but in no rare shingle, so they part here. In a finer bucket the nodes outside its largest class are
+compared with all others there: blocks of them are held in memory while the others stream past, and only links that join two classes
+are passed on. Every pair of a bucket whose classes differ is then compared, as two linked sets share a prefix shingle and one of the
+two is outside the largest class.
 
 Nulls, empty texts and texts of white space: no words, no shingles, linked with nothing. Fewer words than a shingle:
 the whole sequence is one shingle. Rows that repeat, also under one id, are copies. A null id can belong to a class, whose
@@ -38,6 +41,7 @@ BANDS, BAND_ROWS = 32, 5  # BANDS * BAND_ROWS == 2 * FUNCTIONS
 ROUNDS = 1  # with nodes of the largest class
 HELD, STREAMED = 256, 4096  # nodes that a block holds, and that stream past it in one task
 WIDER = 16  # how many more comparisons may be made over a group of buckets to send its sets once, not once a bucket
+COUNTERS = 1 << 21  # of the count sketch of shingles, 8 MB; what shares a counter seems more frequent, which costs time only
 FILTER_BITS = 1 << 27  # most bits of the filter on texts; beyond, it lets more pass, which the join after it removes
 CHUNK = 1 << 16  # shingles hashed at once, so that the working arrays stay in the processor's cache
 
@@ -279,6 +283,54 @@ class Block:
                 yield self.nodes[i], node
 
 
+def slots_of(shingles: np.ndarray) -> np.ndarray:
+    """The counter of each shingle."""
+    return ((shingles * SPREAD) >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)
+
+
+def count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingles) -> (slot, n): how many shingles of a batch fall to each counter."""
+    for batch in slices(batches, 512):
+        packed = b"".join(x.as_py() for x in batch["shingles"])
+        slot, n = np.unique(slots_of(np.frombuffer(packed, np.uint64)), return_counts=True)
+        yield pa.record_batch([pa.array(slot), pa.array(n.astype(np.int64))], names=["slot", "n"])
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """How many first shingles of a set of n, in any one order, hold one of every set that is similar enough."""
+    return n - -(-percent * n // 100) + 1
+
+
+def prefixes(percent: int, counts) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(node, n, shingles) -> (key, node, n): a row per shingle of the prefix, rarest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = counts.value
+        for batch in slices(batches):
+            keys = []
+            for packed in batch["shingles"]:
+                x = np.frombuffer(packed.as_buffer(), np.uint64)
+                order = np.lexsort((x, often[slots_of(x)]))
+                keys.append(x[order[: prefix_length(len(x), percent)]].view(np.int64))
+            rows = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
+            yield pa.record_batch([pa.array(flat), batch["node"].take(rows), batch["n"].take(rows)], names=["key", "node", "n"])
+
+    return run
+
+
+def prefix_members(contested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n) of finer buckets over the nodes of contested ones."""
+    nodes = contested.select("node", "n").distinct().join(sets, "node").select("node", "n", "shingles")
+    counted = nodes.select("shingles").mapInArrow(count_shingles, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    often = np.zeros(COUNTERS, np.uint32)
+    for row in counted.toLocalIterator():  # at most COUNTERS rows
+        often[row["slot"]] = min(row["n"], 2**32 - 1)
+    counts = contested.sparkSession.sparkContext.broadcast(often)
+    found = nodes.mapInArrow(prefixes(percent, counts), "key bigint, node binary, n bigint")
+    return stage(found, "prefixes")
+
+
 def close_blocks(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(block, passes, node, label, shingles), sorted by block with the held nodes first -> links (a, b)."""
 
@@ -369,7 +421,7 @@ def linked_nodes(members: DataFrame, codes: DataFrame, sets: DataFrame, percent:
     def joined(links: DataFrame) -> DataFrame:
         return members.sparkSession.createDataFrame([], "node binary, label binary") if links.isEmpty() else classes(links)
 
-    def several(labels: DataFrame) -> DataFrame:
+    def several(labels: DataFrame, members: DataFrame = members) -> DataFrame:
         """The members of buckets that hold several classes, with their label and the bucket's largest class."""
         now = stage(labelled(members, labels), "members")
         per_class = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"))
@@ -387,7 +439,10 @@ def linked_nodes(members: DataFrame, codes: DataFrame, sets: DataFrame, percent:
         outside = now.where("label <> top").select("key", F.col("node").alias("b"), F.col("n").alias("nb"))
         links = stars(labels).union(compared(hubs, outside))
         labels = joined(links)
-    last = close_buckets(several(labels), sets, percent)
+    contested = several(labels)
+    if contested.isEmpty():
+        return labels
+    last = close_buckets(several(labels, prefix_members(contested, sets, percent)), sets, percent)
     return labels if last is None or last.isEmpty() else classes(stars(labels).union(last))
 
 
@@ -482,3 +537,24 @@ def op7_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", F.expr("id <=> component_id AS kept")
     )
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# All pairs that share a shingle, and all that is reached over links.
+NEAR_SQL = f"""
+WITH RECURSIVE words AS (
+ SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+ SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+ FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+ SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON b.s = a.s AND b.doc_id <> a.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+ SELECT a, b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+), reached AS (
+ SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, r.component_id, w.doc_id = r.component_id AS kept
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) r ON r.a = w.doc_id
+"""
