@@ -375,3 +375,31 @@ def op6_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SQL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Windows of words compared as strings.
+LEAK_SQL = f"""
+WITH item_words AS (
+ SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SQL_WORD}') AS w
+ FROM benchmark
+), item_windows AS (
+ SELECT DISTINCT item, width, array_to_string(w[i:i + width - 1], ' ') AS run
+ FROM (SELECT *, unnest(range(1, len(w) - width + 2)) AS i FROM (SELECT *, least({MIN_WORDS}, len(w)) AS width FROM item_words WHERE len(w) > 0))
+), doc_words AS (
+ SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SQL_WORD}') AS w
+ FROM documents
+), doc_windows AS (
+ SELECT rid, width, i, array_to_string(w[i:i + width - 1], ' ') AS run FROM (
+  SELECT d.*, x.width, unnest(range(1, len(w) - x.width + 2)) AS i FROM doc_words d JOIN (SELECT DISTINCT width FROM item_windows) x ON len(w) >= x.width)
+), hits AS (SELECT rid, i, width, item FROM doc_windows JOIN item_windows USING (width, run)
+), covered AS (
+ SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(i, i + width)) AS place FROM (SELECT DISTINCT rid, i, width FROM hits)) GROUP BY rid
+), named AS (
+ SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+ sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN covered c ON c.rid = d.rid LEFT JOIN named n ON n.rid = d.rid
+"""

@@ -211,3 +211,16 @@ def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_archives(pages, scratch_path(spark, "warc"))
     records = read_archives(index, pages.schema["page_id"].dataType.simpleString())
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+WARC_SQL = f"""
+WITH payloads AS (
+ SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, coalesce(html, '') AS payload FROM pages
+), held AS (
+ SELECT *, CASE WHEN payload_bytes >= {MIN_REVISIT} THEN max(page_id) OVER (PARTITION BY payload) END AS holder FROM payloads
+)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+ CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+ CASE WHEN holder <> page_id THEN holder END AS refers_to, TRUE AS intact
+FROM held
+"""

@@ -5,17 +5,19 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fareloom.llm import bpe_counts, lattice_lm, near_dedup
 from fareloom.llm.common import byte_words
-from fareloom.llm.decontaminate import decontaminate, mark_spans, op6_suffix_automaton
+from fareloom.llm.decontaminate import SuffixAutomaton, decontaminate, mark_spans, op6_suffix_automaton, word_parts
 from tests.llm import plain
 
 SF = "/root/testdata/sf0.01"
@@ -158,6 +160,47 @@ def test_random_hits_and_blocks(spark, documents):
             assert (r["n_words"], n, len(r["items"])) == wanted[r["row"]["doc_id"]][:3]
 
 
+def test_a_plan_holds_one_automaton_at_a_time(spark, documents):
+    """Blocks are stored in between: the last plan runs one pass, whatever their number."""
+    items = spark.createDataFrame([(i, f"a{i} b{i} c{i} d e f g h i j k l") for i in range(40)], "item_id long, text string")
+    marked = mark_spans(documents((1, "x a3 b3 c3 d e f g h i j k l y")), items, block_bytes=200)
+    assert marked._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [(r["items"], [(s["start"], s["end"]) for s in r["spans"]]) for r in marked.collect()][0][1] == [(1, 13)]
+
+
+def test_an_item_larger_than_a_block_is_split_with_overlap(spark, documents):
+    draw = random.Random(8)
+    item = " ".join(draw.choice("abcdefgh") * draw.randint(1, 3) for _ in range(3000))
+    words = item.split()
+    docs = [(i, "start " + " ".join(words[k : k + 10]) + " end") for i, k in enumerate(range(0, 2990, 7))]
+    items = spark.createDataFrame([(1, item), (2, "short one")], "item_id long, text string")
+    for block_bytes in (1 << 20, 600):
+        marked = mark_spans(documents(*docs), items, block_bytes=block_bytes, keep_text=False)
+        assert all(r["items"] == ["1"] and r["body"] is None and [(s["start"], s["end"]) for s in r["spans"]] == [(1, 11)] for r in marked.collect())
+
+
+def test_parts_overlap_and_cover():
+    words = [b"w" * n for n in (3, 9, 1, 1, 40, 2, 2, 2, 7, 7, 7, 1)]
+    for size in (1, 10, 25, 1000):
+        parts = list(word_parts(words, size, 2))
+        assert parts[0][0] == 0 and parts[-1][1] == len(words)
+        assert all(a[1] > b[0] >= a[1] - 2 and b[1] > a[1] for a, b in zip(parts, parts[1:], strict=False))
+    assert list(word_parts([], 10, 2)) == []
+
+
+def test_an_automaton_is_small():
+    """Some 30 bytes a state and what its words need, not a table of edges and sets for each."""
+    draw = random.Random(6)
+    vocabulary = [f"word{i}".encode() for i in range(3000)]
+    items = [(str(i), b" ".join(draw.choices(vocabulary, k=300)), 300) for i in range(300)]
+    size = sum(len(raw) for _, raw, _ in items)
+    tracemalloc.start()
+    automaton = SuffixAutomaton(items, 10, 1.0)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(automaton.link) > 90_000 and held < 40 * size
+
+
 def test_cutting_leaves_no_hit_and_clean_texts_alone(spark, documents):
     passage = " ".join(f"p{i}" for i in range(12))
     items = spark.createDataFrame([(1, passage)], "item_id long, text string")
@@ -195,6 +238,63 @@ def test_chains_of_edited_copies(documents, monkeypatch):
     assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in found} == plain.near_classes(docs, 3, 85)
 
 
+def templated(n, draw):
+    """Pages of one template, 160 of 220 words the same: they agree in bands, but no two are linked."""
+    shared = [f"t{i}" for i in range(160)]
+    for i in range(n):
+        words, own = [], [f"u{i}x{j}" for j in range(60)]
+        for j, w in enumerate(shared):
+            words.append(w)
+            if j % 8 in (0, 3, 6):
+                words.append(own.pop())
+        yield i, " ".join(words)
+
+
+def sets_met(spark, docs, monkeypatch):
+    """Sets that are held or stream past in the last comparison."""
+    met = []
+    stage = near_dedup.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        if label == "areas":
+            sizes = out.groupBy("area", "bucket").agg(F.count_if("held").alias("p"), F.count(F.lit(1)).alias("m"))
+            for r in sizes.collect():
+                met.append(r.p * -(-r.m // near_dedup.STREAMED) + r.m * max(1, -(-r.p // near_dedup.HELD)))
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    found = near_dedup.near_duplicates(docs).collect()
+    monkeypatch.setattr(near_dedup, "stage", stage)
+    return sum(met), {r["id"]: r["component_id"] for r in found}
+
+
+def test_templated_pages_do_not_meet_all_against_all(spark, documents, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HELD", 16)
+    met = []
+    for n in (150, 300):
+        pages = list(templated(n, random.Random(5)))
+        near = [(10_000 + i, text.replace(" t7 ", " other ")) for i, text in pages[::30]]
+        many, classes = sets_met(spark, documents(*pages, *near), monkeypatch)
+        assert classes == {i: c for i, (_, c) in plain.near_classes([*pages, *near], 3, 85).items()}
+        met.append(many)
+    assert met[1] <= 2.3 * max(met[0], 50)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_similar_sets_share_a_prefix_shingle(percent):
+    draw = random.Random(percent)
+    for _ in range(500):
+        x = set(draw.sample(range(60), draw.randint(1, 30)))
+        y = set(x)
+        for _ in range(draw.randint(0, 4)):
+            y.symmetric_difference_update({draw.randrange(60)})
+        if y and 100 * len(x & y) >= percent * len(x | y):
+            order = draw.sample(range(60), 60)
+            first = [set(sorted(z, key=order.__getitem__)[: near_dedup.prefix_length(len(z), percent)]) for z in (x, y)]
+            assert first[0] & first[1]
+
+
 def test_odd_documents_and_the_one_that_stays(documents):
     docs = documents((9, PROSE), (4, PROSE.upper()), (4, PROSE.upper()), (None, PROSE), (5, None), (6, ""), (6, ""), (7, " \n"), (8, "two words"), (None, "alone here"))
     found = sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs).collect()), key=repr)
