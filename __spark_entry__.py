@@ -164,6 +164,15 @@ def kept_raw(raw: DataFrame) -> DataFrame:
     return rows_per_month(read_raw(spark, base, month_key=True))
 
 
+def landing_audit(raw: DataFrame) -> DataFrame:
+    """Rows per month before and after cleaning, counted by the load that landed them."""
+    spark = raw.sparkSession
+    files = monthly_files(list(halves(raw)))
+    report = plans.land_raw(spark, files, YEAR, scratch_path(spark, "raw"), policy="code")[1]
+    month = F.format_string("month_%02d", "month").alias("month_key")
+    return report.select(month, F.col("row_count").alias("raw_rows"), "clean_rows", "removed_rows")
+
+
 def sized_files(raw: DataFrame) -> DataFrame:
     """Rows per month of a raw table in files of limited size, and whether every file keeps the limit."""
     spark = raw.sparkSession
@@ -315,6 +324,7 @@ REGISTRY: dict[str, Query] = {
     "streaming_landing": over_trips(streaming_landing),
     "compacted_landing": over_trips(compacted_landing),
     "landing_report": over_trips(landing_report),
+    "landing_audit": over_trips(landing_audit),
     "month_refresh": over_trips(month_refresh),
     "refresh_report": over_trips(refresh_report),
     "kept_raw": over_trips(kept_raw),

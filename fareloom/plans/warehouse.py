@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
-from fareloom.operators.cleaning import CleaningPolicy
+from fareloom.operators.cleaning import CleaningPolicy, as_policy, keeps
 from fareloom.plans.dimensions import build_dims
 from fareloom.plans.fact import build_fact
 from fareloom.sinks import write_star
@@ -25,9 +26,11 @@ def land_raw(
     months: Iterable[int] = range(1, 13),
     drop_months: bool = False,
     keep_others: bool = False,
+    policy: str | CleaningPolicy | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(load report, month report) of replacing the raw table with the months that can be read, or with `keep_others` of replacing
-    these months only. The month report says what happened to each month and how many rows it brought, counted as they were written.
+    these months only. The month report says what happened to each month and how many rows it brought, counted as they were written;
+    with a cleaning policy also how many of them its rules keep and remove, which saves the audit its scan.
 
     A load without any row is an error and changes nothing. So is one that would take a month out of the table, because it
     could not be read or brought no rows, unless `drop_months` says that it may go.
@@ -38,12 +41,26 @@ def land_raw(
     lost = sorted(set(months_of(current(spark, base)[1])) - set(loaded))
     if lost and not drop_months and not keep_others:  # else it is known when the rows have been counted
         raise LostMonths(f"the load lacks months that the table holds: {', '.join(lost)}")
-    written = write_months(trips, base, loaded, keep_others, drop_months)
+    counts = {} if policy is None else {"clean_rows": rows_kept(trips, as_policy(policy))}
+    written = write_months(trips, base, loaded, keep_others, drop_months, counts=counts)
     if not written:
         raise ValueError(f"no rows in {', '.join(loaded)}: the table stays as it is")
-    rows = [(*r, written.get(month_label(r["month"]), 0) if r["status"] == "loaded" else None) for r in found]
-    load = spark.createDataFrame([(RAW_TABLE, sum(written.values()))], LOAD_REPORT)
-    return load, spark.createDataFrame(rows, f"{REPORT}, row_count bigint")
+    names = {"rows": "row_count", **{c: c for c in counts}}
+
+    def brought(r: Row) -> list[int | None]:
+        return [written.get(month_label(r["month"]), {}).get(c, 0) if r["status"] == "loaded" else None for c in names]
+
+    load = spark.createDataFrame([(RAW_TABLE, sum(known["rows"] for known in written.values()))], LOAD_REPORT)
+    columns = ", ".join(f"{name} bigint" for name in names.values())
+    months_report = spark.createDataFrame([(*r, *brought(r)) for r in found], f"{REPORT}, {columns}")
+    return load, months_report.selectExpr("*", "row_count - clean_rows AS removed_rows") if counts else months_report
+
+
+def rows_kept(trips: DataFrame, policy: CleaningPolicy) -> Column:
+    """The rows that a policy's rules keep, as an aggregate."""
+    if policy.drop_duplicates:
+        raise ValueError(f"copies of a trip are not known while it is written: no audit by {policy.name} in the load")
+    return F.count_if(F.expr(keeps(policy)))
 
 
 def refresh_star(raw: DataFrame, base: str, policy: str | CleaningPolicy = "code", **layout: Any) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, TypeVar
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.operators.clustering import BITS, interleaved, rank_bounds, rank_text
+from fareloom.operators.clustering import interleaved, rank_bounds, rank_text
 from fareloom.operators.quality import member_checks
 from fareloom.schemas import DIMENSIONS, FACT_TRIPS, MONTH_KEY, PICKUP_MONTH, conform
 from fareloom.sources.storage import Manifest, Overtaken, current, discard, dropping_scratch, new_load, publish
@@ -27,11 +27,15 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def counted_write(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
-    """Write and count in the same pass."""
+def observed_write(df: DataFrame, save: Callable[[DataFrame], None], counts: dict[str, Column]) -> dict[str, int]:
+    """Write and take these aggregates in the same pass."""
     seen = Observation()
-    save(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+    save(df.observe(seen, *[count.alias(name) for name, count in counts.items()]))
+    return seen.get
+
+
+def counted_write(df: DataFrame, save: Callable[[DataFrame], None]) -> int:
+    return observed_write(df, save, {"rows": F.count(F.lit(1))})["rows"]
 
 
 def load(table: str, job: Callable[[], T]) -> T:
@@ -55,9 +59,15 @@ def months_of(manifest: Manifest) -> dict[str, str]:
 
 
 def store_months(
-    df: DataFrame, root: str, months: Sequence[str] | None, max_records_per_file: int | None = None, mixed: bool = False
+    df: DataFrame,
+    root: str,
+    months: Sequence[str] | None,
+    max_records_per_file: int | None = None,
+    mixed: bool = False,
+    counts: dict[str, Column] | None = None,
 ) -> Manifest:
-    """Write rows by month key below `root`; returns what is known of each folder, relative to the one that holds `root`.
+    """Write rows by month key below `root`; returns what is known of each folder, relative to the one that holds `root`: its month,
+    rows, schema and, where months are named, `counts`, aggregates over its rows.
 
     With the months named, each is a job of its own, side by side: its tasks write one folder, so nothing is sorted, and its rows
     are counted as they are written. Over read_months such a job opens the files of its month only. Without, rows are sorted by month
@@ -66,23 +76,26 @@ def store_months(
     """
     spark = df.sparkSession
     schema = df.drop(MONTH_KEY).schema.json()
+    measures = {"rows": F.count(F.lit(1)), **(counts or {})}
 
-    def store(month: str) -> int:
+    def store(month: str) -> dict[str, int]:
         rows = df.where(F.col(MONTH_KEY) == month).drop(MONTH_KEY)
         target = f"{root}/{MONTH_KEY}={month}"
-        return counted_write(rows, lambda out: sized(out.write, max_records_per_file).mode("overwrite").parquet(target))
+        return observed_write(rows, lambda out: sized(out.write, max_records_per_file).mode("overwrite").parquet(target), measures)
 
     if months is not None:
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-            counts = dict(zip(months, pool.map(store, months), strict=True))
+            found = dict(zip(months, pool.map(store, months), strict=True))
     else:
         rows = df.hint("rebalance", F.col(MONTH_KEY)) if mixed else df
         sized(rows.write, max_records_per_file).mode("overwrite").partitionBy(MONTH_KEY).parquet(root)
         stored = spark.read.schema(f"{MONTH_KEY} string").parquet(root).groupBy(MONTH_KEY).agg(F.count(F.lit(1)).alias("n"))
-        counts = {r[MONTH_KEY]: r["n"] for r in stored.collect()}  # one row per month
+        found = {r[MONTH_KEY]: {"rows": r["n"]} for r in stored.collect()}  # one row per month
     load = root.rsplit("/", 1)[1]
     return {
-        f"{load}/{MONTH_KEY}={month}": {"month": month, "rows": n, "schema": schema} for month, n in counts.items() if n
+        f"{load}/{MONTH_KEY}={month}": {"month": month, **known, "schema": schema}
+        for month, known in found.items()
+        if known["rows"]
     }
 
 
@@ -92,9 +105,9 @@ def write_months(
     months: Sequence[str] | None = None,
     keep_others: bool = False,
     drop_months: bool = True,
-    **layout: Any,
-) -> dict[str, int]:
-    """Publish a version of the raw table with these rows; returns the rows of each month that was written.
+    **how: Any,
+) -> dict[str, dict[str, Any]]:
+    """Publish a version of the raw table with these rows; returns what is known of each month that was written, see store_months.
 
     `keep_others` leaves months that are not written as they are: the new version shares their folders with the one before, so a
     re-issued month costs that month. If another load has published meanwhile and its months are others, this one is built on it;
@@ -105,9 +118,9 @@ def write_months(
     began = number, before = current(spark, base)
     root = f"{base}/{RAW_TABLE}/load={new_load()}"
     try:
-        stored = load(RAW_TABLE, lambda: store_months(df, root, months, **layout))
+        stored = load(RAW_TABLE, lambda: store_months(df, root, months, **how))
         made = {f"{RAW_TABLE}/{folder}": known for folder, known in stored.items()}
-        written = {known["month"]: known["rows"] for known in made.values()}
+        written = {known["month"]: known for known in made.values()}
         if not written:
             discard(spark, root)
             return {}
@@ -134,7 +147,7 @@ def write_raw(df: DataFrame, base: str, max_records_per_file: int | None = None,
     """Replace the raw table with these rows, stored by month key, and report the rows written. With no rows at all the table that
     is there stays. See write_months."""
     written = write_months(df, base, max_records_per_file=max_records_per_file, mixed=mixed)
-    return df.sparkSession.createDataFrame([(RAW_TABLE, sum(written.values()))], LOAD_REPORT)
+    return df.sparkSession.createDataFrame([(RAW_TABLE, sum(known["rows"] for known in written.values()))], LOAD_REPORT)
 
 
 def time_layout(fact: DataFrame) -> DataFrame:
@@ -143,20 +156,16 @@ def time_layout(fact: DataFrame) -> DataFrame:
 
 
 def key_layout(fact: DataFrame) -> DataFrame:
-    """Rows of a month along a curve through pickup location, dropoff location and pickup time, in ranges of even size.
+    """Rows of a month along a curve through pickup and dropoff location, in ranges of even size, and by pickup time where they stand at
+    one place of it.
 
-    Reads the two location columns once for their ranks and shuffles the table once. Equal places on the curve follow pickup time and
-    trip id, so a hot place is dealt over as many files as it fills.
+    Reads the two location columns once for their ranks and shuffles the table once. Time and trip id are part of the order, so a hot
+    place is dealt over as many files as it fills.
     """
     columns = ["pu_location_key", "do_location_key"]
     bounds = rank_bounds(fact, columns)
-    hours = "((dayofmonth(pickup_datetime) - 1) * 24 + hour(pickup_datetime))"
-    ranks = [f"_rank_{k}" for k in range(3)]
-    cells = fact.selectExpr(
-        "*",
-        *[f"{rank_text(c, bounds[c])} AS {r}" for c, r in zip(columns, ranks, strict=False)],
-        f"CAST(floor({hours} * {2**BITS} / 744) AS INT) AS {ranks[2]}",
-    ).selectExpr(*fact.columns, f"{interleaved(ranks)} AS _cell")
+    ranks = [f"{rank_text(c, bounds[c])} AS _rank_{k}" for k, c in enumerate(columns)]
+    cells = fact.selectExpr("*", *ranks).selectExpr(*fact.columns, f"{interleaved(['_rank_0', '_rank_1'])} AS _cell")
     order = [PICKUP_MONTH, "_cell", "pickup_datetime", "trip_id"]
     return cells.repartitionByRange(*order).sortWithinPartitions(*order).drop("_cell")
 

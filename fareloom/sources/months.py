@@ -89,6 +89,46 @@ def open_all(spark: SparkSession, paths: list[str]) -> list[tuple[DataFrame | No
         return list(pool.map(lambda path: open_parquet(spark, path), paths))
 
 
+def open_together(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], DataFrame | None, str | None]]:
+    """(paths, table, reason): the paths in groups that read as one table, and those that hold none with the reason.
+
+    Spark merges the footers of a group in one job of many tasks, whatever the number of files. A group whose columns have types that
+    do not merge, or that holds a path without a table, is cut in two, down to single paths; so files that agree cost one job, and
+    each that does not a few more.
+    """
+    if len(paths) == 1:
+        return [(paths, *open_parquet(spark, paths[0]))]
+    try:
+        return [(paths, spark.read.option("mergeSchema", True).parquet(*paths), None)]
+    except Exception:  # whatever it is, single paths tell
+        half = len(paths) // 2
+        return open_together(spark, paths[:half]) + open_together(spark, paths[half:])
+
+
+def normalise_together(df: DataFrame) -> DataFrame:
+    """normalise_names for a table of many files: columns that become one name are one column where they come from different files,
+    and an error where a row has values in two of them."""
+    spellings: dict[str, list[str]] = {}
+    for c in df.columns:
+        spellings.setdefault(c.lower().strip(), []).append(c)
+    if len(spellings) == len(df.columns):
+        return normalise_names(df)
+    columns = []
+    for name, cs in spellings.items():
+        values = [F.col(quoted(c)) for c in cs]
+        if len(cs) == 1:
+            columns.append(values[0].alias(name))
+            continue
+        filled = sum((F.when(v.isNotNull(), 1).otherwise(0) for v in values), F.lit(0))
+        clash = F.raise_error(F.lit(f"columns share a name after normalisation: {name}"))
+        columns.append(F.when(filled > 1, clash).otherwise(F.coalesce(*values)).alias(name))
+    return df.select(*columns)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def read_months(
     spark: SparkSession, template: str, year: int, months: Iterable[int] = range(1, 13)
 ) -> tuple[DataFrame, DataFrame]:

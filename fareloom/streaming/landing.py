@@ -15,11 +15,10 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from fareloom.schemas import MONTH_KEY
 from fareloom.sinks.tables import store_months
-from fareloom.sources.months import month_label, nan_to_null, normalise_names, open_all, union_months
+from fareloom.sources.months import month_label, nan_to_null, normalise_together, open_together, union_months
 from fareloom.sources.storage import NUMBER, Manifest, create_new, discard, file_names, hadoop_path, new_load, read_parts
 
 MONTH_IN_PATH = re.compile(r"\d{4}-(\d{2})\.parquet(?:/|$)")  # a month is one file, or a folder of part files
@@ -33,7 +32,7 @@ def land_incremental(
 ) -> StreamingQuery:
     """Land every file that is new since the last run in `out`, then stop. Read the result with read_landed.
 
-    The stream carries file names; a batch reads its files as the batch job does, each in its own schema, so extra columns,
+    The stream carries file names; a batch reads its files as the batch job does, so extra columns,
     odd spellings and other types land as they do there. A batch that is run again replaces its folder, unless its log entry is
     there, so each file lands exactly once. Files whose path names no month, or that are no Parquet files, are listed in
     `out`/skipped and do not land; a file that cannot be read for another reason stops the stream. A file re-issued under its old name is not read again: replace the month with land_raw for that.
@@ -57,37 +56,30 @@ def land_incremental(
 
 
 def land_files(spark: SparkSession, paths: list[str], out: str, number: int) -> None:
-    """Write one batch: files of one month and schema are one scan."""
+    """Write one batch. Its footers are merged by one job, or a few where types differ; the files of one month and group are one
+    scan."""
     name = NUMBER.format(number)
     fs, entry = hadoop_path(spark, f"{out}/log/{name}")
     if fs.exists(entry):
         return
-    scans: dict[tuple[str, str], list[str]] = defaultdict(list)
-    schemas: dict[str, StructType] = {}
-    months: dict[str, str] = {}
-    skipped = []
-    for path in paths:
-        month = MONTH_IN_PATH.search(path)
-        if month is None:
-            skipped.append((path, "its path names no month"))
-        else:
-            months[path] = month_label(int(month[1]))
-    for path, (found, reason) in zip(months, open_all(spark, list(months)), strict=True):
-        if found is None:
-            skipped.append((path, reason))
+    months = {path: MONTH_IN_PATH.search(path) for path in paths}
+    skipped = [(path, "its path names no month") for path, month in months.items() if month is None]
+    named = {path: month_label(int(month[1])) for path, month in months.items() if month is not None}
+    frames = []
+    for group, table, reason in open_together(spark, list(named)) if named else []:
+        if table is None:
+            skipped += [(path, reason) for path in group]
             continue
-        schema = found.schema
-        schemas[schema.json()] = schema
-        scans[months[path], schema.json()].append(path)
+        by_month: dict[str, list[str]] = defaultdict(list)
+        for path in group:
+            by_month[named[path]].append(path)
+        for month, files in by_month.items():
+            rows = nan_to_null(normalise_together(spark.read.schema(table.schema).parquet(*files)))
+            frames.append(rows.withColumn(MONTH_KEY, F.lit(month)))
     if skipped:
         spark.createDataFrame(skipped, SKIPPED).write.mode("overwrite").json(f"{out}/skipped/{number}")
-    frames = [
-        nan_to_null(normalise_names(spark.read.schema(schemas[schema]).parquet(*files))).withColumn(MONTH_KEY, F.lit(month))
-        for (month, schema), files in scans.items()
-    ]
     if frames:
-        brought = sorted({month for month, _ in scans})
-        folders = store_months(union_months(frames), f"{out}/batches/load={name}", brought)
+        folders = store_months(union_months(frames), f"{out}/batches/load={name}", sorted(set(named.values())))
         log_batch(spark, out, name, folders, [])
 
 

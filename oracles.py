@@ -344,6 +344,7 @@ ORACLES: dict[str, str] = {
     "monthly_landing": sql(drifted("trips_raw"), "trips_raw"),
     "streaming_landing": sql(drifted("trips_raw"), "trips_raw"),
     "compacted_landing": sql(drifted("trips_raw"), "trips_raw"),
+    "landing_audit": sql(audit("code"), "trips_raw"),
     "month_refresh": sql(
         f"SELECT *, CASE WHEN _month_key = 'month_03' THEN TRUE END AS reissued FROM ({drifted('trips_raw')}) WHERE {REISSUED}",
         "trips_raw",

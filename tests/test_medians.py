@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from fareloom.operators import impute_upper_median, upper_medians
+from fareloom.operators import impute_upper_median, medians, upper_medians
 from fareloom.operators.medians import median_values
 
 TINY = {"slots": 4}
@@ -77,3 +77,48 @@ def test_imputation_keeps_types_and_other_rows(spark):
     out = impute_upper_median(df, ["x", "n"])
     assert out.schema.simpleString() == "struct<x:double,n:int>"
     assert [tuple(r) for r in out.collect()] == [(1.5, 6), (9.5, 4), (9.5, 6), (9.5, 8)]
+
+
+def median_scans(spark, monkeypatch, df, cols, **limits):
+    """(medians, how often the input was read): every read comes through one of the two passes."""
+    reads = []
+    for name in ("outlines", "counted_values"):
+        passed = getattr(medians, name)
+        monkeypatch.setattr(medians, name, lambda *a, passed=passed, name=name: reads.append(name) or passed(*a))
+    return medians.median_values(df, cols, **limits), reads
+
+
+@pytest.mark.parametrize("spread", ["even", "exponents", "hot", "two"])
+def test_the_input_is_read_twice_whatever_its_values(spark, monkeypatch, spread):
+    """More rows than the sketch is exact for, so the bracket is a small part of them."""
+    value = {
+        "even": "rand(1) * 1e6",
+        "exponents": "pow(10D, rand(2) * 600 - 300) * IF(rand(3) < 0.5, -1, 1)",
+        "hot": "IF(id % 3 = 0, 7D, rand(4) * 20)",
+        "two": "IF(id % 2 = 0, -1e308, 1e308)",
+    }[spread]
+    df = spark.range(0, 60_000, 1, 7).selectExpr(f"CAST({value} AS DOUBLE) AS x", "id * 1000003 % 9007199254740993 AS n")
+    found, reads = median_scans(spark, monkeypatch, df, ["x", "n"], slots=8)
+    rows = df.collect()
+    assert found == {"x": sorted_pick([r.x for r in rows]), "n": sorted_pick([r.n for r in rows])}
+    assert reads == ["outlines", "counted_values"]
+
+
+def test_only_the_bracket_is_kept(spark, monkeypatch):
+    kept = []
+    stage = medians.stage
+    monkeypatch.setattr(medians, "stage", lambda df, label: kept.append(stage(df, label)) or kept[-1])
+    counts = []
+    found_brackets = medians.brackets_of
+    monkeypatch.setattr(medians, "brackets_of", lambda c, *a: counts.append(c.count()) or found_brackets(c, *a))
+    df = spark.range(0, 200_000, 1, 7).selectExpr("rand(5) AS x")
+    median_values(df, ["x"])
+    assert len(kept) == 1 and counts[0] < 200_000 * 20 / medians.ACCURACY
+
+
+def test_a_sketch_that_misses_costs_a_scan_and_not_the_result(spark, monkeypatch):
+    outlines = medians.outlines
+    wrong = lambda df, values: {c: medians.Outline(o.rows, 5.0, 6.0) for c, o in outlines(df, values).items()}
+    monkeypatch.setattr(medians, "outlines", wrong)
+    df = spark.createDataFrame([(float(i), i) for i in range(101)], "x double, n int")
+    assert medians.median_values(df, ["x", "n"]) == {"x": 50.0, "n": 50}

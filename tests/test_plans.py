@@ -109,3 +109,26 @@ def test_no_plan_uses_a_cross_join_or_python(spark):
         text = plan(entry_point.queries()[name](spark, SF))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
             assert word not in text, name
+
+
+def test_rejects_take_one_scan(raw):
+    for df in (
+        ops.rejected_trips(raw),
+        ops.rejected_trips(raw, "documented"),
+        plans.reject_reasons(raw),
+        plans.reject_reasons(raw, "documented"),
+    ):
+        assert plan(df).count("FileScan parquet") == 1
+
+
+def test_expectations_are_lazy(raw):
+    """Building them runs no job; a dimension's check reads its key alone."""
+    tracker = raw.sparkSession.sparkContext.statusTracker()
+    dims = plans.build_dims(raw)
+    raw.sparkSession.sparkContext.setJobGroup("expectations", "expectations")
+    checks = ops.expectations(raw, dims)
+    assert tracker.getJobIdsForGroup("expectations") == []
+    assert checks.where("NOT passed").isEmpty() and checks.count() == 15
+    missing = ops.expectations(raw.drop("_month_key").where("false"), {n: d for n, d in dims.items() if n != "dim_vendor"})
+    failed = {(r["check_name"], r["table_name"]) for r in missing.where("NOT passed").collect()}
+    assert failed == {("has_rows", "raw"), ("has_column__month_key", "raw"), ("is_present", "dim_vendor")}

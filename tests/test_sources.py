@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from fareloom.schemas import PEOPLE, RAW
 from fareloom.sinks import write_csv
-from fareloom.sources import nan_to_null, normalise_names, query_tables, read_csv, read_months, with_missing_columns
+from fareloom.sources import months, nan_to_null, normalise_names, query_tables, read_csv, read_months, with_missing_columns
 from tests.trips import trip, trips
 
 
@@ -91,3 +92,54 @@ def test_csv_round_trip(spark, tmp_path):
 def test_sql_text_over_tables(spark):
     found = query_tables(spark, "SELECT count(*) AS n FROM {trips} WHERE vendorid = 1", trips=trips(spark, [trip(), trip(vendorid=2)]))
     assert found.first().n == 1
+
+
+# errors
+
+
+class Flaky:
+    """A reader whose store does not answer so many times."""
+
+    def __init__(self, spark, times):
+        self.spark, self.times, self.calls = spark, times, 0
+        self.read = self
+
+    def parquet(self, path):
+        self.calls += 1
+        if self.calls <= self.times:
+            raise OSError(f"connection reset while reading {path}")
+        return self.spark.read.parquet(path)
+
+
+def test_a_store_that_fails_twice_is_asked_again(spark, tmp_path):
+    save(trips(spark, [trip()]), tmp_path, 1)
+    path = f"{tmp_path}/trips_2025-01.parquet"
+    flaky = Flaky(spark, 2)
+    found, reason = months.open_parquet(flaky, path, pause=0.01)
+    assert reason is None and found.count() == 1 and flaky.calls == 3
+
+
+def test_a_store_that_does_not_answer_stops_the_load(spark, tmp_path, template, monkeypatch):
+    save(trips(spark, [trip()]), tmp_path, 1)
+    flaky = Flaky(spark, 99)
+    with pytest.raises(OSError, match="in 3 tries: connection reset"):
+        months.open_parquet(flaky, f"{tmp_path}/trips_2025-01.parquet", pause=0.01)
+    assert flaky.calls == 3
+    opened = months.open_parquet
+    monkeypatch.setattr(months, "open_parquet", lambda s, p: opened(Flaky(s, 99) if "-02" in p else s, p, pause=0.01))
+    with pytest.raises(OSError, match="2025-02"):
+        read_months(spark, template, 2025, range(1, 4))
+
+
+def test_missing_and_broken_months_are_not_tried_again(spark, tmp_path, template):
+    save(trips(spark, [trip()]), tmp_path, 1)
+    (tmp_path / "trips_2025-02.parquet").write_text("not parquet")
+    (tmp_path / "trips_2025-03.parquet").write_bytes(b"PAR1" + b"x" * 200 + b"PAR1")
+    (tmp_path / "trips_2025-04.parquet").mkdir()
+    (tmp_path / "trips_2025-05.parquet").write_text("")
+    start = time.perf_counter()
+    _, report = read_months(spark, template, 2025, range(1, 7))
+    why = {r.month: (r.status, r.error or "") for r in report.collect()}
+    assert time.perf_counter() - start < 10 and why[1][0] == "loaded" and {s for m, (s, _) in why.items() if m > 1} == {"skipped"}
+    for month, words in ((2, "not a Parquet file"), (3, "corrupted"), (4, "UNABLE_TO_INFER"), (5, "not a Parquet file"), (6, "PATH_NOT_FOUND")):
+        assert words in why[month][1]

@@ -7,10 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from fareloom.fixtures import trips_raw
 from fareloom.plans import land_raw, refresh_star
-from fareloom.sources import read_raw
+from fareloom.sources import months, read_raw
 from fareloom.streaming import compact_landed, drop_compacted, land_incremental, landing, read_landed
 from tests.trips import trip, trips
 
@@ -173,3 +174,54 @@ def test_thousands_of_batches_are_planned_in_seconds(spark, tmp_path):
     assert landed.count() == 2000
     assert compact_landed(spark, str(out)).count() == 1999 and drop_compacted(spark, str(out))
     assert len(list(Path(out / "batches").iterdir())) == 2 and read_landed(spark, str(out)).count() == 2000
+
+
+def test_footers_of_many_files_are_read_by_one_job(spark, tmp_path):
+    """Three hundred files with other columns and spellings; then some whose types differ, which costs a job for each cut."""
+    (tmp_path / "in").mkdir()
+    kinds = {
+        "plain": trips(spark, [trip(airport_fee=1.0)]),
+        "spelt": trips(spark, [trip(airport_fee=2.0)]).withColumnRenamed("airport_fee", "Airport_fee "),
+        "extra": trips(spark, [trip(airport_fee=3.0)]).withColumn("cbd_fee", F.lit(0.75)),
+    }
+    made = {}
+    for name, df in kinds.items():
+        df.drop("_month_key").coalesce(1).write.parquet(str(tmp_path / "made" / name))
+        (made[name],) = (tmp_path / "made" / name).glob("part-*.parquet")
+    paths = []
+    for n in range(300):
+        path = tmp_path / "in" / f"{n:03d}_2025-{1 + n % 12:02d}.parquet"
+        shutil.copy(made[list(kinds)[n % 3]], path)
+        paths.append(str(path))
+    sc = spark.sparkContext
+    sc.setJobGroup("footers", "footers")
+    groups = months.open_together(spark, paths)
+    assert len(groups) == 1 and len(sc.statusTracker().getJobIdsForGroup("footers")) <= 2  # one lists the paths, one reads
+    sc.setJobGroup("other", "other")
+    landed = land(spark, tmp_path)
+    assert landed.count() == 300 and landed.where("cbd_fee = 0.75").count() == 100
+    fees = {r.airport_fee: r["count"] for r in landed.groupBy("airport_fee").count().collect()}
+    assert fees == {1.0: 100, 2.0: 100, 3.0: 100}
+
+
+def test_groups_are_cut_where_types_differ_or_a_file_is_broken(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(8):
+        df = trips(spark, [trip()])
+        if n == 2:
+            df = df.withColumn("vendorid", F.col("vendorid").cast("int"))
+        save(df, tmp_path / "in", n + 1)
+    (tmp_path / "in" / "bad_2025-11.parquet").write_text("not parquet")
+    paths = sorted(str(p) for p in (tmp_path / "in").iterdir())
+    groups = months.open_together(spark, paths)
+    assert sorted(p for g, _, _ in groups for p in g) == paths and len(groups) < len(paths)
+    assert [g for g, table, reason in groups if table is None and "not a Parquet" in reason] == [[str(tmp_path / "in" / "bad_2025-11.parquet")]]
+    landed = land(spark, tmp_path)
+    assert landed.count() == 8 and landed.schema["vendorid"].dataType.simpleString() == "bigint"
+    assert spark.read.json(str(tmp_path / "out" / "skipped" / "*")).count() == 1
+
+
+def test_one_file_with_both_spellings_is_an_error(spark, tmp_path):
+    df = trips(spark, [trip(airport_fee=1.0)]).withColumn(" Airport_fee", F.lit(2.0)).drop("_month_key")
+    with pytest.raises(Exception, match="share a name"):
+        months.normalise_together(df).collect()
