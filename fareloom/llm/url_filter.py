@@ -1,38 +1,43 @@
 """URL rules looked up in a sorted array of 64-bit digests.
 
-A rule is a host and the start of a path, like `example.net/en/`. The index has three files: the rules' digests in order,
-the place of each rule's string, and the strings. Spark sorts the rules, the driver streams them into the shared folder, and
-addFile brings the files to every executor, where tasks map them into memory: the index may be larger than memory.
+A rule is a host and the start of a path, like `example.net/en/`. Rules are range-partitioned by digest, and each task writes its sorted
+run into the shared folder: digests in order, the place of each string, and the strings, to be mapped into memory where they
+are. Beside the rules there is such an index of their hosts, with the lengths of the paths that follow each. The driver knows of a run
+its first digest and no more; no rule passes through it, and executors read the pages of a run that their probes touch.
 
-For a URL every host suffix is joined with every start of its path that has the length of some rule's path. The digests
-of these keys are looked up by one binary search per batch, and a digest that is found counts only if the stored
-string equals the key. The longest rule wins, of equally long ones that with the longer host.
+Every suffix of a URL's host is looked up among the rules' hosts; those found are joined with the starts of the path that have a
+length known for that host, and these keys are looked up among the rules. A look-up is one binary search in each run that digests
+of the slice fall to, and a digest that is found counts only if the stored string equals the key. The longest rule wins,
+of equally long ones that with the longer host.
 
 Null URLs and those without `://` have an empty host and path and fit no rule. Rules repeated with other verdicts block.
-Without a rule the verdict is `allow`. Rows are judged one by one, repeated ones alike.
+Without a rule the verdict is `allow`. Rows are judged one by one, repeated ones alike. URLs of any length cost their host's dots
+and the lengths known for its suffixes. An empty table of pages gives no rows; without rules all are allowed. The input row travels as one
+struct, so its columns cannot clash.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable, Iterator
+import re
+import uuid
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from fareloom.llm.common import quoted, read_table, whole_row
-from fareloom.sources.storage import hadoop_path, scratch_path
+from fareloom.llm.common import open_file, quoted, read_table, slices, whole_row
+from fareloom.sources.storage import scratch_path, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEED = 42  # of Spark's xxhash64
-STREAMED = 50_000  # rules written at once
+RUN = 1_000_000  # rules of a run
+OPEN_RUNS = 64  # runs that a worker keeps mapped
 
 # The rules the query judges by.
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -47,107 +52,156 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
+class Run:
+    """A run's file: the number of entries, their digests, their places, and the entries, each a key, a tab and a value."""
+
+    def __init__(self, path: str):
+        local = re.sub("^file:/*", "/", path)
+        if os.path.exists(local):
+            raw = np.memmap(local, np.uint8, "r")
+        else:
+            with open_file(path, "rb") as f:
+                raw = np.frombuffer(f.read(), np.uint8)
+        n = int(raw[:8].view(np.int64)[0])
+        self.digests = raw[8 : 8 + 8 * n].view(np.int64)
+        self.places = raw[8 + 8 * n : 16 + 16 * n].view(np.int64)
+        self.strings = raw[16 + 16 * n :]
+
+    def probe(self, digests: np.ndarray, keys: list[bytes], which: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(place in `which`, value) of the keys that are there."""
+        at = np.searchsorted(self.digests, digests)
+        near = np.minimum(at, len(self.digests) - 1)
+        for k in np.flatnonzero(self.digests[near] == digests).tolist():
+            value = self.value(int(at[k]), keys[which[k]], int(digests[k]))
+            if value is not None:
+                yield k, value
+
+    def value(self, at: int, key: bytes, digest: int) -> bytes | None:
+        """The value stored with a key, looked for among all entries of its digest."""
+        while at < len(self.digests) and self.digests[at] == digest:
+            found, _, value = self.strings[self.places[at] : self.places[at + 1]].tobytes().rpartition(b"\t")
+            if found == key:
+                return value
+            at += 1
+        return None
+
+
+@lru_cache(maxsize=OPEN_RUNS)
+def open_run(path: str) -> Run:
+    return Run(path)
+
+
 class DigestIndex:
-    """The files of an index, mapped into memory."""
+    """Runs in order of their digests: (path, first digest) of each."""
+
+    def __init__(self, runs: list[tuple[str, int]]):
+        self.paths = [path for path, _ in runs]
+        self.firsts = np.array([first for _, first in runs], np.int64)
+
+    def find(self, keys: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """(place in `keys`, value) of the keys that are there."""
+        digests = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in keys), np.uint64, len(keys)).view(np.int64)
+        run_of = np.searchsorted(self.firsts, digests, "right") - 1
+        for r in np.unique(run_of).tolist():
+            if r >= 0:
+                which = np.flatnonzero(run_of == r)
+                for k, value in open_run(self.paths[r]).probe(digests[which], keys, which):
+                    yield int(which[k]), value
 
-    def __init__(self, folder: str, names: tuple[str, str, str], lengths: list[int], longest_host: int):
-        digests, places, strings = (os.path.join(folder, n) for n in names)
-        self.digests = np.memmap(digests, np.int64, "r") if os.path.getsize(digests) else np.empty(0, np.int64)
-        self.places = np.memmap(places, np.int64, "r")
-        self.strings = np.memmap(strings, np.uint8, "r") if os.path.getsize(strings) else np.empty(0, np.uint8)
-        self.lengths, self.longest_host = lengths, longest_host
 
-    def keys(self, host: str, path: str) -> Iterator[tuple[int, str]]:
-        """(host length, key) of every rule that could fit."""
+class RuleIndex:
+    """The rules, the hosts they are for, and the longest of these."""
+
+    def __init__(self, rules: list[tuple[str, int]], hosts: list[tuple[str, int]], longest_host: int):
+        self.rules, self.hosts, self.longest_host = DigestIndex(rules), DigestIndex(hosts), longest_host
+
+    def suffixes(self, host: str) -> Iterator[str]:
         start = max(0, len(host) - self.longest_host)
         if start and host[start - 1] != ".":
             start = host.find(".", start) + 1 or len(host)
         while start < len(host):
-            for n in self.lengths:
-                if n <= len(path):
-                    yield len(host) - start, host[start:] + path[:n]
+            yield host[start:]
             start = host.find(".", start) + 1 or len(host)
 
-    def verdict(self, at: int, key: bytes, digest: int) -> str | None:
-        """The verdict stored with a key, looked for among all rules of its digest."""
-        while at < len(self.digests) and self.digests[at] == digest:
-            rule, _, verdict = self.strings[self.places[at] : self.places[at + 1]].tobytes().rpartition(b"\t")
-            if rule == key:
-                return verdict.decode()
-            at += 1
-        return None
-
-    def judge(self, hosts: Iterable[str], paths: Iterable[str]) -> list[tuple[str | None, str | None]]:
+    def judge(self, hosts: list[str], paths: list[str]) -> list[tuple[str | None, str | None]]:
         """(rule, verdict) of each URL."""
-        owners, sizes, keys = [], [], []
-        best: list[tuple[tuple[int, int], str | None, str | None]] = []
-        for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
-            best.append(((-1, -1), None, None))
-            for size, key in self.keys(host, path):
-                owners.append(i)
-                sizes.append(size)
-                keys.append(key)
-        raw = [k.encode() for k in keys]
-        digests = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in raw), np.uint64, len(raw)).view(np.int64)
-        at = np.searchsorted(self.digests, digests)
-        found = np.flatnonzero(self.digests[np.minimum(at, len(self.digests) - 1)] == digests) if len(self.digests) else []
-        for j in map(int, found):
-            verdict = self.verdict(int(at[j]), raw[j], int(digests[j]))
-            rank = (len(keys[j]), sizes[j])
-            if verdict is not None and rank > best[owners[j]][0]:
-                best[owners[j]] = (rank, keys[j], verdict)
+        named = [(i, suffix) for i, host in enumerate(hosts) for suffix in self.suffixes(host)]
+        keys: list[tuple[int, str, int]] = []
+        for j, lengths in self.hosts.find([suffix.encode() for _, suffix in named]):
+            i, suffix = named[j]
+            keys += [(i, suffix + paths[i][:n], len(suffix)) for n in map(int, lengths.split(b",")) if n <= len(paths[i])]
+        best: list[tuple[tuple[int, int], str | None, str | None]] = [((-1, -1), None, None)] * len(hosts)
+        for j, verdict in self.rules.find([key.encode() for _, key, _ in keys]):
+            i, key, size = keys[j]
+            rank = (len(key), size)
+            if rank > best[i][0]:
+                best[i] = (rank, key, verdict.decode())
         return [(rule, verdict) for _, rule, verdict in best]
 
 
-@lru_cache(maxsize=4)
-def open_index(names: tuple[str, str, str], lengths: tuple[int, ...], longest_host: int) -> DigestIndex:
-    return DigestIndex(SparkFiles.getRootDirectory(), names, list(lengths), longest_host)
+def run_batches(folder: str, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(digest, entry) in order -> (path, first), a row per run written: of about `most` entries, all of a digest in one."""
+
+    def close(digests: list[int], entries: list[bytes]) -> pa.RecordBatch:
+        path = f"{folder}/{uuid.uuid4().hex}.run"
+        places = np.cumsum([0, *map(len, entries)], dtype=np.int64)
+        with open_file(path, "wb") as f:
+            f.write(np.int64(len(digests)).tobytes() + np.array(digests, np.int64).tobytes() + places.tobytes())
+            f.write(b"".join(entries))
+        return pa.record_batch([pa.array([path]), pa.array([digests[0]], pa.int64())], names=["path", "first"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digests: list[int] = []
+        entries: list[bytes] = []
+        for batch in batches:
+            for digest, entry in zip(batch["digest"].to_pylist(), batch["entry"].to_pylist(), strict=True):
+                if len(digests) >= most and digest != digests[-1]:
+                    yield close(digests, entries)
+                    digests, entries = [], []
+                digests.append(digest)
+                entries.append(entry)
+        if digests:
+            yield close(digests, entries)
+
+    return run
 
-def build_index(rules: DataFrame) -> tuple[tuple[str, str, str], tuple[int, ...], int]:
-    """Write the index of (rule, verdict) rows and send it to the executors; what open_index needs to map it."""
-    spark = rules.sparkSession
+
+def write_runs(entries: DataFrame, most: int = RUN) -> list[tuple[str, int]]:
+    """(path, first digest) of the runs of (key, value) rows, in order; a row for every `most` of them comes to the driver."""
+    folder = scratch_path(entries.sparkSession, "urls")
+    entry = F.encode(F.concat("key", F.lit("\t"), "value"), "UTF-8").alias("entry")
+    ready = stage(entries.select(F.xxhash64("key").alias("digest"), entry), "digests")
+    parts = max(1, -(-ready.count() // most))
+    ordered = ready.repartitionByRange(parts, "digest").sortWithinPartitions("digest", "entry")
+    written = stage(ordered.mapInArrow(run_batches(folder, most), "path string, first bigint"), "runs")
+    return [(r["path"], r["first"]) for r in written.orderBy("first").collect()]
+
+
+def build_index(rules: DataFrame) -> RuleIndex:
+    """The index of (rule, verdict) rows."""
     slash = F.instr("rule", "/")
     host = F.when(slash > 0, F.substring("rule", F.lit(1), slash - 1)).otherwise(F.col("rule"))
     path = F.substring("rule", F.length(host) + 1, F.length("rule"))
-    ready = (
+    ready = stage(
         rules.where("rule IS NOT NULL AND verdict IS NOT NULL")
         .select(F.translate(host, UPPER, LOWER).alias("host"), path.alias("path"), "verdict")
         .where("host <> ''")
         .groupBy("host", "path")
-        .agg(F.max("verdict").alias("verdict"))
-        .select("host", "path", F.concat("host", "path").alias("rule"), "verdict")
+        .agg(F.max("verdict").alias("verdict")),
+        "rules",
     )
-    lengths = sorted(r["n"] for r in ready.select(F.length("path").alias("n")).distinct().collect())
+    lengths = F.array_join(F.sort_array(F.collect_set(F.length("path"))).cast("array<string>"), ",")  # as many as lengths
     longest = ready.agg(F.coalesce(F.max(F.length("host")), F.lit(0)).alias("n")).first()["n"]
-    folder = scratch_path(spark, "urls")
-    tag = os.path.basename(folder)
-    names = (f"{tag}.digests", f"{tag}.places", f"{tag}.strings")
-    streams = []
-    for name in names:
-        fs, found = hadoop_path(spark, f"{folder}/{name}")
-        streams.append(fs.create(found, True))
-    digests, places, strings = streams
-    total = 0
-    places.write(bytearray(np.int64(0).tobytes()))
-    entry = F.encode(F.concat("rule", F.lit("\t"), "verdict"), "UTF-8")
-    rows = ready.select(F.xxhash64("rule").alias("digest"), entry.alias("entry")).orderBy("digest", "entry").toLocalIterator()
-    while part := list(islice(rows, STREAMED)):
-        ends = total + np.cumsum([len(r["entry"]) for r in part])
-        total = int(ends[-1])
-        digests.write(bytearray(np.array([r["digest"] for r in part], np.int64).tobytes()))
-        places.write(bytearray(ends.astype(np.int64).tobytes()))
-        strings.write(bytearray(b"".join(bytes(r["entry"]) for r in part)))
-    for name, stream in zip(names, streams, strict=True):
-        stream.close()
-        spark.sparkContext.addFile(f"{folder}/{name}")
-    return names, tuple(lengths), longest
-
-
-def judge_batches(index: tuple) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return RuleIndex(
+        write_runs(ready.select(F.concat("host", "path").alias("key"), F.col("verdict").alias("value"))),
+        write_runs(ready.groupBy(F.col("host").alias("key")).agg(lengths.alias("value"))),
+        longest,
+    )
+
+
+def judge_batches(rules: RuleIndex) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules = open_index(*index)
-        for batch in batches:
+        for batch in slices(batches):
             found = rules.judge(batch["host"].to_pylist(), batch["path"].to_pylist())
             columns = [pa.array([f[i] for f in found], pa.string()) for i in (0, 1)]
             yield pa.record_batch([*batch.columns, *columns], names=["row", "host", "path", "rule", "verdict"])

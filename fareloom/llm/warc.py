@@ -22,11 +22,10 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import quoted, read_table
+from fareloom.llm.common import open_file, quoted, read_table
 from fareloom.sources.storage import scratch_path, stage
 
 MIN_REVISIT = 1_000
@@ -41,14 +40,6 @@ SKIPPABLE = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def open_file(path: str, mode: str):
-    """A file in the shared folder: a mounted path, or any store that pyarrow knows by its address."""
-    if path.startswith("file:") or "://" not in path:
-        return open(re.sub("^file:/*", "/", path), mode)
-    store, name = arrow_fs.FileSystem.from_uri(path)
-    return store.open_input_stream(name) if mode == "rb" else store.open_output_stream(name)
-
-
 def record_id(page_id: str | None, payload_digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{payload_digest}')}>"
 
