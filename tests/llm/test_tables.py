@@ -114,6 +114,41 @@ def test_weak_parts_are_reported_together_only(documents):
     assert found[2] == found[3] == found[4] == found[5] == [None] and found[6] == [None, None]
 
 
+def plain_spans(text):
+    """Base spans, and weak ones with a complementary part near them, pair by pair."""
+    base = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in plain.base_spans(text))]
+    weak = [(k, m.start(), m.end()) for k, p in credentials.WEAK.items() for m in re.finditer(p, text, re.A)]
+    found = list(base)
+    for kind, start, end in weak:
+        role, linked = credentials.ROLES[kind], False
+        for other, a, b in base + weak:
+            apart = b <= start or end <= a
+            near = b >= start - credentials.SCOPE and a <= end + credentials.SCOPE
+            linked |= apart and near and (role == "secret") != (credentials.ROLES[other] == "secret")
+        if linked and not any(a < end and start < b for _, a, b in base):
+            found.append((kind, start, end))
+    return sorted(found)
+
+
+def test_linked_spans_equal_all_pairs_of_random_texts(documents):
+    draw = random.Random(11)
+    parts = [
+        "client_id = acme77", "app-name: x.y@z", KEY, f"k={KEY}==", "https://db.example.com/x", "postgres://u@h/db", "é",
+        "password=0123456789abcdef", "token: short", "AKIA" + "B7" * 8, "0123456789abcdef0", "plain words", "A1b2" * 9,
+    ]
+    texts = {}
+    for i in range(150):
+        said = [draw.choice(parts) + draw.choice([" ", "\n", "; ", "." * draw.randrange(400), " " * draw.randrange(280)]) for _ in range(draw.randint(0, 14))]
+        texts[i] = "".join(said)
+    found = spans_of(documents(*texts.items()))
+    weak = 0
+    for i, text in texts.items():
+        wanted = plain_spans(text)
+        weak += sum(k in credentials.WEAK for k, _, _ in wanted)
+        assert sorted(x for x in found[i] if x) == wanted, text
+    assert weak > 100
+
+
 def test_weak_secrets_right_after_an_equals_sign(documents):
     secrets = ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "aB3dE5gH7jK9mN1pQ3sT5vW7" * 3 + "==", KEY, f"{KEY}="]
     forms = [
@@ -176,14 +211,42 @@ def test_rules_of_any_length_and_collisions(spark, monkeypatch):
     assert url_filter.judge_urls(pages, spark.createDataFrame([], "rule string, verdict string")).where("verdict = 'allow'").count() == 8
 
 
-def test_a_collision_needs_the_string(tmp_path):
+def run_file(path, digests, entries):
     import numpy as np
 
-    (tmp_path / "d").write_bytes(np.array([5, 5], np.int64).tobytes())
-    (tmp_path / "p").write_bytes(np.array([0, 7, 14], np.int64).tobytes())
-    (tmp_path / "s").write_bytes(b"a/\tdenyb/\tdeny")
-    index = url_filter.DigestIndex(str(tmp_path), ("d", "p", "s"), [1], 9)
-    assert index.verdict(0, b"b/", 5) == "deny" and index.verdict(0, b"c/", 5) is None
+    places = np.cumsum([0, *map(len, entries)], dtype=np.int64)
+    path.write_bytes(np.int64(len(digests)).tobytes() + np.array(digests, np.int64).tobytes() + places.tobytes() + b"".join(entries))
+    return url_filter.Run(str(path))
+
+
+def test_a_collision_needs_the_string(tmp_path):
+    run = run_file(tmp_path / "r", [5, 5], [b"a/\tdeny", b"b/\tdeny"])
+    assert run.value(0, b"b/", 5) == b"deny" and run.value(0, b"c/", 5) is None
+
+
+def test_many_rules_in_runs(spark, monkeypatch):
+    """Two hundred path lengths and many small runs; every verdict as found rule by rule."""
+    draw = random.Random(7)
+    hosts = [f"h{i}.example.{t}" for i in range(60) for t in ("com", "net")] + ["com", "example.net"]
+    rules = {}
+    for _ in range(4000):
+        rules[draw.choice(hosts) + "/" + "ab"[draw.randrange(2)] * draw.randrange(200)] = draw.choice(["block", "allow"])
+    urls = [f"https://{'www.' * draw.randrange(3)}{draw.choice(hosts)}/{'ab'[draw.randrange(2)] * draw.randrange(260)}?q" for _ in range(600)]
+    build = url_filter.write_runs
+    made = []
+    monkeypatch.setattr(url_filter, "write_runs", lambda entries: made.append(build(entries, 300)) or made[-1])
+    extra = "host string, path string, rule string, digest long, key string"
+    pages = spark.createDataFrame([(i, u, "h", "p", "r", 7, "k") for i, u in enumerate(urls)], f"page_id long, url string, {extra}")
+    table = spark.createDataFrame(list(rules.items()), "rule string, verdict string")
+    judged = url_filter.judge_urls(pages, table)
+    got = {r["row"]["page_id"]: (r["rule"], r["verdict"]) for r in judged.collect()}
+    assert len(made[0]) >= 10 and made[0] == sorted(made[0], key=lambda r: r[1])
+    for i, url in enumerate(urls):
+        host, _, path = url.removeprefix("https://").split("?")[0].partition("/")
+        parts = host.split(".")
+        fits = [r for k in range(len(parts)) for n in range(len(path) + 1) if (r := ".".join(parts[k:]) + "/" + path[:n]) in rules]
+        wanted = max(fits, key=len, default=None)
+        assert got[i] == (wanted, rules.get(wanted, "allow"))
 
 
 # archives
