@@ -48,6 +48,7 @@ PEOPLE_COLUMNS = {
     "SibSp": "INTEGER",
     "Survived": "INTEGER",
 }
+# The columns of the fact table in their order, and the order of trips.
 FACT_COLUMNS = (
     "vendor_key, payment_type_key, pu_location_key, do_location_key, datetime_key, pickup_datetime, dropoff_datetime, "
     "passenger_count, trip_distance, trip_duration_min, fare_amount, tip_amount, tolls_amount, total_amount"
@@ -59,7 +60,8 @@ TRIP_ORDER = (
 
 
 def cents(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38, 10)), 2) AS DOUBLE)"
+    """Rounded to cents as PostgreSQL does it: the double's first 15 digits as a decimal, half away from zero."""
+    return f"CAST(round(CAST(format('{{:.15g}}', {x}) AS DECIMAL(38, 18)), 2) AS DOUBLE)"
 
 
 def keeps(policy: str) -> str:
