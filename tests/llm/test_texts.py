@@ -12,7 +12,6 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fareloom.llm import bpe_counts, lattice_lm, near_dedup
@@ -238,63 +237,6 @@ def test_chains_of_edited_copies(documents, monkeypatch):
     assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in found} == plain.near_classes(docs, 3, 85)
 
 
-def templated(n, draw):
-    """Pages of one template, 160 of 220 words the same: they agree in bands, but no two are linked."""
-    shared = [f"t{i}" for i in range(160)]
-    for i in range(n):
-        words, own = [], [f"u{i}x{j}" for j in range(60)]
-        for j, w in enumerate(shared):
-            words.append(w)
-            if j % 8 in (0, 3, 6):
-                words.append(own.pop())
-        yield i, " ".join(words)
-
-
-def sets_met(spark, docs, monkeypatch):
-    """Sets that are held or stream past in the last comparison."""
-    met = []
-    stage = near_dedup.stage
-
-    def counted(df, label):
-        out = stage(df, label)
-        if label == "areas":
-            sizes = out.groupBy("area", "bucket").agg(F.count_if("held").alias("p"), F.count(F.lit(1)).alias("m"))
-            for r in sizes.collect():
-                met.append(r.p * -(-r.m // near_dedup.STREAMED) + r.m * max(1, -(-r.p // near_dedup.HELD)))
-        return out
-
-    monkeypatch.setattr(near_dedup, "stage", counted)
-    found = near_dedup.near_duplicates(docs).collect()
-    monkeypatch.setattr(near_dedup, "stage", stage)
-    return sum(met), {r["id"]: r["component_id"] for r in found}
-
-
-def test_templated_pages_do_not_meet_all_against_all(spark, documents, monkeypatch):
-    monkeypatch.setattr(near_dedup, "HELD", 16)
-    met = []
-    for n in (150, 300):
-        pages = list(templated(n, random.Random(5)))
-        near = [(10_000 + i, text.replace(" t7 ", " other ")) for i, text in pages[::30]]
-        many, classes = sets_met(spark, documents(*pages, *near), monkeypatch)
-        assert classes == {i: c for i, (_, c) in plain.near_classes([*pages, *near], 3, 85).items()}
-        met.append(many)
-    assert met[1] <= 2.3 * max(met[0], 50)
-
-
-@pytest.mark.parametrize("percent", [80, 85, 100])
-def test_similar_sets_share_a_prefix_shingle(percent):
-    draw = random.Random(percent)
-    for _ in range(500):
-        x = set(draw.sample(range(60), draw.randint(1, 30)))
-        y = set(x)
-        for _ in range(draw.randint(0, 4)):
-            y.symmetric_difference_update({draw.randrange(60)})
-        if y and 100 * len(x & y) >= percent * len(x | y):
-            order = draw.sample(range(60), 60)
-            first = [set(sorted(z, key=order.__getitem__)[: near_dedup.prefix_length(len(z), percent)]) for z in (x, y)]
-            assert first[0] & first[1]
-
-
 def test_odd_documents_and_the_one_that_stays(documents):
     docs = documents((9, PROSE), (4, PROSE.upper()), (4, PROSE.upper()), (None, PROSE), (5, None), (6, ""), (6, ""), (7, " \n"), (8, "two words"), (None, "alone here"))
     found = sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs).collect()), key=repr)
