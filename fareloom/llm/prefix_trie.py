@@ -35,7 +35,7 @@ from fareloom.sources.storage import stage
 
 FAMILY, DEEPEST = 5, 9  # conversations of a family are seeded from its first; fewer than DEEPEST turns are taken from it
 SEGMENT = 1_024
-LIMIT = 8_192  # weight, and so nodes at most, of a component that one task decomposes
+LIMIT = 65_536  # weight, and so nodes at most, of a component that one task decomposes
 SALTS = 32
 CHUNK = 4_096  # conversations in a chunk of a list
 LANES = range(4)
