@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from fareloom.fixtures import trips_raw
 from fareloom.operators import dense_key, keys
 from fareloom.plans import build_dims, build_fact, earliest_trips
-from tests.trips import trip, trips
+from fareloom.plans.fact import DURATION, TRIP_ORDER
+from tests.trips import at, trip, trips
 
 
 def ids_in_order(df, name, order):
@@ -51,6 +52,27 @@ def test_dense_key_of_nothing(spark):
     assert dense_key(spark.range(0), ["id"], "k").count() == 0
 
 
+@pytest.mark.parametrize("policy", ["code", "documented"])
+def test_numbering_moves_only_what_does_not_follow(spark, many_ranges, monkeypatch, policy):
+    """Neither the shuffle nor the staged table holds the duration, the hour key or, in the table, what tells equal trips apart."""
+    staged = {}
+
+    def keep(df, label):
+        staged["columns"] = df.columns
+        staged["plan"] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, label)
+
+    stage = keys.stage
+    monkeypatch.setattr(keys, "stage", keep)
+    raw = trips(spark, [trip(**at("2025-06-01 10:15:00", m)) for m in (7.125, 0.5, 600, 7.125)] + [trip(trip_distance=1.005)])
+    fact = build_fact(raw, build_dims(raw)["dim_datetime"], policy)
+    assert staged["columns"] == [*[c for c in TRIP_ORDER if c != DURATION], "_part", "_place"]
+    assert "datetime_key" not in staged["plan"] and DURATION not in staged["plan"]
+    wanted = [0.5, 7.13, 7.13, 15.0, 600.0] if policy == "code" else [0.5, 7.13, 15.0]
+    found = fact.orderBy("trip_id").collect()
+    assert [r.trip_duration_min for r in found] == wanted and {r.datetime_key for r in found} == {1}
+
+
 @pytest.mark.parametrize("policy", ["code", "documented"])
 def test_trip_ids(spark, many_ranges, policy):
     raw = trips_raw(spark, "/root/testdata/sf0.001")
