@@ -132,3 +132,14 @@ def test_ranks_and_their_interleaving(spark):
     per_rank = [sum(r.rb == k for r in found) for k in range(8)]
     assert max(per_rank) < 1.1 * min(per_rank)
     assert rank_bounds(df.where("false"), ["a"]) == {"a": []}
+
+
+def test_bloom_filters_are_as_large_as_a_row_group_needs(spark, stars):
+    """A filter for two keys costs a row group less than its rows do."""
+    filters = rows = 0
+    for file in local(stars["keys"]).rglob("fact_trips/**/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        rows += sum(meta.row_group(k).column(c).total_compressed_size for k in range(meta.num_row_groups) for c in range(meta.num_columns))
+        filters += file.stat().st_size
+    filters -= rows  # besides pages a file holds its filters, page indexes and footer
+    assert 0 < filters < rows / 2, (filters, rows)
