@@ -7,11 +7,12 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from fareloom.fixtures import trips_raw
+from fareloom.fixtures import trips_raw, trips_view
 from fareloom.plans import average_by_payment, build_dims, build_fact, refresh_star, trip_detail
 from fareloom.schemas import FACT_TRIPS, STAR
 from fareloom.session import shared_dir
 from fareloom.sinks import ensure_namespace, write_jdbc, write_raw, write_star
+from fareloom.sinks.tables import OPEN_FILES
 from fareloom.sources import read_raw, read_star, read_trips
 from fareloom.sources.storage import drop_old_versions, published
 from tests.trips import at, trip, trips
@@ -170,3 +171,27 @@ def test_mixed_rows_make_few_files(spark, tmp_path):
     few, many = (len(list((tmp_path / name).rglob("*.parquet"))) for name in ("few", "many"))
     assert few == 12 < many
     same(read_raw(spark, str(tmp_path / "few")), read_raw(spark, str(tmp_path / "many")))
+
+
+def test_all_rows_land_whatever_the_number_of_months(spark, tmp_path):
+    """A task keeps a file open in each month; beyond OPEN_FILES months the rest is sorted. The option is put back."""
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(option)
+    for months in (12, OPEN_FILES + 5):
+        raw = spark.range(0, 3_000, 1, 2).selectExpr("id AS vendorid", f"format_string('month_%02d', id % {months}) AS _month_key")
+        base = tmp_path / f"raw-{months}"
+        write_raw(raw, str(base))
+        files = list(base.rglob("*.parquet"))
+        assert len(files) == 2 * months and spark.conf.get(option) == before
+        same(read_raw(spark, str(base), month_key=True), raw)
+
+
+def test_the_landing_of_the_trips_is_not_shuffled(spark, tmp_path):
+    """Each task of the scan writes its rows itself, one file a month, instead of handing all rows on by month."""
+    d = tmp_path / "sf"
+    spark.read.parquet(f"{SF}/lineitem.parquet").repartition(3).write.parquet(str(d / "lineitem.parquet"))
+    tasks = spark.read.parquet(str(d / "lineitem.parquet")).rdd.getNumPartitions()
+    raw = trips_raw(spark, str(d))
+    files = {r[0] for r in raw.select(F.input_file_name()).distinct().collect()}
+    assert tasks > 1 and len(files) == 12 * tasks
+    same(raw, trips_view(spark, str(d)))
